@@ -53,3 +53,11 @@ FROM a WHERE prospect_count < {THRESHOLD}
 def q_insufficient_accounts(spark, sf_dir):
     accounts, prospects = flagship_inputs(spark, sf_dir)
     return report.insufficient_accounts(accounts, prospects, THRESHOLD)
+
+
+def _load_all():
+    """Import the query modules so their ``register`` calls run."""
+    from . import q_scalars  # noqa: F401
+
+
+_load_all()
