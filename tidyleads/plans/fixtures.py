@@ -169,7 +169,7 @@ FX_EDITS = """
 SELECT
   concat('P', CAST(f.row_key AS STRING)) AS prospect_id,
   f.custom_id, f.company AS account_name, f.first_name,
-  CASE WHEN f.row_key % 8 = 0 THEN concat(f.last_name, '-Edited') ELSE f.last_name END AS last_name,
+  CASE WHEN f.row_key % 8 = 0 THEN f.last_name || '-Edited' ELSE f.last_name END AS last_name,
   CASE WHEN f.row_key % 8 = 0 THEN 'Head of Data' ELSE f.title END AS title,
   f.gender, f.email, f.linkedin_url, f.work_phone, f.mobile_phone,
   f.city, f.state, f.zip, f.country,
