@@ -74,18 +74,27 @@ def score_pairs(pairs: DataFrame, a: str = "a", b: str = "b", out: str = "score"
 
 def windowed_similarity(a, b) -> Column:
     """Native similarity 0..100: the shorter text against every window of the
-    longer one, best ``100 * (1 - levenshtein / len(shorter))`` rounded."""
+    longer one, best ``100 * (1 - levenshtein / len(shorter))`` rounded.
+
+    The (shorter, longer) pair is bound once through a one-element
+    ``transform`` so the generated code does not repeat the CASE expressions.
+    """
     a, b = as_col(a), as_col(b)
-    short = F.when(F.length(a) <= F.length(b), a).otherwise(b)
-    long_ = F.when(F.length(a) <= F.length(b), b).otherwise(a)
-    n = F.length(short)
-    wins = F.sequence(F.lit(1), F.length(long_) - n + 1)
-    scores = F.transform(wins, lambda i: F.round(
-        F.lit(100.0) * (F.lit(1.0) - F.levenshtein(short, long_.substr(i, n)) / n)))
-    return (F.when(a.isNull() | b.isNull(), F.lit(None))
-            .when(a == b, F.lit(100))
-            .when(n == 0, F.lit(0))
-            .otherwise(F.array_max(scores).cast("int")))
+    pair = F.when(F.length(a) <= F.length(b), F.struct(a.alias("s"), b.alias("l"))) \
+            .otherwise(F.struct(b.alias("s"), a.alias("l")))
+
+    def body(p):
+        short, long_ = p["s"], p["l"]
+        n = F.length(short)
+        wins = F.sequence(F.lit(1), F.length(long_) - n + 1)
+        best = F.array_max(F.transform(wins, lambda i: F.round(
+            F.lit(100.0) * (F.lit(1.0) - F.levenshtein(short, long_.substr(i, n)) / n))))
+        return (F.when(short.isNull() | long_.isNull(), F.lit(None))
+                .when(short == long_, F.lit(100))
+                .when(n == 0, F.lit(0))
+                .otherwise(best.cast("int")))
+
+    return F.element_at(F.transform(F.array(pair), body), 1)
 
 
 def company_clean(name) -> Column:

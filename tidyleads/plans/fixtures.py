@@ -89,15 +89,34 @@ FROM {{customer}} c
 WHERE c.c_custkey % 20 = 0
 """
 
-_K = "ok.o_orderkey"
-_C = "ok.o_custkey"
-_FIRST = _case(f"{_K} % 12", FX_FIRST_NAMES)
-_LAST = (f"concat(upper(substr(split_part(p.p_name, ' ', 2), 1, 1)), "
-         f"substr(split_part(p.p_name, ' ', 2), 2), "
-         f"chr(CAST(97 + {_C} % 26 AS INT)), chr(CAST(97 + {_K} % 26 AS INT)))")
-_LOCAL = f"lower(concat({_FIRST}, '.', {_LAST}))"
-_MAIL_HOST = f"concat('customer', CAST({_C} AS STRING), '.de')"
-_DIGITS = f"lpad(CAST({_K} % 10000000 AS STRING), 7, '0')"
+_K = "b.row_key"
+_C = "b.custkey"
+_FIRST = "b.base_first"
+_LAST = "b.base_last"
+_LOCAL = "b.local_part"
+_MAIL_HOST = "b.mail_host"
+_DIGITS = "b.digits"
+_NAT = "b.nation_text"
+
+# Two levels: the inner select names the shared pieces once, so the outer
+# expressions reference them instead of repeating them.
+_BASE = f"""
+SELECT k.*, lower(concat(k.base_first, '.', k.base_last)) AS local_part
+FROM (
+  SELECT ok.o_orderkey AS row_key, ok.o_custkey AS custkey, ok.o_orderstatus AS orderstatus,
+         p.p_type AS p_type,
+         {_case('ok.o_orderkey % 12', FX_FIRST_NAMES)} AS base_first,
+         concat(upper(substr(split_part(p.p_name, ' ', 2), 1, 1)), substr(split_part(p.p_name, ' ', 2), 2),
+                chr(CAST(97 + ok.o_custkey % 26 AS INT)), chr(CAST(97 + ok.o_orderkey % 26 AS INT))) AS base_last,
+         concat('customer', CAST(ok.o_custkey AS STRING), '.de') AS mail_host,
+         lpad(CAST(ok.o_orderkey % 10000000 AS STRING), 7, '0') AS digits,
+         {_case('ok.o_custkey % 25', NATION_COUNTRY)} AS nation_text,
+         {_case('(ok.o_custkey + 1) % 25', NATION_COUNTRY)} AS next_nation_text
+  FROM (SELECT o.o_orderkey, o.o_custkey, o.o_orderstatus,
+               o.o_orderkey % (SELECT count(*) FROM {{part}}) AS pk
+        FROM {{orders}} o) ok
+  LEFT JOIN {{part}} p ON p.p_partkey = ok.pk) k
+"""
 
 FX_PROSPECTS = f"""
 SELECT
@@ -117,7 +136,7 @@ SELECT
   CASE WHEN {_K} % 71 = 5 THEN NULL
        WHEN {_K} % 90 = 7 THEN {_FIRST}
        ELSE {_LAST} END AS last_name,
-  concat(p.p_type, ' Manager') AS title,
+  concat(b.p_type, ' Manager') AS title,
   CASE {_K} % 4 WHEN 0 THEN 'male' WHEN 1 THEN 'FEMALE' WHEN 2 THEN 'unknown' ELSE NULL END AS gender,
   CASE {_K} % 13
        WHEN 1 THEN concat({_LOCAL}, '@gmail.com')
@@ -145,22 +164,18 @@ SELECT
                           WHEN 3 THEN concat('151', {_DIGITS})
                           ELSE concat('0044 7700 ', {_DIGITS}) END END AS mobile_phone,
   concat('City ', CAST({_C} % 100 AS STRING)) AS city,
-  ok.o_orderstatus AS state,
+  b.orderstatus AS state,
   lpad(CAST(({_C} * 7) % 100000 AS STRING), 5, '0') AS zip,
-  CASE WHEN {_K} % 21 IN (5, 6) THEN NULL
-       ELSE {_case(f'{_C} % 25', NATION_COUNTRY)} END AS country,
+  CASE WHEN {_K} % 21 IN (5, 6) THEN NULL ELSE {_NAT} END AS country,
   CASE WHEN {_K} % 21 = 6 THEN NULL
-       WHEN {_K} % 21 = 4 THEN {_case(f'({_C} + 1) % 25', NATION_COUNTRY)}
-       ELSE {_case(f'{_C} % 25', NATION_COUNTRY)} END AS account_country,
+       WHEN {_K} % 21 = 4 THEN b.next_nation_text
+       ELSE {_NAT} END AS account_country,
   CASE WHEN {_K} % 23 = 1 THEN ''
        WHEN {_K} % 23 = 3 THEN NULL
        ELSE CASE {_K} % 7 WHEN 6 THEN 'Web' WHEN 5 THEN 'AE Sourced' WHEN 4 THEN 'AE Sourced'
                           ELSE 'SDE Sourced' END END AS source,
   CASE WHEN {_K} % 5 = 0 THEN 'Rejected' ELSE 'Verified' END AS contact_status
-FROM (SELECT o.o_orderkey, o.o_custkey, o.o_orderstatus,
-             o.o_orderkey % (SELECT count(*) FROM {{part}}) AS pk
-      FROM {{orders}} o) ok
-LEFT JOIN {{part}} p ON p.p_partkey = ok.pk
+FROM ({_BASE}) b
 """
 
 # Edited issues sheet: every prospect except those deleted by hand (%16=4);
