@@ -66,3 +66,38 @@ def phone_e164(phone, country) -> Column:
             .when(F.startswith(s, F.lit("+")), s)
             .when(s.rlike(r"\p{L}"), s)
             .otherwise(F.coalesce(as_intl, as_national, s)))
+
+
+def with_phone_e164(df, phones: list[str], country: str):
+    """DataFrame form of ``phone_e164`` for several phone columns: the trimmed
+    text, its digits and the country's calling-code entry are computed once
+    as helper columns (a projection boundary the optimizer keeps, because
+    they are reused), instead of being re-evaluated inside every branch."""
+    meta = F.try_element_at(refdata.calling_code_by_country_map(), F.upper(F.trim(F.col(country))))
+    out = df.withColumn("_pmeta", meta)
+    ranges = refdata.length_range_by_calling_code_map()
+    for c in phones:
+        out = out.withColumns({"_ps": F.trim(F.col(c))}).withColumn(
+            "_pd", F.regexp_replace(F.col("_ps"), "[^0-9]", ""))
+        d, s, m = F.col("_pd"), F.col("_ps"), F.col("_pmeta")
+        out = out.withColumns({"_pr1": F.try_element_at(ranges, F.substring(d, 1, 1)),
+                               "_pr2": F.try_element_at(ranges, F.substring(d, 1, 2)),
+                               "_pr3": F.try_element_at(ranges, F.substring(d, 1, 3))})
+
+        def intl(k):
+            r = F.col(f"_pr{k}")
+            n = F.length(d) - k
+            return F.when(r.isNotNull() & (n >= r["lo"]) & (n <= r["hi"]), F.concat(F.lit("+"), d))
+
+        trunk = m["trunk"]
+        national = F.when((trunk != "") & F.startswith(d, trunk),
+                          F.substring(d, F.length(trunk) + 1, 1 << 30)).otherwise(d)
+        as_nat = F.when(m.isNotNull() & (F.length(national) >= 2) & (F.length(national) <= 17),
+                        F.concat(F.lit("+"), m["cc"], national))
+        p = F.col(c)
+        out = out.withColumn(c, F.when(p.isNull() | (s == ""), p)
+                             .when(F.startswith(s, F.lit("+")), s)
+                             .when(s.rlike(r"\p{L}"), s)
+                             .otherwise(F.coalesce(intl(1), intl(2), intl(3), as_nat, s)))
+        out = out.drop("_ps", "_pd", "_pr1", "_pr2", "_pr3")
+    return out.drop("_pmeta")

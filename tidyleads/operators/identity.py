@@ -83,6 +83,29 @@ def assign_ids(df: DataFrame, prefix: str, order_by: list, tiers=(1, 2), col: st
     return out.withColumn(col, F.format_string(prefix + "%04d", F.col("_seq"))).drop("_seq")
 
 
+def duplicates_prepare(df: DataFrame, keys: list, eligible: Column | None = None, tag: str = "") -> DataFrame:
+    eligible = eligible if eligible is not None else F.lit(True)
+    kcols = [f"_dk{tag}{i}" for i in range(len(keys))]
+    base = df.withColumns({k: as_col(c) for k, c in zip(kcols, keys)})
+    return base.withColumn(f"_elig{tag}", eligible & reduce(lambda a, b: a & b,
+                                                             [F.col(k).isNotNull() for k in kcols]))
+
+
+def duplicates_lookup(prepared: DataFrame, tag: str = "") -> DataFrame:
+    kcols = [c for c in prepared.columns if c.startswith(f"_dk{tag}") and c[len(f"_dk{tag}"):].isdigit()]
+    elig = F.col(f"_elig{tag}")
+    return (prepared.select(*[F.when(elig, F.col(k)).alias(k) for k in kcols])
+            .groupBy(*kcols).agg(F.count(F.lit(1)).alias(f"_c{tag}"))
+            .where(F.col(f"_c{tag}") > 1).select(*kcols, F.lit(True).alias(f"_dup{tag}")))
+
+
+def duplicates_attach(prepared: DataFrame, lookup: DataFrame, name: str, tag: str = "") -> DataFrame:
+    kcols = [c for c in lookup.columns if c.startswith(f"_dk{tag}")]
+    j = prepared.join(lookup, kcols, "left")
+    return j.withColumn(name, F.col(f"_elig{tag}") & F.coalesce(F.col(f"_dup{tag}"), F.lit(False))) \
+            .drop(*kcols, f"_elig{tag}", f"_dup{tag}")
+
+
 def flag_duplicates(df: DataFrame, keys: list, eligible: Column | None = None,
                     name: str = "is_duplicate") -> DataFrame:
     """Mark every member of a group of two or more rows sharing ``keys``.
@@ -90,15 +113,8 @@ def flag_duplicates(df: DataFrame, keys: list, eligible: Column | None = None,
     Count-then-join: the counts are a map-side-combined aggregation (a hot
     key costs one partial row per task), and only duplicate keys are joined
     back.  Rows with a NULL key or outside ``eligible`` are never flagged."""
-    eligible = eligible if eligible is not None else F.lit(True)
-    kcols = [f"_dk{i}" for i in range(len(keys))]
-    base = df.withColumns({k: as_col(c) for k, c in zip(kcols, keys)}) \
-             .withColumn("_elig", eligible & reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in kcols]))
-    dups = (base.where("_elig").groupBy(*kcols).agg(F.count(F.lit(1)).alias("_c"))
-            .where(F.col("_c") > 1).select(*kcols, F.lit(True).alias("_dup")))
-    j = base.join(dups, kcols, "left")
-    return j.withColumn(name, F.col("_elig") & F.coalesce(F.col("_dup"), F.lit(False))) \
-            .drop(*kcols, "_elig", "_dup", "_c")
+    p = duplicates_prepare(df, keys, eligible)
+    return duplicates_attach(p, duplicates_lookup(p), name)
 
 
 def person_key(first, last) -> Column:

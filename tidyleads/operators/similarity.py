@@ -105,20 +105,71 @@ def domain_clean(email) -> Column:
     return fold_text(domain_core(email))
 
 
+# Each scored rule is split into prepare (row-level key columns), lookup (a
+# small table built from the prepared rows) and attach (one left join), so a
+# caller running several rules derives every lookup from the same prepared
+# rows instead of chaining them (which would re-evaluate the upstream plan
+# once per branch and level).
+def domain_prepare(df: DataFrame, company: str = "account_name", email: str = "email",
+                   eligible: Column | None = None) -> DataFrame:
+    eligible = eligible if eligible is not None else F.lit(True)
+    base = df.withColumns({"_ca": company_clean(company), "_cb": domain_clean(email)})
+    return base.withColumn(
+        "_sc_ok", eligible & F.col(email).contains("@") & (F.col("_ca") != "") & (F.col("_cb") != ""))
+
+
+# Lookups null the key of rows outside the rule instead of filtering them: a
+# filter on a derived flag would be pushed down with every aliased expression
+# substituted into it, while a NULL key is one extra group that never joins.
+def domain_lookup(prepared: DataFrame) -> DataFrame:
+    ok = F.col("_sc_ok")
+    pairs = prepared.select(F.when(ok, F.col("_ca")).alias("a"), F.when(ok, F.col("_cb")).alias("b")).distinct()
+    return score_pairs(pairs).select(F.col("a").alias("_ca"), F.col("b").alias("_cb"),
+                                     F.col("score").alias("_score"))
+
+
+def domain_attach(prepared: DataFrame, lookup: DataFrame, out: str = "domain_score") -> DataFrame:
+    j = prepared.join(lookup, ["_ca", "_cb"], "left")
+    return j.withColumn(out, F.when(F.col("_sc_ok"), F.col("_score"))).drop("_ca", "_cb", "_score", "_sc_ok")
+
+
 def domain_score(df: DataFrame, company: str = "account_name", email: str = "email",
                  eligible: Column | None = None, out: str = "domain_score") -> DataFrame:
     """Company name (legal words removed, folded) vs. e-mail domain core
     (folded): NULL when the e-mail has no '@' or either side is empty.
     Scored once per distinct (company, domain) pair."""
+    p = domain_prepare(df, company, email, eligible)
+    return domain_attach(p, domain_lookup(p), out)
+
+
+@pandas_udf(T.BooleanType())
+def _bad_email_udf(f: pd.Series, l_: pd.Series, e: pd.Series, cut: pd.Series) -> pd.Series:
+    return pd.Series([not (partial_ratio(a, x) > c or partial_ratio(b, x) > c)
+                      for a, b, x, c in zip(f, l_, e, cut)], dtype=bool)
+
+
+def bad_email_prepare(df: DataFrame, first: str = "first_name", last: str = "last_name",
+                      email: str = "email", eligible: Column | None = None) -> DataFrame:
     eligible = eligible if eligible is not None else F.lit(True)
-    base = df.withColumns({"_ca": company_clean(company), "_cb": domain_clean(email)}).withColumn(
-        "_sc_ok", eligible & F.col(email).contains("@") & (F.col("_ca") != "") & (F.col("_cb") != ""))
-    pairs = base.where("_sc_ok").select(F.col("_ca").alias("a"), F.col("_cb").alias("b")).distinct()
-    scored = score_pairs(pairs).select(F.col("a").alias("_ca"), F.col("b").alias("_cb"),
-                                       F.col("score").alias("_score"))
-    j = base.join(scored, ["_ca", "_cb"], "left")
-    return j.withColumn(out, F.when(F.col("_sc_ok"), F.col("_score"))) \
-            .drop("_ca", "_cb", "_score", "_sc_ok")
+    base = df.withColumns({"_f": F.lower(F.col(first)), "_l": F.lower(F.col(last)), "_e": F.lower(F.col(email))})
+    scope = eligible & ~is_blank("_e") & ~is_blank("_f") & ~is_blank("_l")
+    initials = F.concat(F.substring("_f", 1, 1), F.substring("_l", 1, 1))
+    native_ok = (F.col("_e").contains(initials)
+                 | contains_shortcut("_f", "_e").isNotNull()
+                 | contains_shortcut("_l", "_e").isNotNull())
+    return base.withColumn("_need", scope & ~native_ok)
+
+
+def bad_email_lookup(prepared: DataFrame, cutoff: int = refdata.BAD_EMAIL_CUTOFF) -> DataFrame:
+    need = F.col("_need")
+    triples = prepared.select(*[F.when(need, F.col(c)).alias(c) for c in ("_f", "_l", "_e")]).distinct()
+    return triples.withColumn("_bad", _bad_email_udf("_f", "_l", "_e", F.lit(cutoff)))
+
+
+def bad_email_attach(prepared: DataFrame, lookup: DataFrame, out: str = "bad_email") -> DataFrame:
+    j = prepared.join(lookup, ["_f", "_l", "_e"], "left")
+    return j.withColumn(out, F.col("_need") & F.coalesce(F.col("_bad"), F.lit(False))) \
+            .drop("_f", "_l", "_e", "_need", "_bad")
 
 
 def flag_bad_email(df: DataFrame, first: str = "first_name", last: str = "last_name",
@@ -128,23 +179,7 @@ def flag_bad_email(df: DataFrame, first: str = "first_name", last: str = "last_n
     above ``cutoff`` and the initials are not in the e-mail (all lower case).
     Missing e-mail -> not bad; blank first or last name -> not scored (that
     row is a Bad Name).  Containment and initials are decided natively; only
-    the undecided rows' distinct pairs reach Python."""
-    eligible = eligible if eligible is not None else F.lit(True)
-    f, l, e = F.lower(F.col(first)), F.lower(F.col(last)), F.lower(F.col(email))
-    base = df.withColumns({"_f": f, "_l": l, "_e": e})
-    scope = eligible & ~is_blank("_e") & ~is_blank("_f") & ~is_blank("_l")
-    initials = F.concat(F.substring("_f", 1, 1), F.substring("_l", 1, 1))
-    native_ok = (F.col("_e").contains(initials)
-                 | contains_shortcut("_f", "_e").isNotNull()
-                 | contains_shortcut("_l", "_e").isNotNull())
-    base = base.withColumn("_need", scope & ~native_ok).withColumn("_scope", scope)
-    need = base.where("_need")
-    pairs = (need.select(F.col("_f").alias("a"), F.col("_e").alias("b"))
-             .unionByName(need.select(F.col("_l").alias("a"), F.col("_e").alias("b"))).distinct())
-    scored = pairs.withColumn("s", partial_ratio_udf(F.col("a"), F.col("b")))
-    sf = scored.select(F.col("a").alias("_f"), F.col("b").alias("_e"), F.col("s").alias("_sf"))
-    sl = scored.select(F.col("a").alias("_l"), F.col("b").alias("_e"), F.col("s").alias("_sl"))
-    j = base.join(sf, ["_f", "_e"], "left").join(sl, ["_l", "_e"], "left")
-    bad = F.col("_need") & ~((F.coalesce(F.col("_sf"), F.lit(0)) > cutoff)
-                             | (F.coalesce(F.col("_sl"), F.lit(0)) > cutoff))
-    return j.withColumn(out, bad).drop("_f", "_l", "_e", "_need", "_scope", "_sf", "_sl")
+    the undecided rows' distinct (first, last, e-mail) triples reach Python,
+    and one join brings the verdict back."""
+    p = bad_email_prepare(df, first, last, email, eligible)
+    return bad_email_attach(p, bad_email_lookup(p, cutoff), out)

@@ -11,8 +11,8 @@ from .. import refdata
 from ..functions import contact as C
 from ..functions.text import title_case
 from ..functions.values import is_blank
-from .identity import flag_person_duplicates
-from .similarity import domain_score, flag_bad_email
+from . import similarity
+from .identity import duplicates_attach, duplicates_lookup, duplicates_prepare, person_key
 
 DECISIVE = {"male": "Male", "mostly_male": "Male", "female": "Female", "mostly_female": "Female"}
 BROADCAST_MAX_ROWS = 2_000_000
@@ -27,31 +27,46 @@ def sized_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, known_ro
     return F.broadcast(dim) if n <= max_rows else dim
 
 
-def plausible_gender(df: DataFrame, first: str = "first_name", names: DataFrame | None = None,
-                     eligible: Column | None = None, out: str = "plausible_gender") -> DataFrame:
-    """First name -> Male / Female / Unknown with a name table (name,
-    gender_class).  Hyphenated names take the first decisive part; mostly_x
-    counts as x.  Looked up case-insensitively, once per distinct first name,
-    then joined back."""
-    spark = df.sparkSession
+def _names_dim(spark, names: DataFrame | None) -> DataFrame:
     if names is None:
         names = sized_broadcast(refdata.first_names_df(spark), known_rows=len(refdata.FIRST_NAMES))
     else:
         names = sized_broadcast(names)
     dec = F.create_map(*[x for k, v in DECISIVE.items() for x in (F.lit(k), F.lit(v))])
-    names = names.select(F.lower(F.col("name")).alias("_part"),
-                         F.try_element_at(dec, F.lower(F.col("gender_class"))).alias("_g")) \
-                 .where(F.col("_g").isNotNull())
+    return names.select(F.lower(F.col("name")).alias("_part"),
+                        F.try_element_at(dec, F.lower(F.col("gender_class"))).alias("_g")) \
+                .where(F.col("_g").isNotNull())
+
+
+def gender_prepare(df: DataFrame, first: str = "first_name", eligible: Column | None = None) -> DataFrame:
     eligible = eligible if eligible is not None else F.lit(True)
-    base = df.withColumn("_gn", F.when(eligible & ~is_blank(first), F.trim(F.col(first))))
-    distinct = base.select("_gn").where(F.col("_gn").isNotNull()).distinct()
+    return df.withColumns({"_gn": F.when(eligible & ~is_blank(first), F.trim(F.col(first))),
+                           "_g_in": eligible})
+
+
+def gender_lookup(prepared: DataFrame, names: DataFrame | None = None) -> DataFrame:
+    dim = _names_dim(prepared.sparkSession, names)
+    distinct = prepared.select("_gn").distinct()
     parts = distinct.select("_gn", F.posexplode(F.split(F.col("_gn"), "-")).alias("_pos", "_p")) \
                     .withColumn("_part", F.lower(F.col("_p")))
-    decided = (parts.join(names, "_part", "inner").groupBy("_gn")
-               .agg(F.min_by(F.col("_g"), F.col("_pos")).alias("_pg")))
-    j = base.join(decided, "_gn", "left")
-    val = F.when(eligible, F.coalesce(F.col("_pg"), F.lit("Unknown")))
-    return j.withColumn(out, val).drop("_gn", "_pg")
+    return (parts.join(dim, "_part", "inner").groupBy("_gn")
+            .agg(F.min_by(F.col("_g"), F.col("_pos")).alias("_pg")))
+
+
+def gender_attach(prepared: DataFrame, lookup: DataFrame, out: str = "plausible_gender") -> DataFrame:
+    j = prepared.join(lookup, "_gn", "left")
+    return j.withColumn(out, F.when(F.col("_g_in"), F.coalesce(F.col("_pg"), F.lit("Unknown")))) \
+            .drop("_gn", "_pg", "_g_in")
+
+
+def plausible_gender(df: DataFrame, first: str = "first_name", names: DataFrame | None = None,
+                     eligible: Column | None = None, out: str = "plausible_gender") -> DataFrame:
+    """First name -> Male / Female / Unknown with a name table (name,
+    gender_class).  Hyphenated names take the first decisive part; mostly_x
+    counts as x.  Looked up case-insensitively, once per distinct first name
+    (the name table is broadcast only behind a size check), then joined back."""
+    p = gender_prepare(df, first, eligible)
+    return gender_attach(p, gender_lookup(p, names), out)
 
 
 def validate(df: DataFrame, in_scope: Column | None = None, gender_mode: str = "A",
@@ -62,6 +77,10 @@ def validate(df: DataFrame, in_scope: Column | None = None, gender_mode: str = "
     ``plausible_gender``, ``domain_score`` (int) and ``domain_score_label``;
     title-cases names and lower-cases e-mails of in-scope rows; normalises
     gender (mode A) or replaces it with the plausible one (mode B).
+
+    All row-level rules are one projection; the four lookups (e-mail pairs,
+    company/domain pairs, first names, person keys) are each derived from
+    that same projection and attached with one left join apiece.
     """
     scope = in_scope if in_scope is not None else F.lit(True)
     x = df.withColumn("_in", F.coalesce(scope, F.lit(False)))
@@ -69,29 +88,35 @@ def validate(df: DataFrame, in_scope: Column | None = None, gender_mode: str = "
     x = x.withColumns({
         "_r_fmt": inn & C.bad_email_format("email"),
         "_r_priv": inn & C.is_private_email("email"),
-    })
-    x = x.withColumns({
         "first_name": F.when(inn, title_case("first_name")).otherwise(F.col("first_name")),
         "last_name": F.when(inn, title_case("last_name")).otherwise(F.col("last_name")),
+        "email": F.when(inn, F.lower(F.col("email"))).otherwise(F.col("email")),
     })
-    x = x.withColumn("_r_name", inn & C.bad_name("first_name", "last_name"))
-    x = x.withColumn("email", F.when(inn, F.lower(F.col("email"))).otherwise(F.col("email")))
-    x = flag_bad_email(x, eligible=inn, out="_r_bademail")
-    x = domain_score(x, company="account_name", email="email", eligible=inn)
     x = x.withColumns({
-        "domain_score_label": C.domain_score_label("domain_score"),
-        "_r_domain": inn & C.bad_domain("domain_score"),
+        "_r_name": inn & C.bad_name("first_name", "last_name"),
         "_r_li": inn & C.bad_linkedin("linkedin_url"),
         "_r_country": (inn & C.bad_country("country", "account_country")) if check_country else F.lit(False),
     })
-    x = plausible_gender(x, names=names, eligible=inn)
+    x = similarity.bad_email_prepare(x, eligible=inn)
+    x = similarity.domain_prepare(x, company="account_name", email="email", eligible=inn)
+    x = gender_prepare(x, eligible=inn)
+    x = duplicates_prepare(x, [person_key("first_name", "last_name")], tag="p")
+    lookups = (similarity.bad_email_lookup(x), similarity.domain_lookup(x), gender_lookup(x, names),
+               duplicates_lookup(x, tag="p"))
+    x = similarity.bad_email_attach(x, lookups[0], out="_r_bademail")
+    x = similarity.domain_attach(x, lookups[1], out="domain_score")
+    x = gender_attach(x, lookups[2], out="plausible_gender")
+    x = duplicates_attach(x, lookups[3], name="_r_dup", tag="p")
+    x = x.withColumns({
+        "domain_score_label": C.domain_score_label("domain_score"),
+        "_r_domain": inn & C.bad_domain("domain_score"),
+    })
     if gender_mode == "A":
         x = x.withColumn("gender", F.when(inn, C.normalise_gender("gender")).otherwise(F.col("gender")))
         x = x.withColumn("_r_gender", F.when(inn, C.gender_issue("gender", "plausible_gender")))
     else:
         x = x.withColumn("gender", F.when(inn, F.col("plausible_gender")).otherwise(F.col("gender")))
         x = x.withColumn("_r_gender", F.when(inn & (F.col("gender") == "Unknown"), F.lit("Unknown Gender")))
-    x = flag_person_duplicates(x, name="_r_dup")
     labels = [
         F.when(F.col("_r_fmt"), F.lit("Bad Email Format")),
         F.when(F.col("_r_priv"), F.lit("Private Email")),

@@ -208,9 +208,9 @@ SELECT row_key, iso AS country, {_e164_sql('work_phone', 'iso')} AS work_phone,
        {_e164_sql('mobile_phone', 'iso')} AS mobile_phone
 FROM (SELECT row_key, work_phone, mobile_phone, {S.country_to_code('country')} AS iso FROM fx_prospects)""")
 def q_phones_e164(spark, sf):
-    p = fixture(spark, sf, "fx_prospects").withColumn("country", geo.country_to_code("country"))
-    return p.select("row_key", "country", geo.phone_e164("work_phone", "country").alias("work_phone"),
-                    geo.phone_e164("mobile_phone", "country").alias("mobile_phone"))
+    p = fixture(spark, sf, "fx_prospects").select(
+        "row_key", "work_phone", "mobile_phone", geo.country_to_code("country").alias("country"))
+    return geo.with_phone_e164(p, ["work_phone", "mobile_phone"], "country")
 
 
 @register("rule_flags", sql_with("fx_prospects") + f"""
