@@ -57,7 +57,7 @@ def q_insufficient_accounts(spark, sf_dir):
 
 def _load_all():
     """Import the query modules so their ``register`` calls run."""
-    from . import q_identity, q_linking, q_reports, q_scalars  # noqa: F401
+    from . import q_identity, q_jobs, q_linking, q_reports, q_scalars  # noqa: F401
 
 
 _load_all()
