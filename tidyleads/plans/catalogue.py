@@ -60,4 +60,11 @@ def _load_all():
     from . import q_identity, q_jobs, q_linking, q_reports, q_scalars  # noqa: F401
 
 
-_load_all()
+def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    _load_all()
+    return dict(QUERIES)
+
+
+def all_oracles() -> dict[str, str]:
+    _load_all()
+    return dict(ORACLE)
