@@ -212,9 +212,13 @@ def q_bad_email(spark, sf):
 
 
 def validated(spark, sf):
+    """Validation over the whole fixture; the input is checkpointed first (as
+    the job does) so the four lookups and the main branch share one scan."""
+    from ..session import cut_lineage
     p = _people(spark, sf).select("row_key", "custom_id", "account_name", "first_name", "last_name",
                                   "title", "gender", "email", "linkedin_url", "country", "account_country",
                                   "vendor")
+    p = cut_lineage(p)
     return validate(p, in_scope=F.col("vendor") == "L", gender_mode="A", check_country=True)
 
 
