@@ -183,3 +183,19 @@ def flag_bad_email(df: DataFrame, first: str = "first_name", last: str = "last_n
     and one join brings the verdict back."""
     p = bad_email_prepare(df, first, last, email, eligible)
     return bad_email_attach(p, bad_email_lookup(p, cutoff), out)
+
+
+def native_pair_scores(df: DataFrame, company: str = "company", email: str = "email") -> DataFrame:
+    """Distinct (company_clean, domain_clean) pairs with the native windowed
+    score, label and Bad Domain flag.  The pair is built inside one projection
+    (so the cleaned texts are computed once per row), de-duplicated by a
+    map-side-combined aggregation, and scored once per pair."""
+    from ..functions.contact import bad_domain, domain_score_label
+    ca, cb = company_clean(company), domain_clean(email)
+    pair = F.when(F.col(email).contains("@") & (ca != "") & (cb != ""),
+                  F.struct(ca.alias("company_clean"), cb.alias("domain_clean")))
+    pairs = df.select(pair.alias("_pr")).distinct().select("_pr.*")
+    scored = pairs.withColumn("similarity", windowed_similarity("company_clean", "domain_clean"))
+    return scored.withColumns({"label": domain_score_label("similarity"),
+                               "bad_domain": bad_domain("similarity")}) \
+                 .where(F.col("company_clean").isNotNull())

@@ -182,13 +182,7 @@ SELECT company_clean, domain_clean, similarity, {S.domain_score_label('similarit
        coalesce(similarity < {refdata.BAD_DOMAIN_CUTOFF}, false) AS bad_domain
 FROM sc""")
 def q_windowed_similarity(spark, sf):
-    p = fixture(spark, sf, "fx_prospects").where(F.col("email").contains("@"))
-    pairs = p.select(similarity.company_clean("company").alias("company_clean"),
-                     similarity.domain_clean("email").alias("domain_clean")).distinct() \
-             .where((F.col("company_clean") != "") & (F.col("domain_clean") != ""))
-    s = pairs.withColumn("similarity", similarity.windowed_similarity("company_clean", "domain_clean"))
-    return s.withColumns({"label": C.domain_score_label("similarity"),
-                          "bad_domain": C.bad_domain("similarity")})
+    return similarity.native_pair_scores(fixture(spark, sf, "fx_prospects"))
 
 
 # ---- exact similarity and full validation: rows-only (no SQL form) --------
