@@ -111,19 +111,37 @@ def repair_ids(df: DataFrame, accounts: DataFrame, order_by=("account_name", "cu
             .select(*df.columns)
 
 
+def _positive_id_of(df: DataFrame, col: str) -> Column:
+    """Positive-ID expression that skips the text round trip for integral
+    columns."""
+    from pyspark.sql.types import IntegralType
+    if isinstance(df.schema[col].dataType, IntegralType):
+        return F.greatest(F.coalesce(F.col(col).cast("bigint"), F.lit(0).cast("bigint")), F.lit(0).cast("bigint"))
+    return positive_id(col)
+
+
 def with_prospect_counts(accounts: DataFrame, prospects: DataFrame) -> DataFrame:
     """Add ``prospect_count`` per account: by positive ID when any prospect has
     one, else by trimmed account name; accounts without prospects get 0.
 
     The choice is a scalar subquery inside the same plan (evaluated once), so
-    both the count and the join stay distributed.
+    both the count and the join stay distributed.  The join key is a pair of
+    typed columns (ID, name) of which the unused one is NULL, matched
+    null-safely, so a numeric ID is never turned into text.
     """
-    has_ids = prospects.select(F.max(positive_id("custom_id")) > 0).scalar()
-    p_key = F.when(has_ids, F.when(positive_id("custom_id") > 0, positive_id("custom_id").cast("string"))) \
-             .otherwise(F.trim(F.col("account_name")))
-    counts = (prospects.select(p_key.alias("_ck")).where(F.col("_ck").isNotNull())
-              .groupBy("_ck").agg(F.count(F.lit(1)).alias("_cnt")))
-    a_key = F.when(has_ids, positive_id("custom_id").cast("string")).otherwise(F.trim(F.col("account_name")))
-    j = accounts.withColumn("_ck", a_key).join(counts, "_ck", "left")
-    return j.withColumn("prospect_count", F.coalesce(F.col("_cnt"), F.lit(0)).cast("bigint")) \
-            .drop("_ck", "_cnt")
+    p_id = _positive_id_of(prospects, "custom_id")
+    a_id = _positive_id_of(accounts, "custom_id")
+    has_ids = prospects.select(F.max(p_id) > 0).scalar()
+    null_id, null_name = F.lit(None).cast("bigint"), F.lit(None).cast("string")
+    counts = (prospects.select(F.when(has_ids, F.when(p_id > 0, p_id)).otherwise(null_id).alias("_ck_id"),
+                               F.when(has_ids, null_name).otherwise(F.trim(F.col("account_name"))).alias("_ck_nm"))
+              .where(F.col("_ck_id").isNotNull() | F.col("_ck_nm").isNotNull())
+              .groupBy("_ck_id", "_ck_nm").agg(F.count(F.lit(1)).alias("_cnt")))
+    keyed = accounts.withColumns({
+        "_ck_id": F.when(has_ids, a_id).otherwise(null_id),
+        "_ck_nm": F.when(has_ids, null_name).otherwise(F.trim(F.col("account_name")))})
+    a, c = keyed.alias("a"), counts.alias("c")
+    j = a.join(c, F.col("a._ck_id").eqNullSafe(F.col("c._ck_id")) & F.col("a._ck_nm").eqNullSafe(F.col("c._ck_nm")),
+               "left")
+    return j.select("a.*", F.coalesce(F.col("c._cnt"), F.lit(0)).cast("bigint").alias("prospect_count")) \
+            .drop("_ck_id", "_ck_nm")
