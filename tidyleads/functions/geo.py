@@ -44,48 +44,22 @@ def phone_e164(phone, country) -> Column:
     length -> '+digits'; else, with a known country, drop the trunk prefix and
     prepend that country's code (2 to 17 digits); else trimmed as is.
     Countries outside the table pass through unchanged.
+
+    The trimmed text, its digits and the country entry are bound once through
+    a one-element ``transform``, so neither they nor the input expression are
+    repeated in every branch of the rule.
     """
     p = as_col(phone)
     s = F.trim(p)
-    digits = F.regexp_replace(s, "[^0-9]", "")
-    ranges = refdata.length_range_by_calling_code_map()
-
-    def intl(k):
-        r = F.try_element_at(ranges, F.substring(digits, 1, k))
-        n = F.length(digits) - k
-        return F.when(r.isNotNull() & (n >= r["lo"]) & (n <= r["hi"]), F.concat(F.lit("+"), digits))
-
-    as_intl = F.coalesce(intl(1), intl(2), intl(3))
     meta = F.try_element_at(refdata.calling_code_by_country_map(), F.upper(F.trim(as_col(country))))
-    trunk = meta["trunk"]
-    national = F.when((trunk != "") & F.startswith(digits, trunk),
-                      F.substring(digits, F.length(trunk) + 1, 1 << 30)).otherwise(digits)
-    as_national = F.when(meta.isNotNull() & (F.length(national) >= 2) & (F.length(national) <= 17),
-                         F.concat(F.lit("+"), meta["cc"], national))
-    return (F.when(p.isNull() | (s == ""), p)
-            .when(F.startswith(s, F.lit("+")), s)
-            .when(s.rlike(r"\p{L}"), s)
-            .otherwise(F.coalesce(as_intl, as_national, s)))
-
-
-def with_phone_e164(df, phones: list[str], country: str):
-    """DataFrame form of ``phone_e164`` for several phone columns: the trimmed
-    text, its digits and the country's calling-code entry are computed once
-    as helper columns (a projection boundary the optimizer keeps, because
-    they are reused), instead of being re-evaluated inside every branch."""
-    meta = F.try_element_at(refdata.calling_code_by_country_map(), F.upper(F.trim(F.col(country))))
-    out = df.withColumn("_pmeta", meta)
     ranges = refdata.length_range_by_calling_code_map()
-    for c in phones:
-        out = out.withColumns({"_ps": F.trim(F.col(c))}).withColumn(
-            "_pd", F.regexp_replace(F.col("_ps"), "[^0-9]", ""))
-        d, s, m = F.col("_pd"), F.col("_ps"), F.col("_pmeta")
-        out = out.withColumns({"_pr1": F.try_element_at(ranges, F.substring(d, 1, 1)),
-                               "_pr2": F.try_element_at(ranges, F.substring(d, 1, 2)),
-                               "_pr3": F.try_element_at(ranges, F.substring(d, 1, 3))})
+    bound = F.struct(p.alias("p"), s.alias("s"), F.regexp_replace(s, "[^0-9]", "").alias("d"), meta.alias("m"))
+
+    def body(b):
+        p_, s_, d, m = b["p"], b["s"], b["d"], b["m"]
 
         def intl(k):
-            r = F.col(f"_pr{k}")
+            r = F.try_element_at(ranges, F.substring(d, 1, k))
             n = F.length(d) - k
             return F.when(r.isNotNull() & (n >= r["lo"]) & (n <= r["hi"]), F.concat(F.lit("+"), d))
 
@@ -94,10 +68,14 @@ def with_phone_e164(df, phones: list[str], country: str):
                           F.substring(d, F.length(trunk) + 1, 1 << 30)).otherwise(d)
         as_nat = F.when(m.isNotNull() & (F.length(national) >= 2) & (F.length(national) <= 17),
                         F.concat(F.lit("+"), m["cc"], national))
-        p = F.col(c)
-        out = out.withColumn(c, F.when(p.isNull() | (s == ""), p)
-                             .when(F.startswith(s, F.lit("+")), s)
-                             .when(s.rlike(r"\p{L}"), s)
-                             .otherwise(F.coalesce(intl(1), intl(2), intl(3), as_nat, s)))
-        out = out.drop("_ps", "_pd", "_pr1", "_pr2", "_pr3")
-    return out.drop("_pmeta")
+        return (F.when(p_.isNull() | (s_ == ""), p_)
+                .when(F.startswith(s_, F.lit("+")), s_)
+                .when(s_.rlike(r"\p{L}"), s_)
+                .otherwise(F.coalesce(intl(1), intl(2), intl(3), as_nat, s_)))
+
+    return F.element_at(F.transform(F.array(bound), body), 1)
+
+
+def with_phone_e164(df, phones: list[str], country: str):
+    """DataFrame form of ``phone_e164`` for several phone columns."""
+    return df.withColumns({c: phone_e164(c, country) for c in phones})
