@@ -6,8 +6,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import op03_mixing, op09_sharding, oracles
+from . import op03_mixing, op09_sharding, op10_near_dedup, oracles
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,5 +22,10 @@ def op9_hash_tree(spark, sf_dir):
     return op09_sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_mixing, op9_hash_tree)}
+def op10_bottom_k(spark, sf_dir):
+    found = op10_near_dedup.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
+    return found.select("doc_id", "n_shingles", F.col("component").alias("component_id"), "kept")
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_mixing, op9_hash_tree, op10_bottom_k)}
 ORACLE: dict[str, str] = {"op3_mixing": oracles.OP3}
