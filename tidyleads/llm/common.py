@@ -133,3 +133,41 @@ def byte_chunks(texts: list[bytes], limit: int = CHUNK_BYTES):
         size += len(t) + 1
     if start < len(texts):
         yield start, len(texts)
+
+
+class Counts:
+    """Bounded map-side combine of (64-bit key, count): call `add`, and emit what `full` or `rest` give."""
+
+    def __init__(self, limit: int = 1 << 20):
+        self.limit, self.parts, self.size = limit, [], 0
+
+    def add(self, keys: np.ndarray, weights: np.ndarray | None = None) -> None:
+        if len(keys):
+            self.parts.append(_summed(keys, weights))
+            self.size += len(self.parts[-1][0])
+
+    def full(self):
+        """(keys, counts) to emit now, or None while they still fit."""
+        if self.size <= self.limit:
+            return None
+        merged = _summed(*(np.concatenate(x) for x in zip(*self.parts)))
+        if len(merged[0]) > self.limit // 2:
+            self.parts, self.size = [], 0
+            return merged
+        self.parts, self.size = [merged], len(merged[0])
+        return None
+
+    def rest(self):
+        if not self.parts:
+            return np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64)
+        return _summed(*(np.concatenate(x) for x in zip(*self.parts)))
+
+
+def _summed(keys, weights=None):
+    if weights is None:
+        u, c = np.unique(keys, return_counts=True)
+        return u, c.astype(np.int64)
+    order = np.argsort(keys, kind="stable")
+    keys, weights = keys[order], weights[order]
+    at = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    return keys[at], np.add.reduceat(weights, at)
