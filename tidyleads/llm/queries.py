@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import op03_mixing, op06_suffix_tree, op08_decontaminate, op09_sharding, op10_near_dedup, oracles
+from . import op03_mixing, op06_suffix_tree, op07_suffix_dedup, op08_decontaminate, op09_sharding, op10_near_dedup, oracles
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,10 @@ def op6_suffix_tree(spark, sf_dir):
     return op06_suffix_tree.score_documents(table(spark, sf_dir, "documents"))
 
 
+def op7_suffix_dedup(spark, sf_dir):
+    return op07_suffix_dedup.dedup_strings(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op8_pigeonhole(spark, sf_dir):
     return op08_decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -35,5 +39,5 @@ def op10_bottom_k(spark, sf_dir):
     return found.select("doc_id", "n_shingles", F.col("component").alias("component_id"), "kept")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_mixing, op6_suffix_tree, op8_pigeonhole, op9_hash_tree, op10_bottom_k)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_mixing, op6_suffix_tree, op7_suffix_dedup, op8_pigeonhole, op9_hash_tree, op10_bottom_k)}
 ORACLE: dict[str, str] = {"op3_mixing": oracles.OP3}
