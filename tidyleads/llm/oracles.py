@@ -30,3 +30,30 @@ pos AS (
                FROM seg g WHERE g.kind = s.kind AND g.y0 <= s.y) AS position FROM share s)
 SELECT doc_id, size, source, source_size, target, CAST(w0 + w1 AS BIGINT) AS taken, round(position::DOUBLE, 9) AS position FROM pos
 """
+
+OP2 = r"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, 'unknown') AS speaker, coalesce(text, '') AS content FROM conversations),
+who AS (SELECT DISTINCT conv_id, speaker AS perspective FROM t WHERE speaker <> 'system'),
+r AS (
+  SELECT t.conv_id, perspective, turn, speaker, content,
+         CASE WHEN speaker = 'system' THEN '<|system|>' || chr(10) WHEN speaker = perspective THEN '<|assistant|>' || chr(10)
+              ELSE '<|user name=' || speaker || '|>' || chr(10) END AS head
+  FROM t JOIN who ON t.conv_id IS NOT DISTINCT FROM who.conv_id),
+s AS (SELECT *, head || content || '<|end|>' || chr(10) AS segment FROM r),
+o AS (
+  SELECT *, row_number() OVER w - 1 AS seq, sum(length(segment)) OVER w - length(segment) AS pos0 FROM s
+  WINDOW w AS (PARTITION BY conv_id, perspective ORDER BY turn NULLS LAST, speaker, segment ROWS UNBOUNDED PRECEDING))
+SELECT conv_id, perspective, CAST(seq AS BIGINT) AS seq, speaker, segment, speaker = perspective AS in_loss,
+       CAST(pos0 + length(head) AS BIGINT) AS start, CAST(pos0 + length(segment) - 1 AS BIGINT) AS "end" FROM o
+"""
+
+OP5 = r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (
+  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
+"""

@@ -8,16 +8,32 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import op03_mixing, op06_suffix_tree, op07_suffix_dedup, op08_decontaminate, op09_sharding, op10_near_dedup, oracles
+from . import op01_quality, op02_perspectives, op03_mixing, op04_toxicity, op05_voronoi_knn, op06_suffix_tree, op07_suffix_dedup, op08_decontaminate, op09_sharding, op10_near_dedup, oracles
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_ordinal_quality(spark, sf_dir):
+    return op01_quality.grade_documents(table(spark, sf_dir, "documents"), op01_quality.graded(table(spark, sf_dir, "labels")))
+
+
+def op2_perspectives(spark, sf_dir):
+    return op02_perspectives.perspectives(table(spark, sf_dir, "conversations"))
+
+
 def op3_mixing(spark, sf_dir):
     return op03_mixing.mix_documents(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark, sf_dir):
+    return op04_toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_voronoi_knn(spark, sf_dir):
+    return op05_voronoi_knn.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op6_suffix_tree(spark, sf_dir):
     return op06_suffix_tree.score_documents(table(spark, sf_dir, "documents"))
 
@@ -39,5 +55,5 @@ def op10_bottom_k(spark, sf_dir):
     return found.select("doc_id", "n_shingles", F.col("component").alias("component_id"), "kept")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_mixing, op6_suffix_tree, op7_suffix_dedup, op8_pigeonhole, op9_hash_tree, op10_bottom_k)}
-ORACLE: dict[str, str] = {"op3_mixing": oracles.OP3}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_ordinal_quality, op2_perspectives, op3_mixing, op4_toxicity, op5_voronoi_knn, op6_suffix_tree, op7_suffix_dedup, op8_pigeonhole, op9_hash_tree, op10_bottom_k)}
+ORACLE: dict[str, str] = {"op2_perspectives": oracles.OP2, "op3_mixing": oracles.OP3, "op5_voronoi_knn": oracles.OP5}
