@@ -144,15 +144,16 @@ def leaks(docs: DataFrame, benchmark: DataFrame, budget: float = 0.05, least: in
     return out
 
 
+def _holds(matcher):
+    @F.pandas_udf("boolean")
+    def holds(text: pd.Series) -> pd.Series:
+        m = matcher()
+        return pd.Series([bool(m.search(normalise(t))) for t in text], dtype=bool)
+    return holds
+
+
 def decontaminated(docs: DataFrame, benchmark: DataFrame, budget: float = 0.05, least: int = 20, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The documents, with their own columns, that hold no item."""
-    spark = docs.sparkSession
     for items in _blocks(benchmark, block_chars):
-        matcher = _matcher(spark, items, budget, least)
-
-        @F.pandas_udf("boolean")
-        def held(text: pd.Series, matcher=matcher) -> pd.Series:
-            m = matcher()
-            return pd.Series([bool(m.search(normalise(t))) for t in text], dtype=bool)
-        docs = docs.where(~held(F.col("text")))
+        docs = docs.where(~_holds(_matcher(docs.sparkSession, items, budget, least))(F.col("text")))
     return docs
