@@ -58,8 +58,8 @@ def source_targets(sizes: DataFrame, weights=(3, 1, 2), shapes=SHAPES, share=1.5
              / (F.sum("weight").over(every) - F.coalesce(F.sum("weight").over(up_to), F.lit(0.0))))
     # the first source, by cap / weight, that its level does not fill to the cap sets the level of all
     per = per.withColumn("level", level)
-    open_ = F.min(F.when(F.col("level") * F.col("weight") <= F.col("cap"), F.struct(F.col("cap") / F.col("weight"), F.col("level").alias("level"))))
-    per = per.withColumn("level", open_.over(every)["level"])
+    open_ = F.min(F.when(F.col("level") * F.col("weight") <= F.col("cap"), F.struct((F.col("cap") / F.col("weight")).alias("ratio"), (-F.col("level")).alias("level"))))
+    per = per.withColumn("level", -open_.over(every)["level"])
     target = F.least(F.col("cap"), F.coalesce(F.col("level") * F.col("weight"), F.col("cap")))
     return per.select("src", "source_size", "weight", target.alias("target"), "segs")
 

@@ -14,7 +14,7 @@ cum AS (
          sum(source_size) OVER () AS total, sum(weight) OVER () AS weights
   FROM per WINDOW w AS (ORDER BY 2.0::DOUBLE * source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 lev AS (SELECT *, (1.5::DOUBLE * total - filled::DOUBLE) / (weights - used)::DOUBLE AS l FROM cum),
-pick AS (SELECT arg_min(l, cap / weight) AS l FROM lev WHERE l * weight <= cap),
+pick AS (SELECT arg_min(l, {'ratio': cap / weight, 'down': -l}) AS l FROM lev WHERE l * weight <= cap),
 tgt AS (SELECT lev.source, source_size, kind, least(cap, coalesce(pick.l * weight, cap)) AS target FROM lev, pick),
 seg AS (SELECT * FROM (VALUES (0, 0.0, 1.0, 1.5, -1.0, 0.0), (1, 0.0, 1.0, 1.0, 0.0, 0.0),
                               (2, 0.0, 0.5, 0.25, 1.5, 0.0), (2, 0.5, 0.5, 1.0, 1.5, 0.3125)) s(kind, t0, len, w, m, y0)),
