@@ -121,7 +121,11 @@ class Automaton:
                         out.add((t, i + 1, 1))  # another character
             return close(out)
         start = close({(t, 0, 0) for t in range(len(terms))})
-        number, todo, rows, best = {start: 1, frozenset(): 0}, [start], {0: [0] * width}, {0: -1}
+        dead = frozenset()
+        number, todo, rows, best = {dead: 0}, [], {0: [0] * width}, {0: -1}
+        if start != dead:
+            number[start] = 1
+            todo.append(start)
         while todo:
             s = todo.pop()
             rows[number[s]] = []
@@ -145,7 +149,7 @@ class Automaton:
             table[ord(c)] = i
         x = table[np.minimum(points, len(table) - 1)]
         at = np.concatenate(([0], np.cumsum(sizes)[:-1])) if len(words) else sizes
-        state, live = np.ones(len(words), dtype=np.int32), np.arange(len(words))
+        state, live = np.full(len(words), min(1, len(self.next) - 1), dtype=np.int32), np.arange(len(words) if self.terms else 0)
         for k in range(int(sizes.max()) if len(words) else 0):
             live = live[sizes[live] > k]
             if not len(live):
