@@ -7,7 +7,9 @@ length, whatever the corpus); it becomes a state of its own if the Kullback-Leib
 divergence of its next symbols from those of its longest shorter state is at least
 `MIN_KL`.  Distributions are smoothed by Witten-Bell towards that shorter
 state.  An automaton over the contexts leads each position to its longest state;
-the score is the sum of log10 probabilities, a proper distribution over token sequences.
+a word's probability is the product over its bytes and what follows it, mixed with the base's
+(`MIX` of it): the tree knows how words are built, the base which words there are.
+The score is the sum of their log10.
 
 Counting: map tasks combine the (DEPTH + 1)-grams of all training texts, Spark
 sums them; only contexts above P_MIN reach the driver.  The base score's word
@@ -28,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .common import _SPACE, Counts, byte_chunks, encoded, id_bucket, materialize, spans, word_hashes
 
-DEPTH, P_MIN, MIN_KL, HEAVY = 5, 1e-5, 0.02, 1e-5
+DEPTH, P_MIN, MIN_KL, HEAVY, MIX = 5, 1e-5, 0.02, 1e-5, 0.4
 BITS = 6
 SIZE = 1 << BITS
 END, SEP, OTHER = 0, 1, SIZE - 1
@@ -176,7 +178,7 @@ def learn(grams: DataFrame, total: int, depth: int, p_min: float, min_kl: float)
 
 
 def score_documents(docs: DataFrame, held: int = 2, folds: int = 7, depth: int = DEPTH, p_min: float = P_MIN,
-                    min_kl: float = MIN_KL, heavy: float = HEAVY) -> DataFrame:
+                    min_kl: float = MIN_KL, heavy: float = HEAVY, share: float = MIX) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long"), "text", (id_bucket("doc_id", folds) == held).alias("held_out"))
@@ -194,11 +196,12 @@ def score_documents(docs: DataFrame, held: int = 2, folds: int = 7, depth: int =
     total = grams.agg(F.sum("c")).first()[0] or 0
     often = words.where(F.col("c") >= max(1.0, heavy * n)).toPandas().sort_values("h")
     sent = spark.sparkContext.broadcast((learn(grams, total, depth, p_min, min_kl), code, often["h"].to_numpy(np.int64),
-                                         np.log10((often["c"].to_numpy() + 1) / norm)))
+                                         (often["c"].to_numpy(np.float64) + 1) / norm))
+    end_p = float((ends + 1) / norm)
     rare = float(np.log10(256 - len(alphabet)))  # an OTHER stands for any of the other bytes
 
     def run(batches):
-        tree, code, often, logs = sent.value
+        tree, code, often, often_p = sent.value
         for pdf in batches:
             texts = encoded(pdf["text"])
             for a, b in byte_chunks(texts):
@@ -206,33 +209,43 @@ def score_documents(docs: DataFrame, held: int = 2, folds: int = 7, depth: int =
                 lp = tree.logs(x).astype(np.float64)
                 lp[x == OTHER] -= rare
                 lp[~_predicted(len(x), begin, depth)] = 0.0
-                score = np.add.reduceat(lp, begin[:-1])
                 h, first = word_hashes(texts[a:b])
-                h = h.view(np.int64)
-                doc = np.repeat(np.arange(b - a), np.diff(first))
+                h, size = h.view(np.int64), np.diff(first)
+                # the tree's probability of each word and what follows it; of an empty text, of its end
+                total = np.concatenate(([0.0], np.cumsum(lp)))
+                stops = np.flatnonzero((x == SEP) | ((x == END) & _predicted(len(x), begin, depth))) + 1
+                word = np.diff(np.concatenate(([0.0], total[stops])))
+                full = np.repeat(size > 0, np.maximum(size, 1))
+                tree_p, empty = 10 ** word[full], np.zeros(b - a)
+                empty[size == 0] = np.log10(share * end_p + (1 - share) * 10 ** word[~full])
+                doc, last = np.repeat(np.arange(b - a), size), np.ones(len(h))
+                last[first[1:][size > 0] - 1] = end_p
                 i = np.minimum(np.searchsorted(often, h), max(len(often) - 1, 0))
                 known = often[i] == h if len(often) else np.zeros(len(h), dtype=bool)
-                base = np.bincount(doc[known], logs[i[known]] if len(often) else None, minlength=b - a)
+                p = often_p[i[known]] if len(often) else np.empty(0)
+                score = empty + np.bincount(doc[known], np.log10(share * p * last[known] + (1 - share) * tree_p[known]), minlength=b - a)
                 rid, ids = pdf["rid"].to_numpy()[a:b], pdf["doc_id"].astype("Int64").iloc[a:b]
-                yield pd.DataFrame({"rid": rid, "doc_id": ids, "h": rid * np.int64(0x5851F42D4C957F2D), "tf": 0, "n_tokens": np.diff(first) + 1,
-                                    "known": np.bincount(doc[known], minlength=b - a), "base": base, "score": score})
-                order = np.lexsort((h[~known], doc[~known]))
-                h, doc = h[~known][order], doc[~known][order]
-                if len(h):
-                    at = np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (doc[1:] != doc[:-1]))))
-                    yield pd.DataFrame({"rid": rid[doc[at]], "doc_id": pd.array([None] * len(at), dtype="Int64"), "h": h[at],
-                                        "tf": np.diff(np.concatenate((at, [len(h)]))), "n_tokens": 0, "known": 0, "base": 0.0, "score": 0.0})
+                yield pd.DataFrame({"rid": rid, "doc_id": ids, "h": rid * np.int64(0x5851F42D4C957F2D), "tree_p": np.float32(0), "last": False, "tf": 0,
+                                    "n_tokens": size + 1, "known": np.bincount(doc[known], minlength=b - a),
+                                    "base": np.bincount(doc[known], np.log10(p), minlength=b - a), "score": score})
+                far = ~known
+                if far.any():
+                    yield pd.DataFrame({"rid": rid[doc[far]], "doc_id": pd.array([None] * int(far.sum()), dtype="Int64"), "h": h[far],
+                                        "tree_p": np.log10(tree_p[far]).astype(np.float32), "last": last[far] < 1, "tf": 1,
+                                        "n_tokens": 0, "known": 0, "base": 0.0, "score": 0.0})
 
     rows = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("rid")).mapInPandas(
-        run, "rid long, doc_id long, h long, tf long, n_tokens long, known long, base double, score double")
+        run, "rid long, doc_id long, h long, tree_p float, last boolean, tf int, n_tokens int, known int, base double, score double")
     seldom = words.where(F.col("c") < max(1.0, heavy * n))
     part = rows.join(seldom, "h", "left")
+    p = (F.coalesce("c", F.lit(0)) + 1) / F.lit(float(norm))
+    word = share * p * F.when(F.col("last"), end_p).otherwise(1.0) + (1 - share) * F.pow(F.lit(10.0), F.col("tree_p").cast("double"))
     out = part.groupBy("rid").agg(
         F.max("doc_id").alias("doc_id"), F.sum("n_tokens").alias("n_tokens"),
         F.sum(F.col("known") + F.when(F.col("c").isNotNull(), F.col("tf")).otherwise(0)).alias("n_known"),
-        F.sum(F.col("base") + F.col("tf") * F.log10((F.coalesce("c", F.lit(0)) + 1) / F.lit(float(norm)))).alias("base"),
-        F.sum("score").alias("score"))
-    end = float(np.log10((ends + 1) / norm))
+        F.sum(F.when(F.col("tf") > 0, F.log10(p)).otherwise(F.col("base"))).alias("base"),
+        F.sum(F.when(F.col("tf") > 0, F.log10(word)).otherwise(F.col("score"))).alias("score"))
+    end = float(np.log10(end_p))
     return out.select("doc_id", (id_bucket("doc_id", folds) == held).alias("held_out"), "n_tokens",
                       (F.col("n_known") + int(ends > 0)).cast("long").alias("n_known"), F.lit(int(n)).cast("long").alias("train_tokens"),
                       (F.col("base") + end).alias("base_score"), "score")
