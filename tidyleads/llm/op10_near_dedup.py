@@ -3,15 +3,15 @@
 1. Every text becomes the set of its word-shingle hashes; its sketch is the k
    smallest.  Texts with equal sets form a class, and one sketch stands for it.
 2. Inverted lists of the retained values.  Two sets of the wanted similarity
-   share at least half of their k retained values (k = 64: short of that with a
-   chance below 1e-7; sets so small that a sketch holds them whole share
-   their exact minimum for certain).  So they meet in a list of the
-   size - shared + 1 rarest values of either, and only those are posted:
-   values of common passages go last and hardly ever are.
+   share most of their k retained values: all but `SIGMAS` standard errors (sets so
+   small that a sketch holds them whole share their exact minimum for certain).
+   So they meet in a list of the size - shared + 1 rarest values of either, and
+   only those are posted: values of common passages go last and hardly ever are.
 3. Lists of up to `LIGHT` classes give their pairs.  A longer list, as of
-   thousands of near copies, first gives a star around its least class; then
-   only those of its pairs are sought that lie in different components so far, block by block,
-   inside tasks, and only pairs that pass the estimate leave them.
+   thousands of near copies, first gives stars around its most central class (whose retained
+   values are the most common) and its largest; then only those of its pairs are sought that
+   lie in different components so far, block by block, inside tasks, each
+   in the first list that holds both, and only pairs that share enough leave them.
 4. Pairs whose similarity estimated from the union sketch is too low go; the others are
    verified on full shingle sets.
 5. Verified links give connected components.
@@ -34,8 +34,10 @@ from .common import byte_chunks, encoded, materialize, mix, shingle_hashes, word
 from .components import components
 
 K = 64
-#: Lists up to this length give all their pairs (4,950 at most).
-LIGHT = 100
+#: Lists up to this length give all their pairs (190 at most).
+LIGHT = 20
+#: Standard errors of slack in what two similar sets' sketches share.
+SIGMAS = 6
 #: Classes in a block of a long list.
 BLOCK = 2000
 
@@ -63,20 +65,28 @@ def sketches(docs: DataFrame, shingle: int, k: int = K) -> DataFrame:
         run, "doc_id long, th long, cid long, n long, sketch array<long>")
 
 
+def _least_shared(k: int, percent: int) -> int:
+    """Values that the sketches of two similar sets of k or more shingles share at least."""
+    p = percent / 100
+    return max(1, int(k * (p - SIGMAS * (p * (1 - p) / k) ** 0.5)))
+
+
 def _shared(n, k: int, percent: int):
-    """Retained values that two similar sets share at least, for a set of size n."""
-    return F.when(n * 100 <= k * percent, F.ceil(n * percent / F.lit(100.0))).otherwise(F.lit(k // 2)).cast("int")
+    """Retained values that a set of size n shares at least with any similar set."""
+    return F.when(n * 100 <= k * percent, F.ceil(n * percent / F.lit(100.0))).otherwise(F.lit(_least_shared(k, percent))).cast("int")
 
 
 def postings(reps: DataFrame, k: int, percent: int) -> DataFrame:
-    """(value, cid, n): the rarest retained values of each class."""
+    """(value, cid, n, w, posted): the rarest retained values of each class, how central the
+    class is, and the first values of all that it posts."""
     rows = reps.select("cid", "n", F.size("sketch").alias("s"), F.explode("sketch").alias("value"))
     common = rows.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
-    held = rows.join(common, "value").groupBy("cid", "n", "s").agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("held"))
+    held = rows.join(common, "value").groupBy("cid", "n", "s").agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("held"),
+                                                                   (F.sum("df") / F.col("s")).alias("w"))
     # values that no other class retains are rarest and come first; they post nothing
     wanted = F.col("s") - _shared(F.col("n"), k, percent) + 1 - (F.col("s") - F.size("held"))
-    return held.select("cid", "n", F.explode(F.slice("held", F.lit(1), F.greatest(wanted, F.lit(0)))).alias("x")).select(
-        F.col("x.value").alias("value"), "cid", "n")
+    posted = F.slice("held", F.lit(1), F.greatest(wanted, F.lit(0)))["value"]
+    return held.select("cid", "n", "w", posted.alias("posted")).select(F.explode("posted").alias("value"), "cid", "n", "w", "posted")
 
 
 def _close(a, b, percent: int):
@@ -84,28 +94,31 @@ def _close(a, b, percent: int):
 
 
 def estimated(pairs: DataFrame, reps: DataFrame, k: int, percent: int) -> DataFrame:
-    """Pairs whose union sketch lets them be similar: 5 standard errors of slack."""
-    slack = 5 * (percent / 100 * (1 - percent / 100) / k) ** 0.5
+    """Pairs whose union sketch lets them be similar."""
+    least = _least_shared(k, percent) / k
     sk = reps.select("cid", "sketch")
     both = (pairs.join(sk.select(F.col("cid").alias("a"), F.col("sketch").alias("sa")), "a")
             .join(sk.select(F.col("cid").alias("b"), F.col("sketch").alias("sb")), "b"))
     order = F.slice(F.array_sort(F.array_union("sa", "sb")), 1, k)  # the k smallest of the union
     shared = F.size(F.array_intersect(order, F.array_intersect("sa", "sb")))
-    return both.where(shared >= F.size(order) * (percent / 100 - slack)).select("a", "b")
+    return both.where(shared >= F.floor(F.size(order) * least)).select("a", "b")
 
 
 def _members(lists: DataFrame) -> DataFrame:
-    return lists.groupBy("value").agg(F.count("*").alias("m"), F.min(F.struct("cid", "n")).alias("hub"))
+    return lists.groupBy("value").agg(F.count("*").alias("m"), F.max(F.struct("w", "cid", "n")).alias("central"),
+                                      F.max(F.struct("n", "cid")).alias("largest"))
 
 
 def light_pairs(posts: DataFrame, percent: int, light: int = LIGHT) -> DataFrame:
-    """All pairs of lists of up to ``light`` members, and the star of each longer list."""
-    listed = posts.join(_members(posts).where("m > 1"), "value")
+    """All pairs of lists of up to ``light`` members, and the stars of each longer list."""
+    listed = posts.drop("posted").join(_members(posts).where("m > 1"), "value")
     a = listed.where(F.col("m") <= light).select("value", F.col("cid").alias("a"), F.col("n").alias("na"))
     b = listed.where(F.col("m") <= light).select("value", F.col("cid").alias("b"), F.col("n").alias("nb"))
     pairs = a.join(b, "value").where("a < b").where(_close(F.col("na"), F.col("nb"), percent)).select("a", "b")
-    star = listed.where((F.col("m") > light) & (F.col("cid") != F.col("hub.cid")))
-    star = star.where(_close(F.col("n"), F.col("hub.n"), percent)).select(F.col("hub.cid").alias("a"), F.col("cid").alias("b"))
+    hubs = F.explode(F.array(F.struct(F.col("central.cid").alias("cid"), F.col("central.n").alias("n")),
+                             F.struct(F.col("largest.cid").alias("cid"), F.col("largest.n").alias("n"))))
+    star = listed.where(F.col("m") > light).select("cid", "n", hubs.alias("hub")).where("cid <> hub.cid")
+    star = star.where(_close(F.col("n"), F.col("hub.n"), percent)).select(F.least("cid", "hub.cid").alias("a"), F.greatest("cid", "hub.cid").alias("b"))
     return pairs.union(star).distinct()
 
 
@@ -119,9 +132,9 @@ def block_pairs(posts: DataFrame, roots: DataFrame, reps: DataFrame, k: int, per
     blocks = F.ceil(F.col("m") / block).cast("int")
     at = at.withColumn("i", F.pmod(F.xxhash64("cid"), blocks).cast("int"))
     # block i meets block j >= i: send each member to (min(i, j), max(i, j)) for all j
-    sent = at.select("value", "cid", "n", "root", "sketch", "i", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("j"))
-    sent = sent.select("value", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"), "i", "cid", "n", "root", "sketch")
-    least = k // 2
+    sent = at.select("value", "cid", "n", "root", "sketch", "posted", "i", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("j"))
+    sent = sent.select("value", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"), "i", "cid", "n", "root", "sketch", "posted")
+    least = _least_shared(k, percent)
 
     def meet(key, pdf):
         lo, hi = key[1], key[2]
@@ -132,16 +145,20 @@ def block_pairs(posts: DataFrame, roots: DataFrame, reps: DataFrame, k: int, per
         owner = np.repeat(np.arange(len(right)), [len(s) for s in right["sketch"]])
         order = np.argsort(values, kind="stable")
         values, owner = values[order], owner[order]
-        for c, n, r, s in zip(left["cid"], left["n"], left["root"], left["sketch"]):
+        posted = [set(p.tolist()) for p in right["posted"]]
+        for c, n, r, s, p0 in zip(left["cid"], left["n"], left["root"], left["sketch"], left["posted"]):
             s = np.sort(np.asarray(s))
             x, y = np.searchsorted(values, s), np.searchsorted(values, s, side="right")
             hit = np.concatenate([owner[p:q] for p, q in zip(x, y)]) if len(s) else owner[:0]
             shared = np.bincount(hit, minlength=len(right))
             need = least if n * 100 > k * percent else -(-n * percent // 100)
+            need = np.maximum(need, np.minimum(np.maximum(size, n), k) * least // k)
             ok = (shared >= need) & (root != r) & (np.minimum(size, n) * 100 >= np.maximum(size, n) * percent)
             if lo == hi:
                 ok &= cid > c
-            out += [(min(c, d), max(c, d)) for d in cid[ok]]
+            mine = p0.tolist()
+            # a pair that shares several lists is judged in the least of them
+            out += [(min(c, cid[j]), max(c, cid[j])) for j in np.flatnonzero(ok) if min(v for v in mine if v in posted[j]) == key[0]]
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
     return sent.groupBy("value", "lo", "hi").applyInPandas(meet, "a long, b long").distinct()
