@@ -48,14 +48,14 @@ def pack(docs: DataFrame) -> DataFrame:
     def run(batches):
         zip_ = zstandard.ZstdCompressor(level=6)
         for pdf in batches:
-            texts, ids = encoded(pdf["text"]), pdf["doc_id"].fillna(LAST).astype("int64").to_numpy()
+            texts, ids = encoded(pdf["text"]), pdf["doc_id"].to_numpy()
             for a, e in byte_chunks(texts):
                 for lo in range(a, e, BLOCK_DOCS):
                     part = texts[lo:min(e, lo + BLOCK_DOCS)]
                     yield pd.DataFrame({
                         "ids": [ids[lo:lo + len(part)].tobytes()], "sizes": [np.array([len(t) for t in part], dtype=np.int64).tobytes()],
                         "digests": [b"".join(hashlib.md5(t).digest() for t in part)], "z": [zip_.compress(b"".join(part))]})
-    rows = docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(run, "ids binary, sizes binary, digests binary, z binary")
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc_id"), "text").mapInPandas(run, "ids binary, sizes binary, digests binary, z binary")
     return rows.select(F.monotonically_increasing_id().alias("block"), "*")
 
 
@@ -117,7 +117,8 @@ def samples(buf: np.ndarray, ends: np.ndarray, length: int, gram: int):
 
 
 class _Out:
-    """Buffer that a task deals out to buckets, one row for each bucket and flush."""
+    """Buffer that a task deals out to buckets by hash, one row of packed columns for
+    each bucket and flush."""
 
     def __init__(self, buckets: int, limit: int):
         self.buckets, self.limit, self.parts, self.size = buckets, limit, [], 0
@@ -127,18 +128,20 @@ class _Out:
         self.size += len(h)
 
     def flush(self):
-        cols = [np.concatenate(x) for x in zip(*self.parts)]
-        bucket = (mix(cols[0]) % np.uint64(self.buckets)).astype(np.int64)
+        h, *cols = [np.concatenate(x) for x in zip(*self.parts)]
+        bucket = (mix(h) % np.uint64(self.buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         bucket, cols = bucket[order], [c[order] for c in cols]
         cut = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True]))) if len(bucket) else [0]
         self.parts, self.size = [], 0
-        return pd.DataFrame([(bucket[a], *[c[a:b].tobytes() for c in cols]) for a, b in zip(cut[:-1], cut[1:])],
+        zip_ = zstandard.ZstdCompressor(level=3).compress
+        return pd.DataFrame([(bucket[a], *[zip_(c[a:b].tobytes()) for c in cols]) for a, b in zip(cut[:-1], cut[1:])],
                             columns=["bucket", *[f"c{i}" for i in range(len(cols))]])
 
 
 def _joined(pdf, *kinds):
-    return [np.concatenate([np.frombuffer(x, dtype=k) for x in pdf[f"c{i}"]]) for i, k in enumerate(kinds)]
+    unzip = zstandard.ZstdDecompressor().decompress
+    return [np.concatenate([np.frombuffer(unzip(x), dtype=k) for x in pdf[f"c{i}"]]) for i, k in enumerate(kinds)]
 
 
 def _by_block(gid: np.ndarray, *columns):
@@ -167,14 +170,17 @@ def suspects(blocks: DataFrame, length: int, gram: int, buckets: int) -> DataFra
                 sums = _sums(buf)
                 left = _grams(sums, np.maximum(at - side, 0), side)
                 right = _grams(sums, np.minimum(at + gram, len(buf) - side), side)
-                out.add(h, left.astype(np.uint8), right.astype(np.uint8), (np.int64(r.block) << 16) + doc, at.astype(np.uint32))
+                out.add(h, h.view(np.uint8).reshape(-1, 8)[:, :5], left.astype(np.uint8), right.astype(np.uint8), (np.int64(r.block) << 16) + doc, at.astype(np.uint32))
                 if out.size > out.limit:
                     yield out.flush()
         if out.parts:
             yield out.flush()
 
     def meet(pdf):
-        h, left, right, gid, at = _joined(pdf, np.uint64, np.uint8, np.uint8, np.int64, np.uint32)
+        h5, left, right, gid, at = _joined(pdf, np.uint8, np.uint8, np.uint8, np.int64, np.uint32)
+        h = np.zeros((len(gid), 8), dtype=np.uint8)
+        h[:, :5] = h5.reshape(-1, 5)  # ties of five bytes of a hash by chance only let a sample through
+        h = h.view(np.uint64).ravel()
         hit = np.zeros(len(h), dtype=bool)
         for half in (left, right):
             order = np.lexsort((half, h))
@@ -217,7 +223,7 @@ def shared_strings(blocks: DataFrame, near: DataFrame, length: int, gram: int, b
                 left = buf[np.maximum(at[:, None] - 1 - np.arange(reach), 0)]
                 right = buf[np.minimum(at[:, None] + gram + np.arange(reach), len(buf) - 1)]
                 h = _grams(_sums(buf), at, gram)
-                out.add(h, ids[doc], (np.int64(r.block) << 16) + doc, at.astype(np.uint32), before.astype(np.uint8), after.astype(np.uint8), left, right)
+                out.add(h, h, ids[doc], (np.int64(r.block) << 16) + doc, at.astype(np.uint32), before.astype(np.uint8), after.astype(np.uint8), left, right)
                 if out.size > out.limit:
                     yield out.flush()
         if out.parts:
