@@ -40,7 +40,7 @@ def phone_e164(phone, country) -> Column:
     """Phone -> E.164 with a table of calling codes.
 
     NULL/blank -> unchanged; '+...' -> trimmed as is; letters -> trimmed as is;
-    digits that start with a known calling code and have a valid national
+    an international '00' prefix -> '+' and the digits after it; digits that start with a known calling code and have a valid national
     length -> '+digits'; else, with a known country, drop the trunk prefix and
     prepend that country's code (2 to 17 digits); else trimmed as is.
     Countries outside the table pass through unchanged.
@@ -71,6 +71,7 @@ def phone_e164(phone, country) -> Column:
         return (F.when(p_.isNull() | (s_ == ""), p_)
                 .when(F.startswith(s_, F.lit("+")), s_)
                 .when(s_.rlike(r"\p{L}"), s_)
+                .when(F.startswith(d, F.lit("00")) & (F.length(d) > 4), F.concat(F.lit("+"), F.substring(d, 3, 1 << 30)))
                 .otherwise(F.coalesce(intl(1), intl(2), intl(3), as_nat, s_)))
 
     return F.element_at(F.transform(F.array(bound), body), 1)

@@ -8,6 +8,17 @@ from pyspark.sql import functions as F
 from ._util import as_col
 
 
+#: Decimal numbers, with or without fraction and exponent.
+NUMBER = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+#: White space at the ends of a cell: spaces, tabs, line breaks, no-break space.
+BLANKS = " \t\n\r\x0b\x0c\u00a0"
+
+
+def trimmed(c) -> Column:
+    """Without white space of any kind at either end."""
+    return F.btrim(as_col(c), F.lit(BLANKS))
+
+
 def to_long0(c) -> Column:
     """Tolerant numeric cast: integer text as is, other numbers truncated
     toward zero, anything unparseable or missing -> 0.
@@ -15,13 +26,15 @@ def to_long0(c) -> Column:
     The integer path comes first so IDs beyond 2**53 keep their precision.
     """
     c = as_col(c)
-    s = F.trim(c.cast("string"))
+    s = trimmed(c.cast("string"))
+    s = F.when(s.rlike(NUMBER), s)
     return F.coalesce(s.try_cast("bigint"), s.try_cast("double").try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def is_numeric(c) -> Column:
-    """True when the text parses as a number (instruction/note rows do not)."""
-    return F.trim(as_col(c).cast("string")).try_cast("double").isNotNull()
+    """True when the text is a decimal number (instruction/note rows are not; nor are
+    'nan', 'Infinity' and Java's suffixed literals such as '12d')."""
+    return F.coalesce(trimmed(as_col(c).cast("string")).rlike(NUMBER), F.lit(False))
 
 
 def null_if_missing(c, tokens=("",), nan: bool = True) -> Column:
@@ -29,7 +42,7 @@ def null_if_missing(c, tokens=("",), nan: bool = True) -> Column:
     ``nan`` to NULL.  Tokens are per column: ``#`` only for URLs, ``None``
     exact-case; never apply this to names ("None" is a real surname)."""
     c = as_col(c)
-    t = F.trim(c)
+    t = trimmed(c)
     miss = t.isin(list(tokens)) | (t == "")
     if nan:
         miss = miss | (F.lower(t) == "nan")
@@ -38,7 +51,7 @@ def null_if_missing(c, tokens=("",), nan: bool = True) -> Column:
 
 def is_blank(c) -> Column:
     """NULL or only whitespace."""
-    return F.coalesce(F.trim(as_col(c)), F.lit("")) == ""
+    return F.coalesce(trimmed(as_col(c)), F.lit("")) == ""
 
 
 def positive_id(c) -> Column:

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions._util import as_col
 from ..functions.values import is_blank
+from .joins import left_lookup
 
 
 def _null_safe_on(left: DataFrame, right: DataFrame, cols: list[str]) -> Column:
@@ -101,7 +102,7 @@ def duplicates_lookup(prepared: DataFrame, tag: str = "") -> DataFrame:
 
 def duplicates_attach(prepared: DataFrame, lookup: DataFrame, name: str, tag: str = "") -> DataFrame:
     kcols = [c for c in lookup.columns if c.startswith(f"_dk{tag}")]
-    j = prepared.join(lookup, kcols, "left")
+    j = left_lookup(prepared, lookup, kcols)
     return j.withColumn(name, F.col(f"_elig{tag}") & F.coalesce(F.col(f"_dup{tag}"), F.lit(False))) \
             .drop(*kcols, f"_elig{tag}", f"_dup{tag}")
 
@@ -118,7 +119,9 @@ def flag_duplicates(df: DataFrame, keys: list, eligible: Column | None = None,
 
 
 def person_key(first, last) -> Column:
-    """lower(trim(first)) + '_' + lower(trim(last)); NULL when either is blank."""
+    """lower(trim(first)) + '_' + lower(trim(last)); NULL when either is blank.
+    Decision: a row with one blank name is never a duplicate (the rule for missing
+    names reports it), though others may share the name that it has."""
     f, l = as_col(first), as_col(last)
     return F.when(~is_blank(f) & ~is_blank(l),
                   F.concat(F.lower(F.trim(f)), F.lit("_"), F.lower(F.trim(l))))
@@ -152,7 +155,7 @@ def quota_label(df: DataFrame, threshold: int, order_by: list, group: str = "acc
     order-preserving pieces instead of one window partition."""
     counts = (df.where(F.col(group).isNotNull()).groupBy(group)
               .agg(F.count(F.lit(1)).alias("_gcount")))
-    j = df.join(counts, group, "left")
+    j = left_lookup(df, counts, [group])
     over = j.where(F.col("_gcount") > threshold)
     rest = j.where(F.col("_gcount").isNull() | (F.col("_gcount") <= threshold))
     if tiers:

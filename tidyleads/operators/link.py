@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions._util import as_col
-from ..functions.values import is_blank, null_if_missing, positive_id
+from ..functions.values import null_if_missing, positive_id
+from .joins import left_lookup
 
 
 def order_struct(order_by) -> Column:
@@ -56,32 +57,31 @@ def choose_link_key(columns: list[str], strategy: str) -> str:
     raise ValueError(f"unknown link strategy {strategy!r}")
 
 
-def link_accounts(df: DataFrame, accounts: DataFrame, on: str, dedupe: bool | None = None,
+def link_accounts(df: DataFrame, accounts: DataFrame, on: str, dedupe: bool = True,
                   order_by=None, take=("account_name", "account_country", "tags")) -> DataFrame:
     """Attach account columns to prospects by one key (left join).
 
     ``on``: custom_id | website_url | account_name | company (company is
-    matched against the account name).  Account keys are deduplicated keep-first
-    by default except for the URL and company links, which fan out like the
-    reference; NULL keys and ID 0 never match.  Columns in ``take`` replace
-    same-named prospect columns.
+    matched against the account name).  Account keys are deduplicated keep-first;
+    ``dedupe=False`` lets a prospect meet every account of its key.  Missing keys
+    (NULL, blank, 'nan', '#' for URLs) and ID 0 never match.  Columns in ``take``
+    replace same-named prospect columns.
     """
-    if dedupe is None:
-        dedupe = on in ("custom_id", "account_name")
     acc_key = "account_name" if on == "company" else on
     order_by = order_by or ["account_name", "custom_id"]
     wanted = ([] if on == "custom_id" else ["custom_id"]) + list(take)
     bring = [c for c in wanted if c in accounts.columns and c != on]
-    side = accounts
-    if dedupe:
-        side = first_per_key(side.where(F.col(acc_key).isNotNull()), [acc_key], order_by)
     if on == "custom_id":
         key_r = F.when(positive_id(acc_key) > 0, positive_id(acc_key))
         key_l = F.when(positive_id(on) > 0, positive_id(on))
     else:
-        key_r, key_l = F.col(acc_key), F.col(on)
-    side = side.select(key_r.alias("_lk"), *[F.col(c).alias(f"_acc_{c}") for c in bring])
-    joined = df.withColumn("_lk", key_l).join(side, "_lk", "left")
+        tokens = ("#",) if on == "website_url" else ()
+        key_r, key_l = null_if_missing(acc_key, tokens), null_if_missing(on, tokens)
+    side = accounts.withColumn("_lk", key_r).where(F.col("_lk").isNotNull())
+    if dedupe:
+        side = first_per_key(side, ["_lk"], order_by)
+    side = side.select("_lk", *[F.col(c).alias(f"_acc_{c}") for c in bring])
+    joined = left_lookup(df.withColumn("_lk", key_l), side, ["_lk"])
     keep = [c for c in df.columns if c not in bring]
     return joined.select(*[F.col(f"`{c}`") for c in keep],
                          *[F.col(f"_acc_{c}").alias(c) for c in bring])
@@ -102,11 +102,11 @@ def enrich_from(accounts: DataFrame, master: DataFrame, key: str = "custom_id",
 
 def repair_ids(df: DataFrame, accounts: DataFrame, order_by=("account_name", "custom_id")) -> DataFrame:
     """Missing account ID -> ID of the first account with the same name; no
-    match -> 0.  (Applied per row; the reference does it only when the whole
-    column is missing, which is the same on such inputs.)"""
+    match -> 0.  Decision: a row without an ID is repaired whether or not other rows
+    have one, so a row's result does not depend on the rest of its file."""
     m = first_per_key(accounts.where(F.col("account_name").isNotNull()), ["account_name"], list(order_by))
     m = m.select(F.col("account_name").alias("_an"), F.col("custom_id").alias("_cid"))
-    j = df.join(m, df["account_name"] == m["_an"], "left")
+    j = left_lookup(df.withColumn("_an", F.col("account_name")), m, ["_an"])
     return j.withColumn("custom_id", F.coalesce(F.col("custom_id"), F.col("_cid"), F.lit(0).cast("bigint"))) \
             .select(*df.columns)
 

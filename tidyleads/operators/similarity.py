@@ -23,15 +23,13 @@ from ..functions._util import as_col
 from ..functions.contact import domain_core
 from ..functions.text import fold_text, strip_words
 from ..functions.values import is_blank
-
-# difflib's popular-character heuristic only engages from this length on;
-# below it, containment of the shorter text means a perfect window.
-_AUTOJUNK_LEN = 200
+from .joins import left_lookup
 
 
 def partial_ratio(a: str | None, b: str | None) -> int:
     """Partial similarity 0..100 of two texts (argument order matters when
-    both have the same length)."""
+    both have the same length).  Decision: no character counts as junk, at any
+    length, so containment of the shorter text always means 100."""
     if a is None or b is None:
         return 0
     if a == b:
@@ -40,9 +38,9 @@ def partial_ratio(a: str | None, b: str | None) -> int:
         return 0
     short, long_ = (a, b) if len(a) <= len(b) else (b, a)
     best = 0.0
-    for i, j, _ in SequenceMatcher(None, short, long_).get_matching_blocks():
+    for i, j, _ in SequenceMatcher(None, short, long_, autojunk=False).get_matching_blocks():
         start = max(j - i, 0)
-        r = SequenceMatcher(None, short, long_[start:start + len(short)]).ratio()
+        r = SequenceMatcher(None, short, long_[start:start + len(short)], autojunk=False).ratio()
         if r > 0.995:
             return 100
         best = max(best, r)
@@ -60,7 +58,7 @@ def contains_shortcut(a, b) -> Column:
     short = F.when(F.length(a) <= F.length(b), a).otherwise(b)
     long_ = F.when(F.length(a) <= F.length(b), b).otherwise(a)
     return F.when(a == b, F.lit(100)).when(
-        (F.length(short) > 0) & (F.length(long_) < _AUTOJUNK_LEN) & F.contains(long_, short), F.lit(100))
+        (F.length(short) > 0) & F.contains(long_, short), F.lit(100))
 
 
 def score_pairs(pairs: DataFrame, a: str = "a", b: str = "b", out: str = "score") -> DataFrame:
@@ -129,7 +127,7 @@ def domain_lookup(prepared: DataFrame) -> DataFrame:
 
 
 def domain_attach(prepared: DataFrame, lookup: DataFrame, out: str = "domain_score") -> DataFrame:
-    j = prepared.join(lookup, ["_ca", "_cb"], "left")
+    j = left_lookup(prepared.withColumns({c: F.when(F.col("_sc_ok"), F.col(c)) for c in ("_ca", "_cb")}), lookup, ["_ca", "_cb"])
     return j.withColumn(out, F.when(F.col("_sc_ok"), F.col("_score"))).drop("_ca", "_cb", "_score", "_sc_ok")
 
 
@@ -167,7 +165,7 @@ def bad_email_lookup(prepared: DataFrame, cutoff: int = refdata.BAD_EMAIL_CUTOFF
 
 
 def bad_email_attach(prepared: DataFrame, lookup: DataFrame, out: str = "bad_email") -> DataFrame:
-    j = prepared.join(lookup, ["_f", "_l", "_e"], "left")
+    j = left_lookup(prepared.withColumns({c: F.when(F.col("_need"), F.col(c)) for c in ("_f", "_l", "_e")}), lookup, ["_f", "_l", "_e"])
     return j.withColumn(out, F.col("_need") & F.coalesce(F.col("_bad"), F.lit(False))) \
             .drop("_f", "_l", "_e", "_need", "_bad")
 

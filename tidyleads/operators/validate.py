@@ -12,26 +12,15 @@ from ..functions import contact as C
 from ..functions.text import title_case
 from ..functions.values import is_blank
 from . import similarity
+from .joins import left_lookup
 from .identity import duplicates_attach, duplicates_lookup, duplicates_prepare, person_key
 
 DECISIVE = {"male": "Male", "mostly_male": "Male", "female": "Female", "mostly_female": "Female"}
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def sized_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, known_rows: int | None = None) -> DataFrame:
-    """Broadcast a dimension only when its size is proven small: a known row
-    count (fixed reference tables) or one count of the dimension itself.
-    Beyond the bound the plain DataFrame is returned and AQE / sort-merge
-    join takes over."""
-    n = known_rows if known_rows is not None else dim.count()
-    return F.broadcast(dim) if n <= max_rows else dim
 
 
 def _names_dim(spark, names: DataFrame | None) -> DataFrame:
     if names is None:
-        names = sized_broadcast(refdata.first_names_df(spark), known_rows=len(refdata.FIRST_NAMES))
-    else:
-        names = sized_broadcast(names)
+        names = F.broadcast(refdata.first_names_df(spark))  # the fixed table of refdata; a user's table is left to AQE
     dec = F.create_map(*[x for k, v in DECISIVE.items() for x in (F.lit(k), F.lit(v))])
     return names.select(F.lower(F.col("name")).alias("_part"),
                         F.try_element_at(dec, F.lower(F.col("gender_class"))).alias("_g")) \
@@ -54,7 +43,7 @@ def gender_lookup(prepared: DataFrame, names: DataFrame | None = None) -> DataFr
 
 
 def gender_attach(prepared: DataFrame, lookup: DataFrame, out: str = "plausible_gender") -> DataFrame:
-    j = prepared.join(lookup, "_gn", "left")
+    j = left_lookup(prepared, lookup, ["_gn"])
     return j.withColumn(out, F.when(F.col("_g_in"), F.coalesce(F.col("_pg"), F.lit("Unknown")))) \
             .drop("_gn", "_pg", "_g_in")
 
@@ -62,9 +51,9 @@ def gender_attach(prepared: DataFrame, lookup: DataFrame, out: str = "plausible_
 def plausible_gender(df: DataFrame, first: str = "first_name", names: DataFrame | None = None,
                      eligible: Column | None = None, out: str = "plausible_gender") -> DataFrame:
     """First name -> Male / Female / Unknown with a name table (name,
-    gender_class).  Hyphenated names take the first decisive part; mostly_x
-    counts as x.  Looked up case-insensitively, once per distinct first name
-    (the name table is broadcast only behind a size check), then joined back."""
+    gender_class; the small table of ``refdata`` if none is given).  Hyphenated names take
+    the first decisive part; mostly_x counts as x.  Looked up case-insensitively, once per
+    distinct first name, then joined back."""
     p = gender_prepare(df, first, eligible)
     return gender_attach(p, gender_lookup(p, names), out)
 
@@ -138,15 +127,12 @@ def allowed_values(df: DataFrame, checks: dict[str, str]) -> DataFrame:
     """Violations of the template value lists: (column, value, count) for
     non-blank values of ``checks`` (column -> domain name) not in the list.
     The value lists are fixed and small, so they are broadcast."""
-    spark = df.sparkSession
-    dv = refdata.domain_values_df(spark)
-    out = None
-    for col, domain in checks.items():
-        if col not in df.columns:
-            continue
-        allowed = F.broadcast(dv.where(F.col("domain") == domain).select(F.col("value").alias("_v")))
-        vals = df.select(F.col(col).alias("_v")).where(~is_blank("_v"))
-        bad = (vals.join(allowed, "_v", "left_anti").groupBy("_v").agg(F.count(F.lit(1)).alias("count"))
-               .select(F.lit(col).alias("column"), F.col("_v").alias("value"), "count"))
-        out = bad if out is None else out.unionByName(bad)
-    return out
+    pairs = [(c, d) for c, d in checks.items() if c in df.columns]
+    allowed = F.broadcast(refdata.domain_values_df(df.sparkSession).select(F.col("domain").alias("_d"), F.col("value")))
+    # one pass: (column, domain, value) stacked, counted map-side, then held against the lists
+    stacked = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.lit(d).alias("_d"), F.col(f"`{c}`").cast("string").alias("value"))
+                                  for c, d in pairs])) if pairs else None
+    if stacked is None:
+        return df.sparkSession.createDataFrame([], "column string, value string, count long")
+    counts = df.select(stacked.alias("_x")).select("_x.*").where(~is_blank("value")).groupBy("column", "_d", "value").agg(F.count(F.lit(1)).alias("count"))
+    return counts.join(allowed, ["_d", "value"], "left_anti").select("column", "value", "count")

@@ -7,12 +7,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from ..operators import report
-from .fixtures import table
-
-THRESHOLD = 3
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -27,34 +21,6 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-# ---------------------------------------------------------------------------
-# Flagship: accounts with insufficient prospects (A-7, A-8)
-# ---------------------------------------------------------------------------
-def flagship_inputs(spark: SparkSession, sf_dir: str):
-    accounts = table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("custom_id"), F.col("c_name").alias("account_name"),
-        F.col("c_mktsegment").alias("tags"))
-    prospects = (table(spark, sf_dir, "orders").where(F.col("o_orderpriority") == "1-URGENT")
-                 .select(F.col("o_custkey").alias("custom_id"), F.lit(None).cast("string").alias("account_name")))
-    return accounts, prospects
-
-
-@register("insufficient_accounts", f"""
-WITH cnt AS (
-  SELECT o_custkey AS custom_id, count(*) AS n FROM orders
-  WHERE o_orderpriority = '1-URGENT' AND o_custkey > 0 GROUP BY o_custkey),
-a AS (
-  SELECT c.c_custkey AS custom_id, c.c_name AS account_name, c.c_mktsegment AS tags,
-         CAST(coalesce(cnt.n, 0) AS BIGINT) AS prospect_count
-  FROM customer c LEFT JOIN cnt ON cnt.custom_id = c.c_custkey)
-SELECT *, CASE WHEN prospect_count = 0 THEN 'none' ELSE 'few' END AS segment
-FROM a WHERE prospect_count < {THRESHOLD}
-""")
-def q_insufficient_accounts(spark, sf_dir):
-    accounts, prospects = flagship_inputs(spark, sf_dir)
-    return report.insufficient_accounts(accounts, prospects, THRESHOLD)
-
-
 def _load_all():
     """Import the query modules so their ``register`` calls run."""
     from . import q_identity, q_jobs, q_linking, q_reports, q_scalars  # noqa: F401

@@ -26,19 +26,71 @@ from ..operators import columns as cols
 from ..operators import identity, link, reconcile, report
 from ..operators.validate import validate
 from ..session import cut_lineage
+from ..sources import files
 
 CANONICAL = ["custom_id", "account_name", "tags", "first_name", "last_name", "title", "gender", "email",
              "linkedin_url", "work_phone", "mobile_phone", "city", "state", "zip", "country",
              "account_country", "source", "prospect_id"]
 
 
+# ---------------------------------------------------------------------------
+# Vendor headers and the canonical column each one feeds.
+# ---------------------------------------------------------------------------
+COMMON_HEADERS = {
+    "customId": "custom_id", "First Name": "first_name", "Middle Name": "middle_name", "Last Name": "last_name",
+    "Gender": "gender", "Title": "title", "Email": "email", "Country": "country",
+}
+OUTREACH_HEADERS = {
+    "Custom Field 32": "custom_id", "Custom Field 18": "zoominfo_contact_id", "Custom Field 29": "lg_source_evidence",
+    "Custom Field 19": "zoominfo_company_id", "Custom Field 12": "company_sic_code", "Custom Field 11": "company_naics_code",
+    "LinkedIn": "linkedin_url", "Work Phone": "work_phone", "Mobile Phone": "mobile_phone", "Street": "address",
+    "City": "city", "State": "state", "Zipcode": "zip", "Company Natural": "company_natural", "Company Founded At": "company_founded_date",
+}
+ZOOMINFO_HEADERS = {
+    "ZoomInfo Contact ID": "zoominfo_contact_id", "Query Name": "account_name", "Website URL": "website_url", "Job Title": "title",
+    "Direct Phone Number": "work_phone", "Email Address": "email", "Mobile phone": "mobile_phone",
+    "ZoomInfo Contact Profile URL": "lg_source_evidence", "LinkedIn Contact Profile URL": "linkedin_url",
+    "Person Street": "address", "Person City": "city", "Person State": "state", "Person Zip Code": "zip",
+    "ZoomInfo Company ID": "zoominfo_company_id", "Company Name": "company_natural", "Website": "website",
+    "Founded Year": "company_founded_date", "SIC Code 1": "company_sic_code", "NAICS Code 1": "company_naics_code",
+}
+LEADGENIUS_HEADERS = {
+    "Contact Status": "contact_status", "Company Status": "company_status", "Website URL": "website", "Company Name": "company",
+    "otherPhones": "mobile_phone", "Company Phone": "work_phone", "LinkedIn URL": "company_linkedin", "Job Title": "title",
+    "LinkedIn Profile URL": "linkedin_url", "Contact City": "city", "Contact State": "state", "Contact Country": "country",
+    "Contact Zip code": "zip", "gender": "gender", "Prospect Persona": "persona_name", "Prospect Stage": "stage",
+    "WBS Code": "wbs_code", "LG_Outcome_Status": "lg_outcome_status", "source": "source",
+}
+# The company's own address and bookkeeping columns of LeadGenius files.
+LEADGENIUS_DROPPED = (
+    "Street", "City", "State", "Country", "Zip", "industry", "Employee Range", "Revenue Range", "tags", "Prospect.tags",
+    "Last Updated", "Created Date", "Account CRM ID", "Contact CRM ID", "LG Account ID", "LG Contact ID",
+)
+# Columns that hold whole numbers.
+NUMERIC = ("custom_id", "zoominfo_contact_id", "zoominfo_company_id", "company_founded_date", "company_sic_code", "company_naics_code")
+OUTREACH_KEPT = (
+    "custom_id", "account_name", "account_country", "tags", "first_name", "middle_name", "last_name", "gender", "title", "email",
+    "work_phone", "mobile_phone", "linkedin_url", "address", "city", "state", "zip", "country",
+)
+ZOOMINFO_KEPT = (
+    "custom_id", "account_name", "account_country", "company_natural", "tags", "zoominfo_contact_id", "last_name", "first_name",
+    "middle_name", "gender", "title", "work_phone", "email", "mobile_phone", "lg_source_evidence", "linkedin_url", "address",
+    "city", "state", "zip", "country", "zoominfo_company_id", "website", "company_founded_date", "company_sic_code", "company_naics_code",
+)
+LEADGENIUS_KEPT = (
+    "company_status", "contact_status", "custom_id", "account_name", "account_country", "company", "tags", "website", "first_name",
+    "last_name", "title", "gender", "email", "linkedin_url", "city", "state", "country", "zip", "work_phone", "mobile_phone",
+    "company_linkedin", "persona_name", "stage", "wbs_code", "lg_outcome_status", "source",
+)
+
+
 @dataclass(frozen=True)
 class SourceSpec:
-    """Configuration of one prospect source (the reference's per-script dict)."""
+    """Configuration of one prospect source: the headers of its files, what to keep, how to link and validate."""
     label: str
     prefix: str
     link_strategy: str
-    rename: dict = field(default_factory=dict)
+    headers: dict = field(default_factory=dict)
     drop_before_rename: tuple = ()
     keep: tuple = ()
     require: tuple = ()
@@ -53,15 +105,17 @@ class SourceSpec:
     rank: int = 0
 
 
-OUTREACH = SourceSpec(label="Outreach", prefix="O", link_strategy="custom_id",
-                      require=("email", "custom_id"), rank=0)
-ZOOMINFO = SourceSpec(label="ZoomInfo", prefix="Z", link_strategy="zi_fallback", same_country=True,
-                      convert_country=True, gender_mode="B", rank=1)
-LEADGENIUS = SourceSpec(label="LeadGenius", prefix="L", link_strategy="company_name", verified_only=True,
-                        rename={"company_linkedin_url": "company_linkedin"},
+OUTREACH = SourceSpec(label="Outreach", prefix="O", link_strategy="custom_id", headers=COMMON_HEADERS | OUTREACH_HEADERS,
+                      keep=OUTREACH_KEPT, require=("email", "custom_id"), rank=0)
+ZOOMINFO = SourceSpec(label="ZoomInfo", prefix="Z", link_strategy="zi_fallback", headers=COMMON_HEADERS | ZOOMINFO_HEADERS,
+                      keep=ZOOMINFO_KEPT, same_country=True, convert_country=True, gender_mode="B", rank=1)
+LEADGENIUS = SourceSpec(label="LeadGenius", prefix="L", link_strategy="company_name", headers=COMMON_HEADERS | LEADGENIUS_HEADERS,
+                        drop_before_rename=LEADGENIUS_DROPPED, keep=LEADGENIUS_KEPT, verified_only=True,
                         convert_country=True, convert_account_country=True, format_phones=True,
                         check_country=True, deliverable_extra=("company_linkedin",), rank=2)
 SPECS = {s.prefix: s for s in (OUTREACH, ZOOMINFO, LEADGENIUS)}
+#: Columns of a vendor's row by which equal names are ordered: the rest of what a person's row may hold.
+TIEBREAK = ("email", "title", "linkedin_url", "work_phone", "mobile_phone", "city", "state", "zip", "country", "custom_id")
 
 
 def _order_key():
@@ -69,22 +123,30 @@ def _order_key():
     return F.regexp_extract(F.col("prospect_id"), r"([0-9]+)$", 1).cast("bigint")
 
 
-def prepare_source(spec: SourceSpec, main: DataFrame, accounts: DataFrame,
-                   tiebreak: str = "row_key") -> DataFrame:
-    """Filter, type, rename, link accounts and number one source's rows (the
-    sample the edits are later reconciled against)."""
-    df = main
+def read_source(spark, path: str, spec: SourceSpec, **options) -> DataFrame:
+    """A vendor's file or folder of files, by its headers."""
+    return files.read_table(spark, path, **options)
+
+
+def prepare_source(spec: SourceSpec, main: DataFrame, accounts: DataFrame) -> DataFrame:
+    """One vendor's rows as its files have them: filter, drop, rename to canonical columns, type, link to
+    accounts, keep the source's columns and number the rows (the sample that edits are later reconciled against).
+
+    Decision: LeadGenius' own company address is dropped before the contact's takes its
+    names, so the contact's city and country survive."""
+    df = cols.drop_existing(main, list(spec.drop_before_rename))
+    df = cols.rename(df, {h: c for h, c in spec.headers.items() if h in df.columns})
     if spec.verified_only:
         df = cols.where_equals(df, "contact_status", "Verified")
     if spec.require:
         df = cols.require(df, list(spec.require))
-    df = cols.cast_long0(df, ["custom_id", "zip_code"])
-    df = cols.drop_existing(df, list(spec.drop_before_rename))
-    df = cols.rename(df, spec.rename)
+    df = cols.cast_long0(df, [c for c in NUMERIC if c in df.columns])
     key = link.choose_link_key(df.columns, spec.link_strategy)
-    df = link.link_accounts(df, accounts, on=key, order_by=["account_name", "row_key"])
+    order = [c for c in ("account_name", "custom_id", "account_country", "website_url", "tags") if c in accounts.columns]
+    df = link.link_accounts(df, accounts, on=key, order_by=order)
     df = cols.ensure_columns(df, {"gender": F.lit("").cast("string")})
-    order = ["account_name", "first_name", "last_name", tiebreak]
+    df = cols.project(df, [c for c in spec.keep if c in df.columns]) if spec.keep else df
+    order = ["account_name", "first_name", "last_name", *[c for c in TIEBREAK if c in df.columns]]
     return identity.assign_ids(df, spec.prefix, order, tiers=(1, 2))
 
 
@@ -106,19 +168,19 @@ def prospect_issues(spec: SourceSpec, sample: DataFrame, accounts: DataFrame,
     if spec.format_phones:
         df = geo.with_phone_e164(df, [c for c in ("work_phone", "mobile_phone") if c in df.columns], "country")
     df = link.repair_ids(df.withColumn("custom_id", F.when(F.col("custom_id") > 0, F.col("custom_id"))),
-                         accounts, order_by=("account_name", "row_key")) \
+                         accounts, order_by=("account_name", "custom_id")) \
         if "account_name" in df.columns else df
     df = cols.default_source(df, spec.label)
     main = cols.ensure_columns(df, {c: F.lit(None).cast("string") for c in CANONICAL if c not in df.columns})
-    main = main.select(*CANONICAL, "row_key")
-    parts = [(e.select(*[c for c in CANONICAL + ["row_key"] if c in e.columns]), i)
+    main = main.select(*CANONICAL)
+    parts = [(e.select(*[c for c in CANONICAL if c in e.columns]), i)
              for i, e in enumerate(earlier)] + [(main, len(earlier))]
     prospects = reconcile.union_sources(parts)
     if materialize:
         prospects = cut_lineage(prospects)
     v = validate(prospects, in_scope=F.col("prospect_id").startswith(spec.prefix),
                  gender_mode=spec.gender_mode, check_country=spec.check_country)
-    order = [F.col("source_rank"), F.floor(_order_key() / 1024), _order_key(), F.col("row_key")]
+    order = [F.col("source_rank"), F.floor(_order_key() / 1024), _order_key()]
     return identity.quota_label(v, threshold, order_by=order, group="account_name", tiers=[2])
 
 

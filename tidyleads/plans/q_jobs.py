@@ -15,13 +15,20 @@ from .q_linking import ACC_ORDER, ACC_SQL, PRO_SQL, _ACC_FIRST_BY_ID, accounts_t
 THRESHOLD = 3
 
 
+def vendor_rows(spark, sf, spec):
+    """The vendor's rows of the prospect fixture under the headers of its files."""
+    p = fixture(spark, sf, "fx_prospects").where(F.col("vendor") == spec.prefix)
+    named = {c: h for h, c in spec.headers.items() if c != "account_name"}
+    return p.select(*[F.col(c).alias(named[c]) for c in p.columns if c in named])
+
+
 def _issues(spec):
     def run(spark, sf):
-        main = fixture(spark, sf, "fx_prospects")
+        main = vendor_rows(spark, sf, spec)
         acc = accounts_typed(spark, sf)
         sample = cut_lineage(jobs.prepare_source(spec, main, acc))
         out = jobs.prospect_issues(spec, sample, acc, threshold=THRESHOLD)
-        return out.select("prospect_id", "row_key", "account_name", "first_name", "last_name", "gender",
+        return out.select("prospect_id", "account_name", "first_name", "last_name", "gender",
                           "email", "country", "work_phone", "source", "issue", "account_range",
                           "domain_score_label", "plausible_gender")
     return run

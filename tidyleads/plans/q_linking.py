@@ -8,7 +8,7 @@ from ..functions import contact as C
 from ..functions import geo
 from ..functions.values import is_blank, to_long0
 from ..operators import columns as cols
-from ..operators import link
+from ..operators import link, report
 from ..operators.identity import flag_duplicates
 from . import sqltext as S
 from .catalogue import register
@@ -137,13 +137,16 @@ def q_link_by_id(spark, sf):
 
 _BY_URL_SQL = """
 SELECT p.row_key, a.custom_id, a.account_name, a.account_country, a.tags
-FROM pro p LEFT JOIN acc a ON a.website_url = p.website"""
+FROM pro p LEFT JOIN (
+  SELECT * FROM acc WHERE trim(website_url) NOT IN ('', '#') AND lower(trim(website_url)) <> 'nan'
+  QUALIFY row_number() OVER (PARTITION BY website_url ORDER BY account_name NULLS LAST, custom_id, row_key) = 1) a
+  ON a.website_url = p.website"""
 
 
 @register("link_by_url", sql_with("fx_accounts", "fx_prospects") + ACC_SQL + PRO_SQL + _BY_URL_SQL)
 def q_link_by_url(spark, sf):
     p = prospects_typed(spark, sf).select("row_key", F.col("website").alias("website_url"))
-    out = link.link_accounts(p, accounts_typed(spark, sf), on="website_url")
+    out = link.link_accounts(p, accounts_typed(spark, sf), on="website_url", order_by=["account_name", "custom_id", "row_key"])
     return out.select("row_key", "custom_id", "account_name", "account_country", "tags")
 
 
@@ -154,7 +157,7 @@ def q_link_fallback(spark, sf):
                                           F.col("company").alias("account_name"))
     key = link.choose_link_key(p.columns, "zi_fallback")
     out = link.link_accounts(p.drop("account_name") if key != "account_name" else p,
-                             accounts_typed(spark, sf), on=key)
+                             accounts_typed(spark, sf), on=key, order_by=["account_name", "custom_id", "row_key"])
     return out.select("row_key", "custom_id", "account_name", "account_country", "tags")
 
 
@@ -170,10 +173,13 @@ def q_link_by_name(spark, sf):
 
 @register("link_by_company", sql_with("fx_accounts", "fx_prospects") + ACC_SQL + PRO_SQL + """
 SELECT p.row_key, p.company, a.custom_id, a.account_name, a.account_country, a.tags
-FROM pro p LEFT JOIN acc a ON a.account_name = p.company""")
+FROM pro p LEFT JOIN (
+  SELECT * FROM acc WHERE trim(account_name) <> ''
+  QUALIFY row_number() OVER (PARTITION BY account_name ORDER BY custom_id, row_key) = 1) a
+  ON a.account_name = p.company""")
 def q_link_by_company(spark, sf):
     p = prospects_typed(spark, sf).select("row_key", "company")
-    return link.link_accounts(p, accounts_typed(spark, sf), on="company")
+    return link.link_accounts(p, accounts_typed(spark, sf), on="company", order_by=["account_name", "custom_id", "row_key"])
 
 
 @register("repair_ids", sql_with("fx_accounts", "fx_prospects") + ACC_SQL + f"""
@@ -199,3 +205,19 @@ def q_prospect_counts(spark, sf):
     a = accounts_typed(spark, sf).select("row_key", "custom_id", "account_name")
     p = prospects_typed(spark, sf).select("custom_id", F.col("company").alias("account_name"))
     return link.with_prospect_counts(a, p).select("row_key", "custom_id", "prospect_count")
+
+
+#: Prospects that an account should have; the fixture holds about ten per account.
+ENOUGH = 8
+
+
+@register("insufficient_accounts", sql_with("fx_accounts", "fx_prospects") + ACC_SQL + PRO_SQL + f"""
+, cnt AS (SELECT custom_id, count(*) AS n FROM pro WHERE custom_id > 0 GROUP BY custom_id)
+, c AS (SELECT acc.row_key, acc.custom_id, acc.account_name, acc.tags, CAST(coalesce(cnt.n, 0) AS BIGINT) AS prospect_count
+        FROM acc LEFT JOIN cnt ON cnt.custom_id = acc.custom_id AND acc.custom_id > 0)
+SELECT *, CASE WHEN prospect_count = 0 THEN 'none' ELSE 'few' END AS segment FROM c WHERE prospect_count < {ENOUGH}""")
+def q_insufficient_accounts(spark, sf):
+    """Flagship: accounts with too few prospects (A-7, A-8), over the whole fixtures."""
+    a = accounts_typed(spark, sf).select("row_key", "custom_id", "account_name", "tags")
+    p = prospects_typed(spark, sf).select("custom_id", F.col("company").alias("account_name"))
+    return report.insufficient_accounts(a, p, ENOUGH)

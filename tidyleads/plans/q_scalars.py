@@ -200,6 +200,7 @@ def _e164_sql(phone: str, country: str) -> str:
               f"THEN '+' || {meta_cc} || {nat} END)")
     return (f"(CASE WHEN {phone} IS NULL OR {s} = '' THEN {phone} WHEN starts_with({s}, '+') THEN {s} "
             f"WHEN regexp_matches({s}, '\\p{{L}}') THEN {s} "
+            f"WHEN starts_with({d}, '00') AND length({d}) > 4 THEN '+' || substr({d}, 3) "
             f"ELSE coalesce({intl(1)}, {intl(2)}, {intl(3)}, {as_nat}, {s}) END)")
 
 

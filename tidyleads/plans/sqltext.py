@@ -12,8 +12,16 @@ def lit_list(values) -> str:
     return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
 
 
+NUMBER = r"[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?"
+
+
+def trimmed(x: str) -> str:
+    return f"trim({x}, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(160))"
+
+
 def to_long0(x: str) -> str:
-    t = f"trim(CAST({x} AS VARCHAR))"
+    u = trimmed(f"CAST({x} AS VARCHAR)")
+    t = f"(CASE WHEN regexp_full_match({u}, '{NUMBER}') THEN {u} END)"
     return (f"coalesce(CASE WHEN regexp_full_match({t}, '[+-]?[0-9]+') THEN TRY_CAST({t} AS BIGINT) END, "
             f"TRY_CAST(trunc(TRY_CAST({t} AS DOUBLE)) AS BIGINT), CAST(0 AS BIGINT))")
 
@@ -23,18 +31,20 @@ def positive_id(x: str) -> str:
 
 
 def is_numeric(x: str) -> str:
-    return f"(TRY_CAST(trim(CAST({x} AS VARCHAR)) AS DOUBLE) IS NOT NULL)"
+    t = trimmed(f"CAST({x} AS VARCHAR)")
+    return f"coalesce(regexp_full_match({t}, '{NUMBER}'), false)"
 
 
 def is_blank(x: str) -> str:
-    return f"(coalesce(trim({x}), '') = '')"
+    return f"(coalesce({trimmed(x)}, '') = '')"
 
 
 def null_if_missing(x: str, tokens=("",), nan=True) -> str:
     toks = ", ".join("'" + t.replace("'", "''") + "'" for t in tokens)
-    cond = f"{x} IS NULL OR trim({x}) IN ({toks}) OR trim({x}) = ''"
+    t = trimmed(x)
+    cond = f"{x} IS NULL OR {t} IN ({toks}) OR {t} = ''"
     if nan:
-        cond += f" OR lower(trim({x})) = 'nan'"
+        cond += f" OR lower({t}) = 'nan'"
     return f"(CASE WHEN {cond} THEN NULL ELSE {x} END)"
 
 

@@ -11,6 +11,9 @@ Country, calling-code and first-name tables are written from public standards
 
 from __future__ import annotations
 
+from importlib import resources
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -54,8 +57,9 @@ LEGAL_WORDS = [
     "sas", "se", "spa", "sp", "srl", "sro", "the", "ug", "und", "zoo",
 ]
 
-# ISO 3166-1 alpha-2 code and short name.
-COUNTRIES = [
+# ISO 3166-1 alpha-2 code and short name, where our spelling is not that of the public
+# country table (see _countries), which gives all others.
+_OWN_COUNTRY_NAMES = [
     ("AL", "Albania"), ("AM", "Armenia"), ("AR", "Argentina"), ("AT", "Austria"),
     ("AU", "Australia"), ("AZ", "Azerbaijan"), ("BA", "Bosnia and Herzegovina"),
     ("BE", "Belgium"), ("BG", "Bulgaria"), ("BR", "Brazil"), ("BY", "Belarus"),
@@ -77,6 +81,20 @@ COUNTRIES = [
     ("UA", "Ukraine"), ("AE", "United Arab Emirates"), ("US", "United States"),
     ("UZ", "Uzbekistan"), ("ZA", "South Africa"),
 ]
+
+
+def _countries() -> list[tuple[str, str]]:
+    """All ISO 3166-1 countries: the public-domain table that comes with the time zone
+    database (package tzdata, else the system's), under our spelling where we have one."""
+    try:
+        text = (resources.files("tzdata.zoneinfo") / "iso3166.tab").read_text(encoding="utf-8")
+    except (ModuleNotFoundError, FileNotFoundError):
+        text = Path("/usr/share/zoneinfo/iso3166.tab").read_text(encoding="utf-8")
+    rows = dict(line.split("\t")[:2] for line in text.splitlines() if line and not line.startswith("#"))
+    return sorted((rows | dict(_OWN_COUNTRY_NAMES)).items())
+
+
+COUNTRIES = _countries()
 # Other spellings that mean a country (matched case-insensitively).
 COUNTRY_ALIASES = [
     ("BA", "Bosnia/Herzeg."), ("CZ", "Czech Republic"), ("GB", "Great Britain"),
@@ -95,7 +113,16 @@ CALLING_CODES = [
     ("PL", "48", "", 9, 9), ("PT", "351", "", 9, 9), ("SE", "46", "0", 7, 10),
     ("US", "1", "1", 10, 10), ("CA", "1", "1", 10, 10), ("JP", "81", "0", 9, 10),
     ("CN", "86", "0", 9, 11), ("BR", "55", "0", 10, 11), ("IN", "91", "0", 10, 10),
-    ("AU", "61", "0", 9, 9),
+    ("AU", "61", "0", 9, 9), ("AR", "54", "0", 10, 11), ("BG", "359", "0", 7, 9), ("CL", "56", "", 9, 9),
+    ("CY", "357", "", 8, 8), ("EE", "372", "", 7, 8), ("EG", "20", "0", 8, 10), ("GR", "30", "", 10, 10),
+    ("HK", "852", "", 8, 8), ("HR", "385", "0", 8, 9), ("HU", "36", "06", 8, 9), ("ID", "62", "0", 8, 12),
+    ("IL", "972", "0", 8, 9), ("IS", "354", "", 7, 7), ("KR", "82", "0", 8, 10), ("KZ", "7", "8", 10, 10),
+    ("LT", "370", "8", 8, 8), ("LV", "371", "", 8, 8), ("MA", "212", "0", 9, 9), ("MT", "356", "", 8, 8),
+    ("MX", "52", "", 10, 10), ("MY", "60", "0", 8, 10), ("NZ", "64", "0", 8, 10), ("PH", "63", "0", 8, 10),
+    ("RO", "40", "0", 9, 9), ("RS", "381", "0", 8, 9), ("RU", "7", "8", 10, 10), ("SA", "966", "0", 8, 9),
+    ("SG", "65", "", 8, 8), ("SI", "386", "0", 8, 8), ("SK", "421", "0", 9, 9), ("TH", "66", "0", 8, 9),
+    ("TR", "90", "0", 10, 10), ("TW", "886", "0", 8, 9), ("UA", "380", "0", 9, 9), ("AE", "971", "0", 8, 9),
+    ("VN", "84", "0", 9, 10), ("ZA", "27", "0", 9, 9),
 ]
 
 # First name -> gender class (male, female, mostly_male, mostly_female, andy).

@@ -3,7 +3,7 @@
 On a cluster the session comes from the launcher; `local_session` exists for
 tests and the bench.  `cut_lineage` writes a reliable checkpoint into the
 shared folder the cluster names in ``spark.checkpoint.dir``; only when that is
-unset (tests, bench) does it pick a scratch folder of its own.
+unset in a one-machine session (tests, bench) does it pick a scratch folder of its own.
 """
 
 from __future__ import annotations
@@ -37,7 +37,8 @@ def local_session(cores: int | None = None, shuffle_partitions: int | None = Non
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a scratch one only if unset."""
+    """Return the shared checkpoint folder.  Only a one-machine session (master local) may
+    leave it unset and gets a scratch folder; any other raises."""
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     sc_dir = spark.sparkContext.getCheckpointDir()
     if sc_dir:
@@ -45,6 +46,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         spark.sparkContext.setCheckpointDir(conf_dir)
         return conf_dir
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     scratch = tempfile.mkdtemp(prefix="tidyleads-ckpt-")
     spark.sparkContext.setCheckpointDir(scratch)
     return scratch

@@ -30,24 +30,28 @@ def sniff_delimiter(spark: SparkSession, path: str) -> str:
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "csv", columns: list[str] | None = None,
-               sep: str | None = None) -> DataFrame:
-    """Delimited (header, UTF-8 BOM tolerated) or parquet scan.  Delimited
-    sources are read all-string; ``columns`` fixes the schema up front so no
-    inference pass runs."""
+               sep: str | None = None, multi_line: bool = False) -> DataFrame:
+    """Delimited (header, UTF-8 BOM tolerated) or parquet scan.  Delimited sources are
+    read all-string, by the names of the header; ``columns`` picks them by name, in any
+    order, and raises if one is missing; a further file with another header raises.
+    ``multi_line`` reads quoted line breaks as part of a cell; such files are not
+    split, so use it only for them."""
     if fmt == "parquet":
         return spark.read.parquet(path)
     sep = sep or sniff_delimiter(spark, path)
     reader = spark.read.option("header", True).option("sep", sep).option("quote", '"') \
-                  .option("escape", '"').option("multiLine", False).option("encoding", "UTF-8")
-    if columns is not None:
-        reader = reader.schema(string_schema(columns))
-    else:
-        reader = reader.option("inferSchema", False)
+                  .option("escape", '"').option("multiLine", multi_line).option("encoding", "UTF-8") \
+                  .option("inferSchema", False).option("enforceSchema", False)
     df = reader.csv(path)
     first = df.columns[0] if df.columns else None
     if first and first.startswith("﻿"):
         df = df.withColumnRenamed(first, first.lstrip("﻿"))
-    return df
+    if columns is None:
+        return df
+    missing = [c for c in columns if c not in df.columns]
+    if missing:
+        raise ValueError(f"{path} has no column {missing}; its header is {df.columns}")
+    return df.select(*[F.col(f"`{c}`") for c in columns])
 
 
 def find_header(lines: list[str], required: list[str], sep: str) -> int:

@@ -4,7 +4,7 @@ The reference has no streaming; its only incremental step is "a new export
 file arrives and is staged".  Here that is a file-source stream: every new
 delimited file in a folder is read under an explicit all-string schema, the
 row-level (stateless) rules run on it, and the rows are appended to a
-parquet staging table.  The checkpoint lives in the shared checkpoint folder,
+parquet staging table.  The caller names the checkpoint folder,
 so a restarted driver or lost executor resumes exactly where it stopped.
 Whole-set rules (duplicates, quotas, coverage) stay in the batch jobs, which
 read the staged table.
@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from ..functions import contact as C
 from ..functions import geo
 from ..functions.values import null_if_missing, to_long0
-from ..session import checkpoint_dir
 from ..sources.files import string_schema
 
 
@@ -41,12 +40,13 @@ def stage_rules(df: DataFrame) -> DataFrame:
 
 
 def stage_stream(spark: SparkSession, source_dir: str, columns: list[str], target_dir: str,
-                 name: str = "prospects", sep: str = ",", available_now: bool = True):
-    """Start the staging stream; returns the ``StreamingQuery``."""
-    stream = (spark.readStream.schema(string_schema(columns)).option("header", True).option("sep", sep)
+                 checkpoint: str, sep: str = ",", available_now: bool = True):
+    """Start the staging stream; returns the ``StreamingQuery``.  ``checkpoint`` is the
+    stream's own folder on shared storage, the same at every start: a new driver
+    goes on where the last one stopped.  A file whose header is not ``columns`` fails the stream."""
+    stream = (spark.readStream.schema(string_schema(columns)).option("header", True).option("enforceSchema", False).option("sep", sep)
               .option("quote", '"').option("escape", '"').csv(source_dir))
-    ckpt = f"{checkpoint_dir(spark).rstrip('/')}/stream-{name}"
     writer = (stage_rules(stream).writeStream.format("parquet").option("path", target_dir)
-              .option("checkpointLocation", ckpt).outputMode("append"))
+              .option("checkpointLocation", checkpoint).outputMode("append"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
