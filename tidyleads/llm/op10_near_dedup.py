@@ -9,9 +9,9 @@
    only those are posted: values of common passages go last and hardly ever are.
 3. Lists of up to `LIGHT` classes give their pairs.  A longer list, as of
    thousands of near copies, first gives stars around its most central class (whose retained
-   values are the most common) and its largest; then only those of its pairs are sought that
-   lie in different components so far, block by block, inside tasks, each
-   in the first list that holds both, and only pairs that share enough leave them.
+   values are the most common) and its largest.  Lists of one central class then form a
+   family; its classes that still lie in different components are compared block by
+   block inside tasks, on full sets, and of the links found a spanning forest leaves a task.
 4. Pairs whose similarity estimated from the union sketch is too low go; the others are
    verified on full shingle sets.
 5. Verified links give connected components.
@@ -38,8 +38,8 @@ K = 64
 LIGHT = 20
 #: Standard errors of slack in what two similar sets' sketches share.
 SIGMAS = 6
-#: Classes in a block of a long list.
-BLOCK = 2000
+#: Classes in a block of a family: at least, and at most.
+BLOCK, BLOCK_MOST = 128, 2000
 
 
 def _sets(texts: list[bytes], n: int):
@@ -77,8 +77,7 @@ def _shared(n, k: int, percent: int):
 
 
 def postings(reps: DataFrame, k: int, percent: int) -> DataFrame:
-    """(value, cid, n, w, posted): the rarest retained values of each class, how central the
-    class is, and the first values of all that it posts."""
+    """(value, cid, n, w): the rarest retained values of each class, and how central the class is."""
     rows = reps.select("cid", "n", F.size("sketch").alias("s"), F.explode("sketch").alias("value"))
     common = rows.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
     held = rows.join(common, "value").groupBy("cid", "n", "s").agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("held"),
@@ -86,7 +85,7 @@ def postings(reps: DataFrame, k: int, percent: int) -> DataFrame:
     # values that no other class retains are rarest and come first; they post nothing
     wanted = F.col("s") - _shared(F.col("n"), k, percent) + 1 - (F.col("s") - F.size("held"))
     posted = F.slice("held", F.lit(1), F.greatest(wanted, F.lit(0)))["value"]
-    return held.select("cid", "n", "w", posted.alias("posted")).select(F.explode("posted").alias("value"), "cid", "n", "w", "posted")
+    return held.select(F.explode(posted).alias("value"), "cid", "n", "w")
 
 
 def _close(a, b, percent: int):
@@ -111,7 +110,7 @@ def _members(lists: DataFrame) -> DataFrame:
 
 def light_pairs(posts: DataFrame, percent: int, light: int = LIGHT) -> DataFrame:
     """All pairs of lists of up to ``light`` members, and the stars of each longer list."""
-    listed = posts.drop("posted").join(_members(posts).where("m > 1"), "value")
+    listed = posts.join(_members(posts).where("m > 1"), "value")
     a = listed.where(F.col("m") <= light).select("value", F.col("cid").alias("a"), F.col("n").alias("na"))
     b = listed.where(F.col("m") <= light).select("value", F.col("cid").alias("b"), F.col("n").alias("nb"))
     pairs = a.join(b, "value").where("a < b").where(_close(F.col("na"), F.col("nb"), percent)).select("a", "b")
@@ -122,46 +121,72 @@ def light_pairs(posts: DataFrame, percent: int, light: int = LIGHT) -> DataFrame
     return pairs.union(star).distinct()
 
 
-def block_pairs(posts: DataFrame, roots: DataFrame, reps: DataFrame, k: int, percent: int, light: int = LIGHT, block: int = BLOCK) -> DataFrame:
-    """Pairs of long lists whose classes lie in different components: every block
-    of a list meets every other inside a task, which compares sketches and sizes."""
-    long_ = posts.join(_members(posts).where(F.col("m") > light).select("value", "m"), "value")
-    at = long_.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
-    mixed = at.groupBy("value").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("value")
-    at = at.join(mixed, "value").join(reps.select("cid", "sketch"), "cid")
-    blocks = F.ceil(F.col("m") / block).cast("int")
-    at = at.withColumn("i", F.pmod(F.xxhash64("cid"), blocks).cast("int"))
+def families(posts: DataFrame, roots: DataFrame, light: int = LIGHT, block: int = BLOCK) -> DataFrame:
+    """(hub, cid, n, root, blocks): the classes of all long lists of one central class, where
+    they lie in several components, and how many blocks to cut the family into."""
+    long_ = posts.select("value", "cid", "n").join(
+        _members(posts).where(F.col("m") > light).select("value", F.col("central.cid").alias("hub")), "value")
+    at = long_.groupBy("hub", "cid").agg(F.first("n").alias("n"))
+    at = at.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+    mixed = at.groupBy("hub").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("m")).where("x <> y")
+    size = F.greatest(F.lit(block), F.least(F.lit(BLOCK_MOST), F.col("m") / 32))
+    return at.join(mixed.select("hub", F.ceil(F.col("m") / size).cast("int").alias("blocks")), "hub")
+
+
+def _intersections(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections, as products of incidence matrices of 4096 values each."""
+    both = np.concatenate(left + right)
+    owner = np.repeat(np.arange(len(left) + len(right)), [len(s) for s in left + right])
+    _, column, count = np.unique(both, return_inverse=True, return_counts=True)
+    wide = count > 1  # values of one set alone meet nothing
+    number = np.cumsum(wide) - 1
+    own = wide[column]
+    column, owner = number[column[own]], owner[own]
+    out = np.zeros((len(left), len(right)), dtype=np.float32)
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    for lo in range(0, int(wide.sum()), 4096):
+        a, b = np.searchsorted(column, (lo, lo + 4096))
+        x = np.zeros((len(left) + len(right), 4096), dtype=np.float32)
+        x[owner[a:b], column[a:b] - lo] = 1
+        out += x[:len(left)] @ x[len(left):].T
+    return out
+
+
+def family_links(members: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links (u, v) between classes of a family that lie in different components: of
+    each two blocks a spanning forest of their links, which connects the same."""
+    at = members.join(texts, "cid").withColumn("i", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
     # block i meets block j >= i: send each member to (min(i, j), max(i, j)) for all j
-    sent = at.select("value", "cid", "n", "root", "sketch", "posted", "i", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("j"))
-    sent = sent.select("value", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"), "i", "cid", "n", "root", "sketch", "posted")
-    least = _least_shared(k, percent)
+    sent = at.select("hub", "cid", "root", "z", "i", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"))
+    sent = sent.select("hub", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"), "i", "cid", "root", "z")
 
     def meet(key, pdf):
-        lo, hi = key[1], key[2]
-        left, right = pdf[pdf["i"] == lo], pdf[pdf["i"] == hi]
+        unzip = zstandard.ZstdDecompressor()
+        left, right = pdf[pdf["i"] == key[1]], pdf[pdf["i"] == key[2]]
+        if not len(left) or not len(right):
+            return pd.DataFrame({"u": [], "v": []}, dtype="int64")
+        x = list(_sets([unzip.decompress(z) for z in left["z"]], shingle))
+        y = x if key[1] == key[2] else list(_sets([unzip.decompress(z) for z in right["z"]], shingle))
+        both = _intersections(x, y).astype(np.int64)
+        n, m = np.array([len(s) for s in x]), np.array([len(s) for s in y])
+        a, b = left["root"].to_numpy(), right["root"].to_numpy()
+        p, q = np.nonzero((100 * both >= percent * (n[:, None] + m[None] - both)) & (a[:, None] != b[None]))
+        parent: dict[int, int] = {}
+
+        def find(r):
+            while parent.setdefault(r, r) != r:
+                parent[r] = r = parent[parent[r]]
+            return r
         out = []
-        size, root, cid = right["n"].to_numpy(), right["root"].to_numpy(), right["cid"].to_numpy()
-        values = np.concatenate([np.asarray(s) for s in right["sketch"]]) if len(right) else np.empty(0, dtype=np.int64)
-        owner = np.repeat(np.arange(len(right)), [len(s) for s in right["sketch"]])
-        order = np.argsort(values, kind="stable")
-        values, owner = values[order], owner[order]
-        posted = [set(p.tolist()) for p in right["posted"]]
-        for c, n, r, s, p0 in zip(left["cid"], left["n"], left["root"], left["sketch"], left["posted"]):
-            s = np.sort(np.asarray(s))
-            x, y = np.searchsorted(values, s), np.searchsorted(values, s, side="right")
-            hit = np.concatenate([owner[p:q] for p, q in zip(x, y)]) if len(s) else owner[:0]
-            shared = np.bincount(hit, minlength=len(right))
-            need = least if n * 100 > k * percent else -(-n * percent // 100)
-            need = np.maximum(need, np.minimum(np.maximum(size, n), k) * least // k)
-            ok = (shared >= need) & (root != r) & (np.minimum(size, n) * 100 >= np.maximum(size, n) * percent)
-            if lo == hi:
-                ok &= cid > c
-            mine = p0.tolist()
-            # a pair that shares several lists is judged in the least of them
-            out += [(min(c, cid[j]), max(c, cid[j])) for j in np.flatnonzero(ok) if min(v for v in mine if v in posted[j]) == key[0]]
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
-
-    return sent.groupBy("value", "lo", "hi").applyInPandas(meet, "a long, b long").distinct()
+        for i, j in zip(p, q):
+            r, s = find(int(a[i])), find(int(b[j]))
+            if r != s:
+                parent[max(r, s)] = min(r, s)
+                out.append((left["cid"].iat[i], right["cid"].iat[j]))
+        return pd.DataFrame(out, columns=["u", "v"], dtype="int64")
+
+    return sent.groupBy("hub", "lo", "hi").applyInPandas(meet, "u long, v long")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -183,9 +208,9 @@ def verified(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
     return rows.select(F.col("a").alias("u"), F.col("b").alias("v"), "za", "zb").mapInPandas(run, "u long, v long")
 
 
-def texts_of(docs: DataFrame, reps: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(cid, z): the compressed text of each class that stands in a pair."""
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct().join(reps.select("cid", "rep"), "cid")
+def texts_of(docs: DataFrame, reps: DataFrame, cids: DataFrame) -> DataFrame:
+    """(cid, z): the compressed text of each class of ``cids``."""
+    needed = cids.distinct().join(reps.select("cid", "rep"), "cid")
     needed = needed.select("cid", F.col("rep.doc_id").alias("rid"), F.col("rep.th").alias("rth"))
     rows = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("th"))
     rows = rows.join(needed, rows["doc_id"].eqNullSafe(needed["rid"]) & (rows["th"] == needed["rth"])).select("cid", "text")
@@ -205,12 +230,13 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, k: int
         F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.min(F.struct("doc_id", "th")).alias("rep")))
     posts = materialize(postings(reps, k, percent))
     first = materialize(estimated(light_pairs(posts, percent, light), reps, k, percent))
-    links = materialize(verified(first, materialize(texts_of(docs, reps, first)), shingle, percent))
+    texts = materialize(texts_of(docs, reps, first.select(F.explode(F.array("a", "b")).alias("cid"))))
+    links = materialize(verified(first, texts, shingle, percent))
     roots = materialize(components(links))
-    late = materialize(estimated(block_pairs(posts, roots, reps, k, percent, light, block).join(first, ["a", "b"], "left_anti"), reps, k, percent))
+    late = materialize(families(posts, roots, light, block))
     if not late.isEmpty():
-        more = verified(late, materialize(texts_of(docs, reps, late)), shingle, percent)
-        links = links.union(materialize(more))
+        texts = materialize(texts_of(docs, reps, late.select("cid")))
+        links = links.union(materialize(family_links(late, texts, shingle, percent)))
         roots = materialize(components(links))
     named = rows.select("doc_id", "th", "cid", "n").join(roots.withColumnRenamed("node", "cid"), "cid", "left")
     named = named.withColumn("root", F.coalesce("root", "cid"))
