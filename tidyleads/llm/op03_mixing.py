@@ -77,23 +77,24 @@ def position(share_done: Column, segs: Column) -> Column:
 def lay_out(docs: DataFrame, weights=(3, 1, 2), shapes=SHAPES, share=1.5, max_repeat=2.0, keep: Column | None = None) -> DataFrame:
     """One row per document: doc_id, size, src, source_size, target, segs, before
     (words of the source that come first in an epoch), carried ``keep``."""
-    key = F.md5(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).cast("binary"))
-    df = docs.select("doc_id", F.col("source").alias("src"), word_count("text").alias("size"), key.alias("spread"),
+    hashed = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).cast("binary"))
+    df = docs.select("doc_id", F.col("source").alias("src"), word_count("text").alias("size"), hashed.alias("spread"),
                      *([keep.alias("kept")] if keep is not None else []))
     tie = ["spread", "doc_id", "size"] + ([F.md5(F.to_json("kept"))] if keep is not None else [])
-    df = df.withColumn("bucket", F.substring("spread", 1, 3))
+    # one key without nulls for windows and joins: the rows are dealt out once
+    key = ["name", "unnamed", "bucket"]
+    df = df.withColumns({"name": F.coalesce("src", F.lit("")), "unnamed": F.col("src").isNull(), "bucket": F.substring("spread", 1, 3)})
     per = source_targets(df.select("src", "size"), weights, shapes, share, max_repeat)
     # cumulative words in two tiers: per bucket of the hash, then inside the bucket
-    sums = df.groupBy("src", "bucket").agg(F.sum("size").alias("words"))
-    ahead = W.partitionBy("src").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
-    sums = sums.select("src", "bucket", F.coalesce(F.sum("words").over(ahead), F.lit(0)).alias("offset"))
-    sums = sums.withColumnRenamed("src", "s").withColumnRenamed("bucket", "b")
-    per = per.withColumnRenamed("src", "s")
-    tiers = sums.join(per, sums["s"].eqNullSafe(per["s"])).drop(per["s"])
-    inside = W.partitionBy("src", "bucket").orderBy(*tie).rowsBetween(W.unboundedPreceding, -1)
+    sums = df.groupBy(*key).agg(F.sum("size").alias("words"))
+    ahead = W.partitionBy("name", "unnamed").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
+    sums = sums.select(*key, F.coalesce(F.sum("words").over(ahead), F.lit(0)).alias("offset"))
+    per = per.withColumns({"name": F.coalesce("src", F.lit("")), "unnamed": F.col("src").isNull()}).drop("src")
+    tiers = sums.join(per, ["name", "unnamed"])
+    inside = W.partitionBy(*key).orderBy(*tie).rowsBetween(W.unboundedPreceding, -1)
     df = df.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    df = df.join(tiers, df["src"].eqNullSafe(tiers["s"]) & (df["bucket"] == tiers["b"]))
-    return df.withColumn("before", F.col("offset") + F.col("inside")).drop("s", "b", "offset", "inside", "bucket", "spread")
+    df = df.join(tiers, key)
+    return df.withColumn("before", F.col("offset") + F.col("inside")).drop(*key, "offset", "inside", "spread")
 
 
 def epochs(df: DataFrame, max_repeat: float) -> DataFrame:
