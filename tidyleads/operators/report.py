@@ -110,8 +110,9 @@ def coverage_report(accounts: DataFrame, prospects: DataFrame, threshold: int) -
 
 
 def issue_summary(df: DataFrame, col: str = "issues") -> DataFrame:
-    """Count per issue label over rows with issues."""
-    return (df.select(F.explode(F.col(col)).alias("issue"))
+    """Count per issue label, and of the rows that have any."""
+    each = F.when(F.size(col) > 0, F.array_append(F.col(col), F.lit("Rows with issues")))
+    return (df.select(F.explode(each).alias("issue"))
             .groupBy("issue").agg(F.count(F.lit(1)).alias("count")))
 
 

@@ -58,19 +58,22 @@ def plausible_gender(df: DataFrame, first: str = "first_name", names: DataFrame
     return gender_attach(p, gender_lookup(p, names), out)
 
 
-def validate(df: DataFrame, in_scope: Column | None = None, gender_mode: str = "A",
-             check_country: bool = False, names: DataFrame | None = None) -> DataFrame:
+def validate(df: DataFrame, in_scope: Column | None = None, gender_mode: str | Column = "A",
+             check_country: bool | Column = False, names: DataFrame | None = None) -> DataFrame:
     """Run every rule on the rows in ``in_scope`` (duplicates on all rows).
 
     Adds ``issues`` (array, fixed order), ``issue`` ('+'-joined),
     ``plausible_gender``, ``domain_score`` (int) and ``domain_score_label``;
     title-cases names and lower-cases e-mails of in-scope rows; normalises
-    gender (mode A) or replaces it with the plausible one (mode B).
+    gender (mode A) or replaces it with the plausible one (mode B).  Mode and country
+    check may differ by row (a column), for sources validated together.
 
     All row-level rules are one projection; the four lookups (e-mail pairs,
     company/domain pairs, first names, person keys) are each derived from
     that same projection and attached with one left join apiece.
     """
+    check_country = F.lit(check_country) if isinstance(check_country, bool) else check_country
+    mode_a = F.lit(gender_mode == "A") if isinstance(gender_mode, str) else gender_mode == "A"
     scope = in_scope if in_scope is not None else F.lit(True)
     x = df.withColumn("_in", F.coalesce(scope, F.lit(False)))
     inn = F.col("_in")
@@ -84,7 +87,7 @@ def validate(df: DataFrame, in_scope: Column | None = None, gender_mode: str = "
     x = x.withColumns({
         "_r_name": inn & C.bad_name("first_name", "last_name"),
         "_r_li": inn & C.bad_linkedin("linkedin_url"),
-        "_r_country": (inn & C.bad_country("country", "account_country")) if check_country else F.lit(False),
+        "_r_country": inn & check_country & C.bad_country("country", "account_country"),
     })
     x = similarity.bad_email_prepare(x, eligible=inn)
     x = similarity.domain_prepare(x, company="account_name", email="email", eligible=inn)
@@ -100,12 +103,10 @@ def validate(df: DataFrame, in_scope: Column | None = None, gender_mode: str = "
         "domain_score_label": C.domain_score_label("domain_score"),
         "_r_domain": inn & C.bad_domain("domain_score"),
     })
-    if gender_mode == "A":
-        x = x.withColumn("gender", F.when(inn, C.normalise_gender("gender")).otherwise(F.col("gender")))
-        x = x.withColumn("_r_gender", F.when(inn, C.gender_issue("gender", "plausible_gender")))
-    else:
-        x = x.withColumn("gender", F.when(inn, F.col("plausible_gender")).otherwise(F.col("gender")))
-        x = x.withColumn("_r_gender", F.when(inn & (F.col("gender") == "Unknown"), F.lit("Unknown Gender")))
+    x = x.withColumn("gender", F.when(inn & mode_a, C.normalise_gender("gender")).when(inn, F.col("plausible_gender"))
+                     .otherwise(F.col("gender")))
+    x = x.withColumn("_r_gender", F.when(inn & mode_a, C.gender_issue("gender", "plausible_gender"))
+                     .when(inn & (F.col("gender") == "Unknown"), F.lit("Unknown Gender")))
     labels = [
         F.when(F.col("_r_fmt"), F.lit("Bad Email Format")),
         F.when(F.col("_r_priv"), F.lit("Private Email")),

@@ -206,14 +206,56 @@ def q_bad_email(spark, sf):
 
 
 def validated(spark, sf):
-    """Validation over the whole fixture; the input is checkpointed first (as
-    the job does) so the four lookups and the main branch share one scan."""
+    """Validation of all vendors' rows of the fixture, each under its vendor's rules; the
+    input is checkpointed first (as the job does) so the lookups and the main branch share one scan."""
     from ..session import cut_lineage
     p = _people(spark, sf).select("row_key", "custom_id", "account_name", "first_name", "last_name",
                                   "title", "gender", "email", "linkedin_url", "country", "account_country",
                                   "vendor")
-    p = cut_lineage(p)
-    return validate(p, in_scope=F.col("vendor") == "L", gender_mode="A", check_country=True)
+    return validate(cut_lineage(p), gender_mode=F.when(F.col("vendor") == "Z", "B").otherwise("A"),
+                    check_country=F.col("vendor") == "L")
+
+
+#: Labels that need the exact similarity score, which SQL cannot state.
+SCORED = ("Bad Email", "Bad Domain")
+
+
+def _without_scores(v):
+    return v.withColumn("issues", F.array_except("issues", F.array(*[F.lit(x) for x in SCORED])))
+
+
+_RULES_SQL = _GENDER_SQL + f"""
+, t AS (SELECT *, {S.title_case('first_name')} AS fn1, {S.title_case('last_name')} AS ln1 FROM fx_prospects)
+, k AS (SELECT row_key, CASE WHEN NOT {S.is_blank('fn1')} AND NOT {S.is_blank('ln1')}
+               THEN lower(trim(fn1)) || '_' || lower(trim(ln1)) END AS key FROM t)
+, twice AS (SELECT key FROM k WHERE key IS NOT NULL GROUP BY key HAVING count(*) > 1)
+, r AS (SELECT t.row_key, t.vendor, pg.plausible_gender,
+        CASE WHEN t.vendor = 'Z' THEN pg.plausible_gender ELSE {S.normalise_gender('t.gender')} END AS gender,
+        list_filter([
+          CASE WHEN {S.bad_email_format('t.email')} THEN 'Bad Email Format' END,
+          CASE WHEN {S.is_private_email('t.email')} THEN 'Private Email' END,
+          CASE WHEN {S.is_blank('fn1')} OR {S.is_blank('ln1')} THEN 'Bad Name' END,
+          CASE WHEN {S.bad_linkedin('t.linkedin_url')} THEN 'Bad LinkedIn' END,
+          CASE WHEN t.vendor = 'L' AND {S.bad_country('t.country', 't.account_country')} THEN 'Bad Country' END,
+          CASE WHEN t.vendor = 'Z' THEN CASE WHEN pg.plausible_gender = 'Unknown' THEN 'Unknown Gender' END
+               ELSE {S.gender_issue(S.normalise_gender('t.gender'), 'pg.plausible_gender')} END,
+          CASE WHEN k.key IN (SELECT key FROM twice) THEN 'Duplicate' END], lambda x: x IS NOT NULL) AS issues
+  FROM t JOIN pg USING (row_key) JOIN k USING (row_key))
+"""
+
+
+@register("all_issues_rules", sql_with("fx_prospects") + _RULES_SQL + """
+SELECT row_key, array_to_string(issues, '+') AS issue, plausible_gender, gender FROM r""")
+def q_all_issues_rules(spark, sf):
+    v = _without_scores(validated(spark, sf))
+    return v.select("row_key", F.array_join("issues", "+").alias("issue"), "plausible_gender", "gender")
+
+
+@register("issue_summary_rules", sql_with("fx_prospects") + _RULES_SQL + """
+SELECT issue, count(*) AS count FROM (
+  SELECT unnest(list_append(issues, 'Rows with issues')) AS issue FROM r WHERE len(issues) > 0) GROUP BY issue""")
+def q_issue_summary_rules(spark, sf):
+    return report.issue_summary(_without_scores(validated(spark, sf)))
 
 
 @register("all_issues")
