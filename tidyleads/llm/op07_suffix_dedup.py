@@ -46,7 +46,7 @@ LAST = (1 << 63) - 1
 def pack(docs: DataFrame) -> DataFrame:
     """Blocks: block, ids, sizes (int64 arrays), digests (16 bytes a document), z."""
     def run(batches):
-        zip_ = zstandard.ZstdCompressor(level=6)
+        zip_ = zstandard.ZstdCompressor(level=10)
         for pdf in batches:
             texts, ids = encoded(pdf["text"]), pdf["doc_id"].to_numpy()
             for a, e in byte_chunks(texts):
@@ -120,8 +120,8 @@ class _Out:
     """Buffer that a task deals out to buckets by hash, one row of packed columns for
     each bucket and flush."""
 
-    def __init__(self, buckets: int, limit: int):
-        self.buckets, self.limit, self.parts, self.size = buckets, limit, [], 0
+    def __init__(self, buckets: int, limit: int, alike: bool = False):
+        self.buckets, self.limit, self.alike, self.parts, self.size = buckets, limit, alike, [], 0
 
     def add(self, h, *columns):
         self.parts.append((h, *columns))
@@ -130,7 +130,8 @@ class _Out:
     def flush(self):
         h, *cols = [np.concatenate(x) for x in zip(*self.parts)]
         bucket = (mix(h) % np.uint64(self.buckets)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
+        # within a bucket by hash if like entries are to lie together: they pack better
+        order = np.lexsort((h, bucket)) if self.alike else np.argsort(bucket, kind="stable")
         bucket, cols = bucket[order], [c[order] for c in cols]
         cut = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True]))) if len(bucket) else [0]
         self.parts, self.size = [], 0
@@ -170,14 +171,14 @@ def suspects(blocks: DataFrame, length: int, gram: int, buckets: int) -> DataFra
                 sums = _sums(buf)
                 left = _grams(sums, np.maximum(at - side, 0), side)
                 right = _grams(sums, np.minimum(at + gram, len(buf) - side), side)
-                out.add(h, h.view(np.uint8).reshape(-1, 8)[:, :5], left.astype(np.uint8), right.astype(np.uint8), (np.int64(r.block) << 16) + doc, at.astype(np.uint32))
+                out.add(h, h.view(np.uint8).reshape(-1, 8)[:, :5], left.astype(np.uint16), right.astype(np.uint16), (np.int64(r.block) << 16) + doc, at.astype(np.uint32))
                 if out.size > out.limit:
                     yield out.flush()
         if out.parts:
             yield out.flush()
 
     def meet(pdf):
-        h5, left, right, gid, at = _joined(pdf, np.uint8, np.uint8, np.uint8, np.int64, np.uint32)
+        h5, left, right, gid, at = _joined(pdf, np.uint8, np.uint16, np.uint16, np.int64, np.uint32)
         h = np.zeros((len(gid), 8), dtype=np.uint8)
         h[:, :5] = h5.reshape(-1, 5)  # ties of five bytes of a hash by chance only let a sample through
         h = h.view(np.uint64).ravel()
@@ -208,7 +209,7 @@ def shared_strings(blocks: DataFrame, near: DataFrame, length: int, gram: int, b
     reach = length - gram
 
     def deal(batches):
-        out = _Out(buckets, 1 << 17)
+        out = _Out(buckets, 1 << 18, alike=True)
         for pdf in batches:
             for r in pdf.itertuples():
                 ids, ends, buf = _unpack(r)
