@@ -155,7 +155,7 @@ def grade_documents(docs: DataFrame, ratings: DataFrame, grades: int = 3, select
 def good_documents(docs: DataFrame, ratings: DataFrame, rated: DataFrame | None = None, grades: int = 3, select: int = 1,
                    at_least: float = 0.5, bound: int = SAMPLE) -> DataFrame:
     """The documents, with their own columns, whose tail is high enough."""
-    tails = _tails(docs.sparkSession, fit(rated or docs, ratings, grades, bound), grades)
+    tails = _tails(docs.sparkSession, fit(docs if rated is None else rated, ratings, grades, bound), grades)
 
     @F.pandas_udf("double")
     def tail(text: pd.Series) -> pd.Series:
