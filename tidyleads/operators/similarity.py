@@ -111,9 +111,8 @@ def domain_clean(email) -> Column:
 def domain_prepare(df: DataFrame, company: str = "account_name", email: str = "email",
                    eligible: Column | None = None) -> DataFrame:
     eligible = eligible if eligible is not None else F.lit(True)
-    base = df.withColumns({"_ca": company_clean(company), "_cb": domain_clean(email)})
-    return base.withColumn(
-        "_sc_ok", eligible & F.col(email).contains("@") & (F.col("_ca") != "") & (F.col("_cb") != ""))
+    base = df.withColumns({"_ca": F.lower(F.col(company)), "_cb": domain_core(email)})
+    return base.withColumn("_sc_ok", eligible & F.col(email).contains("@"))
 
 
 # Lookups null the key of rows outside the rule instead of filtering them: a
@@ -122,8 +121,10 @@ def domain_prepare(df: DataFrame, company: str = "account_name", email: str = "e
 def domain_lookup(prepared: DataFrame) -> DataFrame:
     ok = F.col("_sc_ok")
     pairs = prepared.select(F.when(ok, F.col("_ca")).alias("a"), F.when(ok, F.col("_cb")).alias("b")).distinct()
-    return score_pairs(pairs).select(F.col("a").alias("_ca"), F.col("b").alias("_cb"),
-                                     F.col("score").alias("_score"))
+    # legal words are removed and letters folded once per distinct pair, not per row
+    clean = pairs.select(F.col("a").alias("_ca"), F.col("b").alias("_cb"), company_clean("a").alias("a"), fold_text("b").alias("b"))
+    both = (F.col("a") != "") & (F.col("b") != "")
+    return score_pairs(clean).select("_ca", "_cb", F.when(both, F.col("score")).alias("_score"))
 
 
 def domain_attach(prepared: DataFrame, lookup: DataFrame, out: str = "domain_score") -> DataFrame:
@@ -185,14 +186,12 @@ def flag_bad_email(df: DataFrame, first: str = "first_name", last: str = "last_n
 
 def native_pair_scores(df: DataFrame, company: str = "company", email: str = "email") -> DataFrame:
     """Distinct (company_clean, domain_clean) pairs with the native windowed
-    score, label and Bad Domain flag.  The pair is built inside one projection
-    (so the cleaned texts are computed once per row), de-duplicated by a
-    map-side-combined aggregation, and scored once per pair."""
+    score, label and Bad Domain flag.  Raw pairs are de-duplicated first (map-side
+    combined), then cleaned, de-duplicated again and scored once per pair."""
     from ..functions.contact import bad_domain, domain_score_label
-    ca, cb = company_clean(company), domain_clean(email)
-    pair = F.when(F.col(email).contains("@") & (ca != "") & (cb != ""),
-                  F.struct(ca.alias("company_clean"), cb.alias("domain_clean")))
-    pairs = df.select(pair.alias("_pr")).distinct().select("_pr.*")
+    raw = df.where(F.col(email).contains("@")).select(F.lower(F.col(company)).alias("c"), domain_core(email).alias("d")).distinct()
+    pairs = raw.select(company_clean("c").alias("company_clean"), fold_text("d").alias("domain_clean")).distinct()
+    pairs = pairs.where((F.col("company_clean") != "") & (F.col("domain_clean") != ""))
     scored = pairs.withColumn("similarity", windowed_similarity("company_clean", "domain_clean"))
     return scored.withColumns({"label": domain_score_label("similarity"),
                                "bad_domain": bad_domain("similarity")}) \
