@@ -135,6 +135,13 @@ def byte_chunks(texts: list[bytes], limit: int = CHUNK_BYTES):
         yield start, len(texts)
 
 
+def split(batches, rows: int = 2000):
+    """Arrow batches in slices of some rows, so that a task encodes few texts at a time."""
+    for pdf in batches:
+        for lo in range(0, len(pdf), rows):
+            yield pdf.iloc[lo:lo + rows]
+
+
 class Counts:
     """Bounded map-side combine of (64-bit key, count): call `add`, and emit what `full` or `rest` give."""
 

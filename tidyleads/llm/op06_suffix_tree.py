@@ -28,12 +28,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _SPACE, Counts, byte_chunks, encoded, id_bucket, materialize, spans, word_hashes
+from .common import _SPACE, Counts, byte_chunks, encoded, id_bucket, materialize, spans, split, word_hashes
 
 DEPTH, P_MIN, MIN_KL, HEAVY, MIX = 5, 1e-5, 0.02, 1e-5, 0.4
 BITS = 6
 SIZE = 1 << BITS
 END, SEP, OTHER = 0, 1, SIZE - 1
+#: Bytes of text that a task scores or counts at once.
+CHUNK = 1 << 20
 #: Positions that one row of the automaton's matrix reads.
 STRIDE = 1024
 
@@ -66,10 +68,10 @@ def word_table(train: DataFrame) -> DataFrame:
 
         def rows(kind, keys, counts):
             return pd.DataFrame({"kind": np.full(len(keys), kind, dtype=np.int32), "key": keys.view(np.int64), "c": counts})
-        for pdf in batches:
+        for pdf in split(batches):
             texts = encoded(pdf["text"])
             ends += len(texts)
-            for a, b in byte_chunks(texts):
+            for a, b in byte_chunks(texts, CHUNK):
                 buf, *_ = spans(texts[a:b])
                 bytes_ += np.bincount(buf[~_SPACE[buf]], minlength=256)
                 words.add(word_hashes(texts[a:b])[0])
@@ -85,9 +87,9 @@ def gram_table(train: DataFrame, code: np.ndarray, depth: int) -> DataFrame:
     """(g, c): counts of the (depth + 1)-grams that end in a predicted symbol."""
     def run(batches):
         grams = Counts()
-        for pdf in batches:
+        for pdf in split(batches):
             texts = encoded(pdf["text"])
-            for a, b in byte_chunks(texts):
+            for a, b in byte_chunks(texts, CHUNK):
                 x, begin = _symbols(texts[a:b], code, depth)
                 wide = x.astype(np.uint64)
                 g = wide[:len(wide) - depth].copy()
@@ -202,9 +204,9 @@ def score_documents(docs: DataFrame, held: int = 2, folds: int = 7, depth: int =
 
     def run(batches):
         tree, code, often, often_p = sent.value
-        for pdf in batches:
+        for pdf in split(batches):
             texts = encoded(pdf["text"])
-            for a, b in byte_chunks(texts):
+            for a, b in byte_chunks(texts, CHUNK):
                 x, begin = _symbols(texts[a:b], code, depth)
                 lp = tree.logs(x).astype(np.float64)
                 lp[x == OTHER] -= rare
