@@ -73,9 +73,9 @@ def rated_sample(docs: DataFrame, ratings: DataFrame, bound: int) -> pd.DataFram
     def run(batches):
         for pdf in batches:
             f = [features(t) for t in encoded(pdf["text"])]
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "grade": pdf["grade"], "slots": [x[0] for x in f], "values": [x[1] for x in f]})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "grade": pdf["grade"], "slots": [x[0].astype(np.int32) for x in f], "values": [x[1].astype(np.float32) for x in f]})
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(few), "doc_id")
-    return rows.mapInPandas(run, "doc_id long, grade int, slots array<long>, values array<double>").toPandas()
+    return rows.mapInPandas(run, "doc_id long, grade int, slots array<int>, values array<float>").toPandas()
 
 
 class Ordinal:
