@@ -135,7 +135,7 @@ class _Out:
         bucket, cols = bucket[order], [c[order] for c in cols]
         cut = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True]))) if len(bucket) else [0]
         self.parts, self.size = [], 0
-        zip_ = zstandard.ZstdCompressor(level=3).compress
+        zip_ = zstandard.ZstdCompressor(level=9).compress
         return pd.DataFrame([(bucket[a], *[zip_(c[a:b].tobytes()) for c in cols]) for a, b in zip(cut[:-1], cut[1:])],
                             columns=["bucket", *[f"c{i}" for i in range(len(cols))]])
 
