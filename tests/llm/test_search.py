@@ -104,3 +104,25 @@ def test_few_and_no_vectors(spark):
     assert op05_voronoi_knn.top_k(spark.createDataFrame([], schema)).count() == 0
     got = op05_voronoi_knn.top_k(spark.createDataFrame([(0, [1.0]), (3, [0.5]), (50, [2.0])], schema)).collect()
     assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in got) == [(0, 1, 50, 131072), (0, 2, 3, 32768), (50, 1, 0, 131072), (50, 2, 3, 65536)]
+
+
+def test_query_id_on_many_rows(spark, monkeypatch):
+    """Copies of the query's own vec_id must not fill the bound, nor one query block."""
+    schema = "vec_id long, embedding array<float>"
+
+    def pooled(rows, k, every):  # the k best of all rows of a query's vec_id, as the SQL has it
+        rows = [(i, [int(np.floor(256 * x)) for x in v]) for i, v in rows]
+        out = []
+        for q in sorted({i for i, _ in rows if i % every == 0}):
+            best = sorted((-sum(a * b for a, b in zip(v, w)), i) for j, v in rows if j == q for i, w in rows if i != q)[:k]
+            out += [(q, n, i, -s) for n, (s, i) in enumerate(best, 1)]
+        return out
+    rng = np.random.default_rng(9)
+    far = [(0, [2.0])] * 6 + [(i, [1.0]) for i in range(1, 6)]
+    hot = [(100, [4.0, 0.0, 0.0])] * 40 + [(100, rng.normal(size=3).astype(np.float32).tolist()) for _ in range(40)]
+    hot += [(i, rng.normal(size=3).astype(np.float32).tolist()) for i in range(1, 90)] + [(7, [1.0, 1.0, 1.0])] * 30
+    monkeypatch.setattr(op05_voronoi_knn, "QUERIES", 16)
+    for rows in (far, hot):
+        for pivots in (2, 32):
+            got = op05_voronoi_knn.top_k(spark.createDataFrame(rows, schema), pivots=pivots).collect()
+            assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in got) == pooled(rows, 5, 50)

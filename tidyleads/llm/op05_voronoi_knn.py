@@ -6,12 +6,15 @@ M the longest, and every query 0; then |q - x|^2 = |q|^2 + M^2 - 2 q.x.
 
 1. Pivots: at most `PIVOTS` vectors (least hashed vec_id).  Every vector knows its
    distance to each pivot and its nearest pivot's cell.
-2. Summaries: of each cell, its queries' radius and the k + 1 least distances of its vectors.
+2. Summaries: of each cell, its queries' radius and the k + 1 least distances of distinct vec_ids
+   (of a repeated vec_id its nearest row counts).
 3. Bounds: the k-th neighbour of any query of cell r is no farther than
-   theta_r, the (k + 1)-th least of d(x, p_x) + d(p_x, p_r) + radius_r over the summaries.
+   theta_r, the (k + 1)-th least of d(x, p_x) + d(p_x, p_r) + radius_r over the summaries' distinct
+   vec_ids: without the query's own, k are left, however many rows it has.
 4. A vector goes to the queries of cell r only if d(x, p_r) - radius_r <= theta_r.
 5. Each (cell, block of queries, block of vectors) is solved on its own, exactly in integers;
-   blocks bound memory, and a query's best of all blocks are merged.
+   blocks are cut by rows, so a vec_id on many rows is spread and memory is bounded; a query's best of
+   all its rows and blocks are merged.
 
 Vectors that are null, or hold a null or a non-finite component, take no part;
 shorter vectors count as zero-padded; of repeated vec_ids each row is a candidate, but no
@@ -27,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, mix
 
 PIVOTS = 32
 #: Vectors and queries that one task holds.
@@ -62,7 +65,7 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, scale: int = 256, piv
     """(query_id, rank, vec_id, score): the k largest inner products of each row whose vec_id
     ``every`` divides with all rows of other vec_ids."""
     spark = vectors.sparkSession
-    rows = materialize(integers(vectors, scale))
+    rows = materialize(integers(vectors, scale).withColumn("rid", F.monotonically_increasing_id()))
     width, longest, n = rows.agg(F.coalesce(F.max(F.size("v")), F.lit(0)), F.coalesce(F.max("norm2"), F.lit(0.0)), F.count("*")).first()
     near = rows.orderBy(F.md5(F.col("vec_id").cast("string").cast("binary")), "vec_id", "v").limit(pivots).toPandas()
     centre = _matrix(near["v"], width).astype(np.float64)
@@ -83,21 +86,27 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, scale: int = 256, piv
             v, ids = _matrix(pdf["v"], width), pdf["vec_id"].to_numpy()
             d = far(v, False)
             cell = d.argmin(1)
-            out = [(int(c), False, x) for c in np.unique(cell) for x in np.sort(d[cell == c, c])[:k + 1]]
+            out = []
+            for c in np.unique(cell):
+                own, far_ = ids[cell == c], d[cell == c, c]
+                order = np.argsort(far_, kind="stable")
+                first = np.sort(np.unique(own[order], return_index=True)[1])[:k + 1]  # of each vec_id its nearest row
+                out += [(int(c), False, i, x) for i, x in zip(own[order][first].tolist(), far_[order][first])]
             asked = ids % every == 0
             if asked.any():
                 d = far(v[asked], True)
                 cell = d.argmin(1)
-                out += [(int(c), True, d[cell == c, c].max()) for c in np.unique(cell)]
-            yield pd.DataFrame(out, columns=["cell", "asked", "d"])
-    least = rows.mapInPandas(summarise, "cell int, asked boolean, d double")
-    rank = F.row_number().over(W.partitionBy("cell", "asked").orderBy(F.when(F.col("asked"), -F.col("d")).otherwise(F.col("d"))))
-    summary = least.withColumn("r", rank).where(F.col("r") <= F.when(F.col("asked"), 1).otherwise(k + 1)).toPandas()
-    radius = {int(c): d for c, d in summary[summary["asked"]][["cell", "d"]].itertuples(index=False)}
+                out += [(int(c), True, 0, -d[cell == c, c].max()) for c in np.unique(cell)]
+            yield pd.DataFrame(out, columns=["cell", "asked", "vec_id", "d"])
+    least = rows.select("vec_id", "v").mapInPandas(summarise, "cell int, asked boolean, vec_id long, d double").groupBy("cell", "asked", "vec_id").agg(F.min("d").alias("d"))
+    rank = F.row_number().over(W.partitionBy("cell", "asked").orderBy("d", "vec_id"))
+    summary = least.withColumn("r", rank).where(F.col("r") <= k + 1).toPandas()
+    radius = {int(c): -d for c, d in summary[summary["asked"]][["cell", "d"]].itertuples(index=False)}
     known = summary[~summary["asked"]]
     theta = {}
     for r, u in radius.items():
-        bound = np.sort(known["d"].to_numpy() + between[known["cell"].to_numpy(dtype=int), r] + u)
+        bound = pd.Series(known["d"].to_numpy() + between[known["cell"].to_numpy(dtype=int), r] + u)
+        bound = np.sort(bound.groupby(known["vec_id"].to_numpy()).min().to_numpy())
         theta[r] = float(bound[k]) if len(bound) > k else float("inf")
     cells = sorted(radius)
     asked = rows.where(F.pmod("vec_id", F.lit(every)) == 0)
@@ -108,7 +117,7 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, scale: int = 256, piv
         for pdf in batches:
             v = _matrix(pdf["v"], width)
             cell = far(v, True).argmin(1)
-            qb = pdf["vec_id"].to_numpy() // every % q_blocks
+            qb = (mix(pdf["rid"].to_numpy().view(np.uint64)) % np.uint64(q_blocks)).astype(np.int64)
             out = [(int(c), int(q), b, pdf["vec_id"].to_numpy()[m].tobytes(), v[m].tobytes())
                    for c in np.unique(cell) for q in np.unique(qb) if (m := (cell == c) & (qb == q)).any() for b in range(d_blocks)]
             yield pd.DataFrame(out, columns=["cell", "qb", "db", "ids", "v"])
@@ -153,10 +162,13 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, scale: int = 256, piv
                     pick = np.arange(len(row))
                 pick = pick[np.argsort(-row[pick], kind="stable")][:k]
                 out += zip([q] * len(pick), xi[own[pick]], row[pick])
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"], dtype="int64")
+        best = pd.DataFrame(out, columns=["query_id", "vec_id", "score"], dtype="int64")
+        if len(np.unique(qi)) < len(qi):  # a vec_id's rows share its k places
+            best = best.sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True]).groupby("query_id").head(k)
+        return best
 
     deal = "cell int, qb int, db int, ids binary, v binary"
-    left = asked.select("vec_id", "v").mapInPandas(deal_queries, deal).groupBy("cell", "qb", "db")
+    left = asked.select("vec_id", "v", "rid").mapInPandas(deal_queries, deal).groupBy("cell", "qb", "db")
     right = rows.select("vec_id", "v").mapInPandas(deal_vectors, deal).groupBy("cell", "qb", "db")
     found = left.cogroup(right).applyInPandas(solve, "query_id long, vec_id long, score long")
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")).alias("rank")
