@@ -180,6 +180,23 @@ def test_longest_suffix_and_smoothing(spark):
         at += len(s)
 
 
+def test_rare_contexts_and_bytes_are_learned(spark):
+    """What is learned of rare contexts and byte values does not depend on how much else there is."""
+    frequent = bytes(range(ord("!"), ord("!") + 94)).decode()
+    rng = random.Random(4)
+    plain = [(i, " ".join("".join(rng.choice(frequent) for _ in range(4)) for _ in range(40))) for i in range(300)]
+    foreign = [(1000 + i, "ωψφω ψωφψ qzjxk vwpyq " * 2) for i in range(8)]
+    docs = spark.createDataFrame(plain + foreign, "doc_id long, text string")
+    rows = {p_min: {r.doc_id: r.score for r in op06_suffix_tree.score_documents(docs, p_min=p_min, share=0.0, held=-1).collect()} for p_min in (1e-5, 0.05)}
+    assert rows[1e-5] == pytest.approx(rows[0.05], abs=1e-2)  # what is broadcast changes nothing
+    assert all(rows[0.05][1000 + i] > -35 for i in range(8))  # flat bytes and no rare contexts gave -146
+
+    code = op06_suffix_tree.byte_code(np.arange(256))
+    stream, begin = op06_suffix_tree._symbols([bytes(range(256)), b"", "Ωω a".encode()], code, 5)
+    assert len(set(code.tolist())) == 256 and stream.max() < op06_suffix_tree.SIZE and begin[-1] - 5 == len(stream)
+    assert ((stream == op06_suffix_tree.SEP).sum(), (stream[5:] == op06_suffix_tree.END).sum()) == (3, 5 * 2 + 3)
+
+
 def test_scores_of_edge_rows(clashing, empty):
     rows = op06_suffix_tree.score_documents(clashing).collect()
     assert len(rows) == clashing.count() and all(math.isfinite(r.score) and r.score < 0 for r in rows)

@@ -1,18 +1,21 @@
 """LM scoring by a probabilistic suffix tree.
 
 The text is read as its words' bytes (A-Z lower-cased), one separator between
-words and one end.  Contexts are the last 0 to `DEPTH` symbols.  A context takes part if it
-makes up at least `P_MIN` of all positions (so there are at most 1 / P_MIN of each
-length, whatever the corpus); it becomes a state of its own if the Kullback-Leibler
-divergence of its next symbols from those of its longest shorter state is at least
+words and one end.  The 58 most frequent byte values are one symbol each, every other one a
+pair of symbols, so all bytes are learned.  Contexts are the last 0 to `DEPTH` symbols.  A context
+becomes a state of its own if it was seen `LEAST` times at least, whatever the corpus, and the
+Kullback-Leibler divergence of its next symbols from those of its longest shorter state is at least
 `MIN_KL`.  Distributions are smoothed by Witten-Bell towards that shorter
-state.  An automaton over the contexts leads each position to its longest state;
-a word's probability is the product over its bytes and what follows it, mixed with the base's
+state.  A word's probability is the product over its bytes and what follows it, mixed with the base's
 (`MIX` of it): the tree knows how words are built, the base which words there are.
 The score is the sum of their log10.
 
 Counting: map tasks combine the (DEPTH + 1)-grams of all training texts, Spark
-sums them; only contexts above P_MIN reach the driver.  The base score's word
+sums them; each level's states and probabilities are Spark tables (`probabilities`) that grow with the
+corpus.  Scoring: the frequent contexts, above `P_MIN` of all positions (at most 1 / P_MIN of each
+length), are an automaton in the tasks, which gives the same probabilities as the tables and settles
+positions whose whole context is frequent.  Of all others, each block's distinct grams are joined
+with the tables (`looked_up`).  The base score's word
 counts: words above `HEAVY` of all tokens (at most 1 / HEAVY of them) are looked
 up in tasks, all others by a join on the word.
 
@@ -25,7 +28,9 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import _SPACE, Counts, byte_chunks, encoded, id_bucket, materialize, spans, split, word_hashes
@@ -36,6 +41,12 @@ SIZE = 1 << BITS
 END, SEP, OTHER = 0, 1, SIZE - 1
 #: Bytes of text that a task scores or counts at once.
 CHUNK = 1 << 20
+#: Times that a state's context was seen at least.
+LEAST = 2
+#: Symbols of frequent bytes begin at 2; the last four begin the pairs of the other bytes.
+PLAIN = SIZE - 6
+#: Bytes of text in a block, and documents at most.
+BLOCK, BLOCK_DOCS = 1 << 23, 60_000
 #: Positions that one row of the automaton's matrix reads.
 STRIDE = 1024
 
@@ -45,16 +56,48 @@ def _symbols(texts: list[bytes], code: np.ndarray, depth: int) -> tuple[np.ndarr
     buf, starts, ends, first = spans(texts)
     x = code[buf]
     own = ~_SPACE[buf]
+    pair = own & (x >= SIZE)
     inner = np.delete(starts, first[:-1][first[:-1] < first[1:]]) if len(starts) else starts
     x[inner - 1], own[inner - 1] = SEP, True
     at = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts])))
-    sizes = np.diff(np.concatenate(([0], np.cumsum(own)))[at])
+    sizes = np.diff(np.concatenate(([0], np.cumsum(own.astype(np.int64) + pair)))[at])
     begin = np.concatenate(([0], np.cumsum(sizes + depth + 1))) + depth
     out = np.full(begin[-1] - depth, END, dtype=np.uint8)
-    out[np.arange(sizes.sum()) + np.repeat(begin[:-1] - np.concatenate(([0], np.cumsum(sizes)[:-1])), sizes)] = x[own]
+    out[np.arange(sizes.sum()) + np.repeat(begin[:-1] - np.concatenate(([0], np.cumsum(sizes)[:-1])), sizes)] = _single(x[own])
     return out, begin
 
 
+def _single(x: np.ndarray) -> np.ndarray:
+    """The pairs among coded bytes as two symbols."""
+    if not len(x) or x.max() < SIZE:
+        return x
+    pair = x >= SIZE
+    at = np.cumsum(1 + pair) - 1 - pair
+    out = np.empty(len(x) + pair.sum(), dtype=np.uint8)
+    out[at] = np.where(pair, x >> BITS, x)
+    out[at[pair] + 1] = x[pair] & (SIZE - 1)
+    return out
+
+
+def byte_code(counts: np.ndarray) -> np.ndarray:
+    """Symbols of the 256 byte values: one of the `PLAIN` most frequent each, two of all others."""
+    order = np.argsort(-counts, kind="stable")
+    code = np.empty(256, dtype=np.uint16)
+    code[order[:PLAIN]] = np.arange(2, 2 + PLAIN)
+    rest = np.arange(256 - PLAIN)
+    code[order[PLAIN:]] = (2 + PLAIN + rest // PLAIN << BITS) | (2 + rest % PLAIN)
+    return code
+
+
+def _grams(x: np.ndarray, depth: int) -> np.ndarray:
+    """Each symbol from the ``depth``-th on with those before it."""
+    wide = x.astype(np.uint64)
+    g = wide[:len(wide) - depth].copy()
+    for i in range(1, depth + 1):
+        g = (g << np.uint64(BITS)) | wide[i:len(wide) - depth + i]
+    return g
+
+
 def _predicted(n: int, begin: np.ndarray, depth: int) -> np.ndarray:
     mask = np.ones(n, dtype=bool)
     mask[(begin[:-1, None] - 1 - np.arange(depth)).ravel()] = False
@@ -91,11 +134,7 @@ def gram_table(train: DataFrame, code: np.ndarray, depth: int) -> DataFrame:
             texts = encoded(pdf["text"])
             for a, b in byte_chunks(texts, CHUNK):
                 x, begin = _symbols(texts[a:b], code, depth)
-                wide = x.astype(np.uint64)
-                g = wide[:len(wide) - depth].copy()
-                for i in range(1, depth + 1):
-                    g = (g << np.uint64(BITS)) | wide[i:len(wide) - depth + i]
-                grams.add(g[_predicted(len(x), begin, depth)[depth:]])
+                grams.add(_grams(x, depth)[_predicted(len(x), begin, depth)[depth:]])
                 if (out := grams.full()) is not None:
                     yield pd.DataFrame({"g": out[0].view(np.int64), "c": out[1]})
         out = grams.rest()
@@ -150,37 +189,118 @@ class Tree:
                     open_ &= ~hit
             nexts.append(to)
         self.next = (np.concatenate(nexts).ravel() * SIZE).astype(np.int32)
-        self.depth = top
+        self.depth, self.whole = top, int(first[top] * SIZE)
 
     def logs(self, x: np.ndarray) -> np.ndarray:
+        return self.known(x)[0]
+
+    def known(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """log10 probability of every symbol after those before it: the stream is cut into rows
-        that overlap by ``depth`` symbols, after which a state is exact, and all rows step together."""
+        that overlap by ``depth`` symbols, after which a state is exact, and all rows step together.  And whether
+        the last ``depth`` symbols are a context of the tree: no longer state can be elsewhere."""
         rows = -(-len(x) // STRIDE)
         pad = np.zeros(self.depth + rows * STRIDE, dtype=np.uint8)
         pad[self.depth:self.depth + len(x)] = x
         at = np.arange(rows) * STRIDE
         state, out = np.zeros(rows, dtype=np.int32), np.empty((STRIDE, rows), dtype=np.float32)
+        whole = np.empty((STRIDE, rows), dtype=bool)
         for t in range(self.depth + STRIDE):
             s = pad[at + t]
             if t >= self.depth:
                 out[t - self.depth] = self.logp[self.row[state // SIZE] + s]
+                whole[t - self.depth] = state >= self.whole
             state = self.next[state + s]
-        return out.T.ravel()[:len(x)]
+        return out.T.ravel()[:len(x)], whole.T.ravel()[:len(x)]
+
+
+def shorter(grams: DataFrame, depth: int) -> list[DataFrame]:
+    """Counts (g, c) of the grams whose contexts have 0 .. depth symbols."""
+    out = [grams]
+    for d in range(depth, 0, -1):
+        short = F.col("g").bitwiseAND(F.lit((1 << BITS * d) - 1))
+        out.append(materialize(out[-1].groupBy(short.alias("g")).agg(F.sum("c").alias("c"))))
+    return out[::-1]
+
+
+def learn(grams: DataFrame, total: int, depth: int, p_min: float, min_kl: float, least: int = 1, levels: list[DataFrame] | None = None) -> Tree:
+    """The tree of the contexts that make up p_min of all positions."""
+    rows: list[pd.DataFrame] = []
+    for level in levels or shorter(grams, depth):
+        n = level.groupBy(F.shiftright("g", BITS).alias("ctx")).agg(F.sum("c").alias("n")).where(F.col("n") >= max(p_min * total, least))
+        rows.append(level.join(n.select("ctx"), F.shiftright("g", BITS) == F.col("ctx")).select("g", "c").toPandas())
+    return Tree(rows, min_kl)
+
 
+def probabilities(levels: list[DataFrame], min_kl: float, least: int) -> list[DataFrame]:
+    """(g, p, back) of each level: the probability of every seen gram's last symbol after its context, and the
+    share that the context's state, if it is one, leaves to the shorter one (else 1)."""
+    counts = np.zeros(SIZE)
+    for g, c in levels[0].collect():
+        counts[g] = c
+    root = (counts + 0.5) / (counts.sum() + 0.5 * SIZE)
+    spark = levels[0].sparkSession
+    out = [spark.createDataFrame([(i, float(p), 1.0) for i, p in enumerate(root)], "g long, p double, back double")]
+    own = W.partitionBy(F.shiftright("g", BITS))  # at most SIZE rows
+    for d in range(1, len(levels)):
+        up = out[-1].select(F.col("g").alias("s"), F.col("p").alias("up"))
+        t = levels[d].join(up, F.col("g").bitwiseAND(F.lit((1 << BITS * d) - 1)) == F.col("s"))
+        t = t.select("g", "c", "up", F.sum("c").over(own).alias("n"), F.count("*").over(own).alias("types"),
+                     F.sum(F.col("c") * F.log(F.col("c") / F.col("up"))).over(own).alias("s"))
+        keep = (F.col("n") >= least) & (F.col("s") / F.col("n") - F.log("n") >= min_kl)
+        out.append(materialize(t.select("g", F.when(keep, (F.col("c") + F.col("types") * F.col("up")) / (F.col("n") + F.col("types"))).otherwise(F.col("up")).alias("p"),
+                                        F.when(keep, F.col("types") / (F.col("n") + F.col("types"))).otherwise(1.0).alias("back"))))
+    return out
 
-def learn(grams: DataFrame, total: int, depth: int, p_min: float, min_kl: float) -> Tree:
-    levels: list[pd.DataFrame] = []
-    for d in range(depth, -1, -1):
-        n = grams.groupBy(F.shiftright("g", BITS).alias("ctx")).agg(F.sum("c").alias("n")).where(F.col("n") >= p_min * total)
-        levels.append(grams.join(n.select("ctx"), F.shiftright("g", BITS) == F.col("ctx")).select("g", "c").toPandas())
-        if d:
-            short = F.col("g").bitwiseAND(F.lit((1 << BITS * d) - 1))
-            grams = materialize(grams.groupBy(short.alias("g")).agg(F.sum("c").alias("c")))
-    return Tree(levels[::-1], min_kl)
+
+def looked_up(asked: DataFrame, tables: list[DataFrame]) -> DataFrame:
+    """(block, g, p) of asked grams (block, g): those of the training texts by one join, others through the shorter states."""
+    found = materialize(asked.join(tables[-1].select("g", "p"), "g", "left").select("block", "g", "p"))
+    new = materialize(found.where("p is null").select("g").distinct())
+    root = [r.p for r in sorted(tables[0].collect(), key=lambda r: r.g)]
+    p = new.select("g", F.element_at(F.array(*map(F.lit, root)), (F.col("g").bitwiseAND(F.lit(SIZE - 1)) + 1).cast("int")).alias("p"))
+    for d, level in enumerate(tables[1:], 1):
+        p = p.withColumn("s", F.col("g").bitwiseAND(F.lit((1 << BITS * (d + 1)) - 1))).withColumn("ctx", F.shiftright("s", BITS))
+        left = level.where("back < 1").select(F.shiftright("g", BITS).alias("ctx"), "back").distinct()
+        p = p.join(level.select(F.col("g").alias("s"), F.col("p").alias("seen")), "s", "left").join(left, "ctx", "left")
+        p = p.select("g", F.coalesce("seen", F.col("p") * F.coalesce("back", F.lit(1.0))).alias("p"))
+    return found.where("p is not null").unionByName(found.where("p is null").drop("p").join(p, "g"))
+
+
+def blocked(docs: DataFrame) -> DataFrame:
+    """Blocks of documents: block, rids, ids (int64 arrays), nulls (a byte for each id), sizes, z."""
+    def run(batches):
+        zip_ = zstandard.ZstdCompressor(level=3)
+
+        def row(parts):
+            rids, ids, texts = ([x for p in parts for x in p[i]] for i in range(3))
+            return pd.DataFrame({"rids": [np.array(rids, np.int64).tobytes()], "ids": [np.array([0 if i is None else i for i in ids], np.int64).tobytes()],
+                                 "nulls": [np.array([i is None for i in ids], np.uint8).tobytes()],
+                                 "sizes": [np.array([len(t) for t in texts], np.int64).tobytes()], "z": [zip_.compress(b"".join(texts))]})
+        parts, size, n = [], 0, 0
+        for pdf in split(batches, 500):
+            texts, ids = encoded(pdf["text"]), [None if i is None else int(i) for i in pdf["id"]]
+            for a, b in byte_chunks(texts, CHUNK):
+                parts.append((pdf["rid"].to_numpy()[a:b], ids[a:b], texts[a:b]))
+                size, n = size + sum(map(len, texts[a:b])), n + b - a
+                if size >= BLOCK or n >= BLOCK_DOCS:
+                    yield row(parts)
+                    parts, size, n = [], 0, 0
+        if parts:
+            yield row(parts)
+    rows = docs.select(F.col("doc_id").cast("string").alias("id"), "text", F.monotonically_increasing_id().alias("rid")).mapInPandas(
+        run, "rids binary, ids binary, nulls binary, sizes binary, z binary")
+    return materialize(rows.select(F.monotonically_increasing_id().alias("block"), "*"))
+
+
+def _texts(row) -> list[bytes]:
+    sizes = np.frombuffer(row.sizes, dtype=np.int64)
+    data = zstandard.ZstdDecompressor().decompress(row.z, max_output_size=int(sizes.sum()) + 1)
+    ends = np.concatenate(([0], np.cumsum(sizes))).tolist()
+    return [data[a:b] for a, b in zip(ends[:-1], ends[1:])]
 
 
 def score_documents(docs: DataFrame, held: int = 2, folds: int = 7, depth: int = DEPTH, p_min: float = P_MIN,
-                    min_kl: float = MIN_KL, heavy: float = HEAVY, share: float = MIX) -> DataFrame:
+                    min_kl: float = MIN_KL, heavy: float = HEAVY, share: float = MIX, least: int = LEAST) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long"), "text", (id_bucket("doc_id", folds) == held).alias("held_out"))
@@ -191,31 +311,55 @@ def score_documents(docs: DataFrame, held: int = 2, folds: int = 7, depth: int =
     n, v = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     n, v = n + ends, v + (ends > 0)
     norm = n + 1 * (v + 1)
-    alphabet = counted.where("kind = 1").orderBy(F.desc("c"), "key").limit(SIZE - 3).toPandas()["key"].to_numpy(np.int64)
-    code = np.full(256, OTHER, dtype=np.uint8)
-    code[alphabet] = np.arange(2, 2 + len(alphabet))
+    seen = counted.where("kind = 1").toPandas()
+    seen = np.bincount(seen["key"].to_numpy(np.int64), seen["c"].to_numpy(np.float64), minlength=256)
+    code = byte_code(seen)
     grams = materialize(gram_table(train, code, depth))
     total = grams.agg(F.sum("c")).first()[0] or 0
     often = words.where(F.col("c") >= max(1.0, heavy * n)).toPandas().sort_values("h")
-    sent = spark.sparkContext.broadcast((learn(grams, total, depth, p_min, min_kl), code, often["h"].to_numpy(np.int64),
+    levels = shorter(grams, depth)
+    sent = spark.sparkContext.broadcast((learn(grams, total, depth, p_min, min_kl, least, levels), code, often["h"].to_numpy(np.int64),
                                          (often["c"].to_numpy(np.float64) + 1) / norm))
     end_p = float((ends + 1) / norm)
-    rare = float(np.log10(256 - len(alphabet)))  # an OTHER stands for any of the other bytes
+    blocks = blocked(docs)
+
+    def ask(batches):
+        tree, code, *_ = sent.value
+        for pdf in batches:
+            for r in pdf.itertuples():
+                texts, grams = _texts(r), [np.empty(0, np.uint64)]
+                for a, b in byte_chunks(texts, CHUNK):
+                    x, begin = _symbols(texts[a:b], code, depth)
+                    far = _predicted(len(x), begin, depth) & ~tree.known(x)[1]
+                    grams.append(np.unique(_grams(x, depth)[far[depth:]]))
+                g = np.unique(np.concatenate(grams)).view(np.int64)
+                yield pd.DataFrame({"block": np.full(len(g), r.block, dtype=np.int64), "g": g})
+
+    def packed(pdf):
+        pdf = pdf.sort_values("g")
+        return pd.DataFrame({"block": pdf["block"].iloc[:1], "g": [pdf["g"].to_numpy(np.int64).tobytes()],
+                             "lp": [np.log10(pdf["p"].to_numpy()).astype(np.float32).tobytes()]})
+    asked = blocks.select("block", "sizes", "z").mapInPandas(ask, "block long, g long")
+    rare = looked_up(asked, probabilities(levels, min_kl, least)).groupBy("block").applyInPandas(packed, "block long, g binary, lp binary")
 
     def run(batches):
         tree, code, often, often_p = sent.value
-        for pdf in split(batches):
-            texts = encoded(pdf["text"])
+        for r in (r for pdf in batches for r in pdf.itertuples()):
+            texts, rids = _texts(r), np.frombuffer(r.rids, dtype=np.int64)
+            doc_ids = pd.arrays.IntegerArray(np.frombuffer(r.ids, dtype=np.int64), np.frombuffer(r.nulls, dtype=bool))
             for a, b in byte_chunks(texts, CHUNK):
                 x, begin = _symbols(texts[a:b], code, depth)
-                lp = tree.logs(x).astype(np.float64)
-                lp[x == OTHER] -= rare
-                lp[~_predicted(len(x), begin, depth)] = 0.0
+                lp, whole = tree.known(x)
+                lp, own = lp.astype(np.float64), _predicted(len(x), begin, depth)
+                far = np.flatnonzero(own & ~whole)
+                if len(far):
+                    lp[far] = np.frombuffer(r.lp, dtype=np.float32)[np.searchsorted(np.frombuffer(r.g, dtype=np.int64), _grams(x, depth)[far - depth].view(np.int64))]
+                lp[~own] = 0.0
                 h, first = word_hashes(texts[a:b])
                 h, size = h.view(np.int64), np.diff(first)
                 # the tree's probability of each word and what follows it; of an empty text, of its end
                 total = np.concatenate(([0.0], np.cumsum(lp)))
-                stops = np.flatnonzero((x == SEP) | ((x == END) & _predicted(len(x), begin, depth))) + 1
+                stops = np.flatnonzero((x == SEP) | ((x == END) & own)) + 1
                 word = np.diff(np.concatenate(([0.0], total[stops])))
                 full = np.repeat(size > 0, np.maximum(size, 1))
                 tree_p, empty = 10 ** word[full], np.zeros(b - a)
@@ -226,7 +370,7 @@ def score_documents(docs: DataFrame, held: int = 2, folds: int = 7, depth: int =
                 known = often[i] == h if len(often) else np.zeros(len(h), dtype=bool)
                 p = often_p[i[known]] if len(often) else np.empty(0)
                 score = empty + np.bincount(doc[known], np.log10(share * p * last[known] + (1 - share) * tree_p[known]), minlength=b - a)
-                rid, ids = pdf["rid"].to_numpy()[a:b], pdf["doc_id"].astype("Int64").iloc[a:b]
+                rid, ids = rids[a:b], doc_ids[a:b]
                 yield pd.DataFrame({"rid": rid, "doc_id": ids, "h": rid * np.int64(0x5851F42D4C957F2D), "tree_p": np.float32(0), "last": False, "tf": 0,
                                     "n_tokens": size + 1, "known": np.bincount(doc[known], minlength=b - a),
                                     "base": np.bincount(doc[known], np.log10(p), minlength=b - a), "score": score})
@@ -236,7 +380,7 @@ def score_documents(docs: DataFrame, held: int = 2, folds: int = 7, depth: int =
                                         "tree_p": np.log10(tree_p[far]).astype(np.float32), "last": last[far] < 1, "tf": 1,
                                         "n_tokens": 0, "known": 0, "base": 0.0, "score": 0.0})
 
-    rows = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("rid")).mapInPandas(
+    rows = blocks.select("block", "rids", "ids", "nulls", "sizes", "z").join(rare, "block", "left").mapInPandas(
         run, "rid long, doc_id long, h long, tree_p float, last boolean, tf int, n_tokens int, known int, base double, score double")
     seldom = words.where(F.col("c") < max(1.0, heavy * n))
     part = rows.join(seldom, "h", "left")
