@@ -125,3 +125,31 @@ def test_queries_run_from_any_folder(tmp_path):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     run = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert "rows" in run.stdout, run.stderr[-2000:]
+
+
+def test_own_name_and_legal_word_tables(spark):
+    names = spark.createDataFrame([("Xanthippe", "female")], "name string, gender_class string")
+    words = spark.createDataFrame([(w,) for w in ("Oyj", "dd", "Société", "the", "oyj")], "word string")
+    rows = [("Nokia Oyj", "a@nokia.com"), ("Café-Société d.d. THE", "b@cafe.com"), ("oyj dd", "c@x.com"), (None, "d@x.com"), ("Acme GmbH", "e@acme.com")]
+    df = spark.createDataFrame(rows, "account_name string, email string")
+    got = {r.account_name: r.c for r in similarity.with_company_clean(df, "account_name", "c", words).collect()}
+    assert got == {"Nokia Oyj": "nokia", "Café-Société d.d. THE": "cafdd", "oyj dd": "", None: "", "Acme GmbH": "acmegmbh"}
+    want = similarity.with_company_clean(df, "account_name", "c")
+    from tidyleads import refdata
+    same = similarity.with_company_clean(df, "account_name", "c", spark.createDataFrame([(w,) for w in refdata.LEGAL_WORDS], "word string"))
+    assert sorted(map(str, want.collect())) == sorted(map(str, same.collect()))
+    scored = {r.account_name: r.domain_score for r in similarity.domain_score(df, words=words).collect()}
+    assert scored["Nokia Oyj"] == 100 and scored[None] is None and scored["oyj dd"] is None
+
+
+def test_jobs_take_own_tables(spark, sf_small):
+    from pyspark.sql import functions as F
+    from tidyleads.plans import jobs
+    import inspect
+    assert {"names", "legal_words"} <= set(inspect.signature(jobs.prospect_issues).parameters)
+    p = spark.createDataFrame([("Xanthippe", "Bo", "x@nokia.com", "Nokia Oyj")], "first_name string, last_name string, email string, account_name string")
+    p = p.withColumns({c: F.lit(None).cast("string") for c in ("title", "gender", "linkedin_url", "country", "account_country")})
+    names = spark.createDataFrame([("xanthippe", "female")], "name string, gender_class string")
+    words = spark.createDataFrame([("oyj",)], "word string")
+    r = validate.validate(p, in_scope=F.lit(True), gender_mode="B", names=names, legal_words=words).first()
+    assert (r.plausible_gender, r.gender, r.domain_score) == ("Female", "Female", 100)

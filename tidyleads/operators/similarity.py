@@ -99,6 +99,19 @@ def company_clean(name) -> Column:
     return fold_text(strip_words(F.lower(as_col(name))))
 
 
+def with_company_clean(df: DataFrame, name: str, out: str, words: DataFrame | None = None) -> DataFrame:
+    """``company_clean`` of a column; with a table of legal words (word) of any size these are
+    joined, once per distinct name, in place of the built-in ones."""
+    if words is None:
+        return df.withColumn(out, company_clean(name))
+    stop = words.select(F.lower(F.trim("word")).alias("_w")).where(F.col("_w") != "").distinct()
+    # folding drops what stands between words, so only the words are joined
+    runs = df.select(F.col(name).alias("_n")).distinct().select("_n", F.posexplode(F.regexp_extract_all(F.lower("_n"), F.lit(r"([\p{L}\p{N}_]+)"), 0)).alias("_pos", "_w"))
+    kept = runs.join(stop, "_w", "left_anti").groupBy("_n").agg(F.array_sort(F.collect_list(F.struct("_pos", "_w"))).alias("_kept"))
+    kept = kept.select(F.col("_n").alias(name), fold_text(F.array_join(F.col("_kept._w"), "")).alias(out))
+    return left_lookup(df, kept, [name]).withColumn(out, F.coalesce(out, F.lit("")))
+
+
 def domain_clean(email) -> Column:
     return fold_text(domain_core(email))
 
@@ -118,11 +131,12 @@ def domain_prepare(df: DataFrame, company: str = "account_name", email: str = "e
 # Lookups null the key of rows outside the rule instead of filtering them: a
 # filter on a derived flag would be pushed down with every aliased expression
 # substituted into it, while a NULL key is one extra group that never joins.
-def domain_lookup(prepared: DataFrame) -> DataFrame:
+def domain_lookup(prepared: DataFrame, words: DataFrame | None = None) -> DataFrame:
     ok = F.col("_sc_ok")
     pairs = prepared.select(F.when(ok, F.col("_ca")).alias("a"), F.when(ok, F.col("_cb")).alias("b")).distinct()
     # legal words are removed and letters folded once per distinct pair, not per row
-    clean = pairs.select(F.col("a").alias("_ca"), F.col("b").alias("_cb"), company_clean("a").alias("a"), fold_text("b").alias("b"))
+    clean = with_company_clean(pairs, "a", "_clean", words)
+    clean = clean.select(F.col("a").alias("_ca"), F.col("b").alias("_cb"), F.col("_clean").alias("a"), fold_text("b").alias("b"))
     both = (F.col("a") != "") & (F.col("b") != "")
     return score_pairs(clean).select("_ca", "_cb", F.when(both, F.col("score")).alias("_score"))
 
@@ -133,12 +147,12 @@ def domain_attach(prepared: DataFrame, lookup: DataFrame, out: str = "domain_sco
 
 
 def domain_score(df: DataFrame, company: str = "account_name", email: str = "email",
-                 eligible: Column | None = None, out: str = "domain_score") -> DataFrame:
+                 eligible: Column | None = None, out: str = "domain_score", words: DataFrame | None = None) -> DataFrame:
     """Company name (legal words removed, folded) vs. e-mail domain core
     (folded): NULL when the e-mail has no '@' or either side is empty.
     Scored once per distinct (company, domain) pair."""
     p = domain_prepare(df, company, email, eligible)
-    return domain_attach(p, domain_lookup(p), out)
+    return domain_attach(p, domain_lookup(p, words), out)
 
 
 @pandas_udf(T.BooleanType())
@@ -184,13 +198,13 @@ def flag_bad_email(df: DataFrame, first: str = "first_name", last: str = "last_n
     return bad_email_attach(p, bad_email_lookup(p, cutoff), out)
 
 
-def native_pair_scores(df: DataFrame, company: str = "company", email: str = "email") -> DataFrame:
+def native_pair_scores(df: DataFrame, company: str = "company", email: str = "email", words: DataFrame | None = None) -> DataFrame:
     """Distinct (company_clean, domain_clean) pairs with the native windowed
     score, label and Bad Domain flag.  Raw pairs are de-duplicated first (map-side
     combined), then cleaned, de-duplicated again and scored once per pair."""
     from ..functions.contact import bad_domain, domain_score_label
     raw = df.where(F.col(email).contains("@")).select(F.lower(F.col(company)).alias("c"), domain_core(email).alias("d")).distinct()
-    pairs = raw.select(company_clean("c").alias("company_clean"), fold_text("d").alias("domain_clean")).distinct()
+    pairs = with_company_clean(raw, "c", "company_clean", words).select("company_clean", fold_text("d").alias("domain_clean")).distinct()
     pairs = pairs.where((F.col("company_clean") != "") & (F.col("domain_clean") != ""))
     scored = pairs.withColumn("similarity", windowed_similarity("company_clean", "domain_clean"))
     return scored.withColumns({"label": domain_score_label("similarity"),

@@ -59,7 +59,8 @@ def plausible_gender(df: DataFrame, first: str = "first_name", names: DataFrame
 
 
 def validate(df: DataFrame, in_scope: Column | None = None, gender_mode: str | Column = "A",
-             check_country: bool | Column = False, names: DataFrame | None = None) -> DataFrame:
+             check_country: bool | Column = False, names: DataFrame | None = None,
+             legal_words: DataFrame | None = None) -> DataFrame:
     """Run every rule on the rows in ``in_scope`` (duplicates on all rows).
 
     Adds ``issues`` (array, fixed order), ``issue`` ('+'-joined),
@@ -67,6 +68,7 @@ def validate(df: DataFrame, in_scope: Column | None = None, gender_mode: str | C
     title-cases names and lower-cases e-mails of in-scope rows; normalises
     gender (mode A) or replaces it with the plausible one (mode B).  Mode and country
     check may differ by row (a column), for sources validated together.
+    ``names`` (name, gender_class) and ``legal_words`` (word) replace the built-in tables.
 
     All row-level rules are one projection; the four lookups (e-mail pairs,
     company/domain pairs, first names, person keys) are each derived from
@@ -93,7 +95,7 @@ def validate(df: DataFrame, in_scope: Column | None = None, gender_mode: str | C
     x = similarity.domain_prepare(x, company="account_name", email="email", eligible=inn)
     x = gender_prepare(x, eligible=inn)
     x = duplicates_prepare(x, [person_key("first_name", "last_name")], tag="p")
-    lookups = (similarity.bad_email_lookup(x), similarity.domain_lookup(x), gender_lookup(x, names),
+    lookups = (similarity.bad_email_lookup(x), similarity.domain_lookup(x, legal_words), gender_lookup(x, names),
                duplicates_lookup(x, tag="p"))
     x = similarity.bad_email_attach(x, lookups[0], out="_r_bademail")
     x = similarity.domain_attach(x, lookups[1], out="domain_score")

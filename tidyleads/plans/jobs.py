@@ -151,13 +151,15 @@ def prepare_source(spec: SourceSpec, main: DataFrame, accounts: DataFrame) -> Da
 
 
 def prospect_issues(spec: SourceSpec, sample: DataFrame, accounts: DataFrame,
-                    earlier: list[DataFrame] = (), threshold: int = 3, materialize: bool = True) -> DataFrame:
+                    earlier: list[DataFrame] = (), threshold: int = 3, materialize: bool = True,
+                    names: DataFrame | None = None, legal_words: DataFrame | None = None) -> DataFrame:
     """Job A for one source: country/phone normalisation, ID repair, source
     label, union with earlier sources' outputs, validation and quota labels.
 
     With ``materialize`` the unioned prospects are checkpointed before
     validation: its four lookups and the main branch then read that table
-    instead of re-running the linking joins and ID numbering five times."""
+    instead of re-running the linking joins and ID numbering five times.
+    ``names`` (name, gender_class) and ``legal_words`` (word) replace the built-in tables."""
     df = sample
     if spec.same_country:
         df = cols.same_country(df)
@@ -179,7 +181,8 @@ def prospect_issues(spec: SourceSpec, sample: DataFrame, accounts: DataFrame,
     if materialize:
         prospects = cut_lineage(prospects)
     v = validate(prospects, in_scope=F.col("prospect_id").startswith(spec.prefix),
-                 gender_mode=spec.gender_mode, check_country=spec.check_country)
+                 gender_mode=spec.gender_mode, check_country=spec.check_country,
+                 names=names, legal_words=legal_words)
     order = [F.col("source_rank"), F.floor(_order_key() / 1024), _order_key()]
     return identity.quota_label(v, threshold, order_by=order, group="account_name", tiers=[2])
 
