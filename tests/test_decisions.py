@@ -153,3 +153,15 @@ def test_jobs_take_own_tables(spark, sf_small):
     words = spark.createDataFrame([("oyj",)], "word string")
     r = validate.validate(p, in_scope=F.lit(True), gender_mode="B", names=names, legal_words=words).first()
     assert (r.plausible_gender, r.gender, r.domain_score) == ("Female", "Female", 100)
+
+
+def test_country_list_is_checked(spark, sf_small):
+    """The query's rows against its SQL, and violations there at all."""
+    import duckdb
+    import __spark_entry__
+    sql = __spark_entry__.oracle_sql()["allowed_values_country"]
+    got = sorted(map(tuple, __spark_entry__.queries()["allowed_values_country"](spark, sf_small).collect()))
+    con = duckdb.connect()
+    for t in ("orders", "part", "customer", "nation", "supplier", "lineitem"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_small}/{t}.parquet'")
+    assert got and got == sorted(con.execute(sql).fetchall())

@@ -246,3 +246,13 @@ GROUP BY col, v""")
 def q_allowed_values(spark, sf):
     p = fixture(spark, sf, "fx_prospects")
     return allowed_values(p, {"source": "Source", "gender": "Gender"})
+
+
+@register("allowed_values_country", sql_with("fx_prospects") + f"""
+, dv AS {refdata.sql_domain_values()}
+SELECT 'country' AS "column", country AS value, count(*) AS count
+FROM fx_prospects WHERE NOT {S.is_blank('country')}
+  AND country NOT IN (SELECT value FROM dv WHERE domain = 'Country')
+GROUP BY country""")
+def q_allowed_values_country(spark, sf):
+    return allowed_values(fixture(spark, sf, "fx_prospects"), {"country": "Country"})
