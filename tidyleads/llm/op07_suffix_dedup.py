@@ -1,5 +1,6 @@
-"""Suffix-array dedup: repeated strings of ``length`` bytes across documents, found
-by blockwise suffix sorting around a sampled cover.
+"""Repeated strings of ``length`` bytes across documents, found by hashed contexts around
+a sampled cover.  The dealt method's suffix sorting and cover ranks are not built: a difference
+cover would take several times the samples (see the README).
 
 Removes every byte covered by a ``length``-byte string that also starts in a document of
 a smaller doc_id.  Documents are packed into blocks of about 2 MB.
@@ -9,16 +10,16 @@ a smaller doc_id.  Documents are packed into blocks of about 2 MB.
    difference cover has this property too, but samples 6 of 31 positions, this one of
    the dealt length about 1 of 20; see the README for what that costs.)
 2. Sampled grams are dealt out by hash; those that occur in one document only,
-   or with other bytes on both sides, are out.  What is left are the suffixes worth sorting.
-3. Suffix buckets: sampled suffixes with their neighbourhood are dealt out by gram, and
-   each bucket is sorted on its own.  Suffixes that tie on the gram are told apart by the ranks
-   of what lies before and after it, one rank per reach, so each string around a sample becomes
-   one key; its least document keeps it, the others lose it.  Memory is bounded by
-   a bucket, whose number follows the input.
+   or with other bytes on both sides, are out.  What is left are the samples worth comparing.
+3. Buckets: samples with their neighbourhood are dealt out by a hash of the gram, and
+   each bucket is grouped on its own.  Samples of one gram are told apart by 64-bit hashes, without order,
+   of what lies before and after it, one per reach, so each string around a sample becomes
+   one key; its least document keeps it, the others lose it.  The number of buckets
+   follows the input, but all samples of one gram meet in one task: a very common gram is not split.
 4. Each block drops its covered bytes.
 
 A text equal to one of a smaller doc_id is covered whole (from ``length`` bytes on) and takes no
-part in the sort.  Null text has no bytes; a null doc_id comes after all others;
+part in the comparison.  Null text has no bytes; a null doc_id comes after all others;
 repeated rows of one doc_id are not smaller than each other and stay; empty
 tables give no rows; extra columns are not read.
 """
@@ -196,7 +197,7 @@ def suspects(blocks: DataFrame, length: int, gram: int, buckets: int) -> DataFra
 
 
 def _ranks(ctx: np.ndarray, reach: int) -> np.ndarray:
-    """Rank keys of the first 0 .. reach bytes of each row."""
+    """Hashes of the first 0 .. reach bytes of each row."""
     out = np.zeros((reach + 1, len(ctx)), dtype=np.uint64)
     for j in range(reach):
         out[j + 1] = (out[j] ^ (out[j] >> np.uint64(32))) * np.uint64(_BASE) + _BYTE[ctx[:, j]]
