@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions._util import as_col
 from ..functions.values import is_blank
+from ..session import written
 from .joins import left_lookup
 
 
@@ -68,6 +69,38 @@ def ordered_index(df: DataFrame, order_by: list, tiers: list[int], partition_by:
     return out.drop("_rn", *keys)
 
 
+def range_index(df: DataFrame, order_by: list, partition_by: list[str] = (), name: str = "_idx") -> DataFrame:
+    """Add ``name`` = position (1..n) of each row in ``order_by`` (Columns or names; asc or
+    desc as given) within ``partition_by``, whatever the number of rows or their skew.
+
+    Rows are dealt by ranges of (partition_by, order_by) whose splitters Spark samples from
+    the data, sorted inside each range and written with their range number and place, so no
+    reader can see other ranges.  A two-level prefix sum gives the rest: rows per range, and
+    the offset of each range among those of its partition.  Only one row per range (and
+    partition) is summed up.  A hot partition spans many ranges; rows that are equal in all
+    of ``order_by`` share one range, so end it with a tie-break where many may be equal.
+    The written table is narrow if ``df`` is: select what is needed first."""
+    partition_by = list(partition_by)
+    keys = [F.col(f"`{c}`").asc() for c in partition_by] + [F.col(c) if isinstance(c, str) else c for c in order_by]
+    dealt = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    rows = written(dealt.withColumns({"_range": F.spark_partition_id(),
+                                      "_at": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))}))
+    runs = rows.groupBy(*partition_by, "_range").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    if partition_by:
+        w = Window.partitionBy(*partition_by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+        runs = runs.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0)))
+    else:
+        before, offsets = 0, []
+        for r, n in sorted((r["_range"], r["_n"]) for r in runs.select("_range", "_n").collect()):  # one row per range
+            offsets.append((r, before, 0))
+            before += n
+        runs = df.sparkSession.createDataFrame(offsets, "_range int, _before long, _first long")
+    r, o = rows.alias("r"), F.broadcast(runs.alias("o")) if not partition_by else runs.alias("o")
+    on = reduce(lambda a, b: a & b, [F.col(f"r.`{c}`").eqNullSafe(F.col(f"o.`{c}`")) for c in [*partition_by, "_range"]])
+    at = F.col("o._before") + F.col("r._at") - F.col("o._first") + 1
+    return r.join(o, on).select(*[F.col(f"r.`{c}`") for c in df.columns], at.alias(name))
+
+
 def _join_tier(finer: DataFrame, coarser: DataFrame, coarse_keys: list[str]) -> DataFrame:
     """Attach a coarser tier's offset to every row of a finer tier table."""
     f, c = finer.alias("f"), coarser.alias("c")

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,3 +58,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (never a local one): survives executor loss."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """Write to the shared checkpoint folder and read back: a lineage cut whose rows, and
+    the partition numbers computed into them, are the same for every later reader."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
