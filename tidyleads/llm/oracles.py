@@ -57,3 +57,80 @@ p AS (
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
 """
+
+#: CRC-32 of texts: `of` gives the 256 remainders; _crc(x) folds the bytes of x over them.
+_CRC_TABLE = """crc AS (SELECT list_transform(range(256), lambda i: list_reduce([CAST(i AS BIGINT), 0, 0, 0, 0, 0, 0, 0, 0],
+  lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS rem)"""
+
+
+def _crc(text: str) -> str:
+    bytes_ = (f"list_transform(range(strlen({text})), lambda i: CAST(16 * (strpos('0123456789ABCDEF', substr(hex(encode({text})), CAST(2 * i + 1 AS INT), 1)) - 1)"
+              f" + strpos('0123456789ABCDEF', substr(hex(encode({text})), CAST(2 * i + 2 AS INT), 1)) - 1 AS BIGINT))")
+    return (f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {bytes_}),"
+            f" lambda c, b: xor(c >> 8, rem[1 + (xor(c, b) & 255)])), 4294967295)")
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_field(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+OP11 = f"""
+WITH RECURSIVE {_CRC_TABLE},
+src AS (SELECT source AS name, row_number() OVER (ORDER BY source NULLS FIRST) AS sid FROM (SELECT DISTINCT source FROM documents)),
+leaf AS (
+  SELECT row_number() OVER () AS rid, doc_id, sid, {_leaf('text')} AS leaf,
+         CASE WHEN {_crc("coalesce(CAST(doc_id AS VARCHAR), 'null')")} % 2 = 0 THEN {_leaf("replace(text, chr(10), '')")} ELSE {_leaf('text')} END AS changed
+  FROM crc, documents JOIN src ON documents.source IS NOT DISTINCT FROM src.name),
+placed AS (SELECT *, row_number() OVER (PARTITION BY sid ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY sid) AS n FROM leaf),
+node AS (
+  SELECT sid, 0 AS level, pos, n, leaf AS digest FROM placed
+  UNION ALL
+  SELECT sid, level + 1, pos // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY pos)) FROM node WHERE n > 1 GROUP BY sid, level, n, pos // 3),
+sub AS (SELECT sid, digest AS subroot FROM node WHERE n = 1),
+top AS (
+  SELECT 0 AS level, sid - 1 AS pos, (SELECT count(*) FROM sub) AS n, subroot AS digest FROM sub
+  UNION ALL
+  SELECT level + 1, pos // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY pos)) FROM top WHERE n > 1 GROUP BY level, n, pos // 3),
+step AS (
+  SELECT a.rid, b.level, coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos < a.pos // CAST(3 ** b.level AS BIGINT)), '') AS l,
+         coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos > a.pos // CAST(3 ** b.level AS BIGINT)), '') AS r
+  FROM placed a JOIN node b ON a.sid = b.sid AND b.n > 1 AND b.pos // 3 = a.pos // CAST(3 ** (b.level + 1) AS BIGINT) GROUP BY a.rid, b.level
+  UNION ALL
+  SELECT a.rid, 1000 + b.level, coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos < (a.sid - 1) // CAST(3 ** b.level AS BIGINT)), ''),
+         coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos > (a.sid - 1) // CAST(3 ** b.level AS BIGINT)), '')
+  FROM placed a JOIN top b ON b.n > 1 AND b.pos // 3 = (a.sid - 1) // CAST(3 ** (b.level + 1) AS BIGINT) GROUP BY a.rid, b.level),
+path AS (SELECT rid, string_agg(l || r, '' ORDER BY level) AS proof, list({{'l': l, 'r': r}} ORDER BY level) AS steps FROM step GROUP BY rid),
+root AS (SELECT digest AS root FROM top WHERE n = 1),
+folded AS (
+  SELECT doc_id, leaf, subroot, root, sha256(coalesce(proof, '')) AS proof_sha256,
+         list_reduce(list_prepend({{'l': changed, 'r': ''}}, coalesce(steps, [])), lambda a, s: {{'l': sha256(s.l || a.l || s.r), 'r': ''}}).l AS folded_root
+  FROM placed LEFT JOIN path USING (rid) JOIN sub USING (sid), root)
+SELECT *, folded_root = root AS verified FROM folded
+"""
+
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+OP12 = f"""
+WITH {_CRC_TABLE},
+d AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS} AS words FROM documents),
+w AS (SELECT rid, unnest(words) AS word FROM d),
+b AS (SELECT unnest({_WORDS}) AS word FROM benchmark),
+of AS (SELECT word, {_crc('word')} % 10000 AS bucket FROM (SELECT word FROM w UNION SELECT word FROM b), crc),
+s AS (SELECT bucket, count(*) AS s FROM w JOIN of USING (word) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM b JOIN of USING (word) GROUP BY bucket),
+n AS (SELECT (SELECT count(*) FROM w) AS sn, (SELECT count(*) FROM b) AS tn),
+gain AS (
+  SELECT bucket, CAST(floor(1000 * ln(CAST((coalesce(t, 0) + 1) * (sn + 10000) AS DOUBLE) / CAST((s + 1) * (tn + 10000) AS DOUBLE))) AS BIGINT) AS gain
+  FROM s LEFT JOIN t USING (bucket), n),
+sums AS (SELECT rid, CAST(sum(gain) AS BIGINT) AS weight FROM w JOIN of USING (word) JOIN gain USING (bucket) GROUP BY rid),
+sc AS (
+  SELECT rid, doc_id, CAST(len(words) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 8) AS BIGINT) + 0.5::DOUBLE)
+           / 4294967296.0::DOUBLE))) AS BIGINT) AS score
+  FROM d LEFT JOIN sums USING (rid)),
+drawn AS (SELECT rid, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, n_features) AS r, count(*) OVER () AS n FROM sc WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN r <= 10 * n // 100 THEN r END AS rank FROM sc LEFT JOIN drawn USING (rid)
+"""
