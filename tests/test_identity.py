@@ -29,7 +29,7 @@ def test_ordered_index_dense_and_equal_to_global_row_number(spark):
 
 def test_assign_ids_format_past_9999(spark):
     df = spark.range(10001).select(F.col("id").alias("k"), F.lit("a").alias("acct"))
-    ids = I.assign_ids(df, "Z", ["acct", "k"], tiers=(1,))
+    ids = I.assign_ids(df, "Z", ["acct", "k"])
     assert ids.where("k = 10000").first().prospect_id == "Z10001"
     assert ids.where("k = 0").first().prospect_id == "Z0001"
 

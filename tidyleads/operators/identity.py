@@ -3,7 +3,8 @@
 No operator here numbers rows through a window without partition (that plans
 ``Exchange SinglePartition``) and no group is ever collected into one task.
 
-``ordered_index`` gives each row its 1-based position in a total order
+``range_index`` numbers rows in a global order (or one per partition) by sampled ranges
+and a two-level prefix sum.  ``ordered_index`` gives each row its 1-based position in a total order
 (optionally within a partition) by tiers: counts per key prefix are
 aggregated map-side, running offsets are computed on those small aggregated
 tables, and only the finest tier is numbered row by row.  A hot prefix (say a
@@ -109,11 +110,12 @@ def _join_tier(finer: DataFrame, coarser: DataFrame, coarse_keys: list[str]) ->
     return f.join(c, cond, "left").select("f.*", *[F.col(f"c.{x}") for x in off_cols])
 
 
-def assign_ids(df: DataFrame, prefix: str, order_by: list, tiers=(1, 2), col: str = "prospect_id") -> DataFrame:
-    """Dense global prospect IDs in ``order_by`` order: prefix + number padded
-    to four digits (wider past 9999).  ``format_string`` is used because
-    ``lpad`` would truncate 12345 to 1234."""
-    out = ordered_index(df, order_by, list(tiers), name="_seq")
+def assign_ids(df: DataFrame, prefix: str, order_by: list, col: str = "prospect_id") -> DataFrame:
+    """Dense global prospect IDs in ``order_by`` order (ascending, nulls last): prefix + number
+    padded to four digits (wider past 9999).  ``format_string`` is used because
+    ``lpad`` would truncate 12345 to 1234.  Numbered by ``range_index``: no task sees
+    more than its range, and no window runs over all rows or all accounts."""
+    out = range_index(df, [as_col(c).asc_nulls_last() for c in order_by], name="_seq")
     return out.withColumn(col, F.format_string(prefix + "%04d", F.col("_seq"))).drop("_seq")
 
 

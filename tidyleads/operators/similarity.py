@@ -1,17 +1,17 @@
 """Name/domain similarity scored on distinct pairs.
 
-Exact mode reproduces the partial-ratio score (difflib block alignment of the
-shorter text against windows of the longer one).  Python runs only on
-distinct pairs that the native short-cuts cannot decide, through an
-Arrow-batched pandas UDF; the scores are joined back on the pair.  Native mode
+Exact mode gives the partial-ratio score (matching-block alignment of the
+shorter text against windows of the longer one) by filter and verify: native
+short-cuts (containment, initials) and, where only a cut-off counts, a native
+upper bound from the characters in common decide most pairs; the distinct pairs that are
+left reach Python in Arrow batches, aligned a batch at a time over code-point
+arrays (``align``); the scores are joined back on the pair.  Native mode
 (``windowed_similarity``) is a different, all-Catalyst score: best
 Levenshtein similarity of the shorter text against every window of the longer.
 """
 
 from __future__ import annotations
 
-from difflib import SequenceMatcher
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +23,7 @@ from ..functions._util import as_col
 from ..functions.contact import domain_core
 from ..functions.text import fold_text, strip_words
 from ..functions.values import is_blank
+from .align import partial_ratios
 from .joins import left_lookup
 
 
@@ -30,26 +31,33 @@ def partial_ratio(a: str | None, b: str | None) -> int:
     """Partial similarity 0..100 of two texts (argument order matters when
     both have the same length).  Decision: no character counts as junk, at any
     length, so containment of the shorter text always means 100."""
-    if a is None or b is None:
-        return 0
-    if a == b:
-        return 100
-    if not a or not b:
-        return 0
-    short, long_ = (a, b) if len(a) <= len(b) else (b, a)
-    best = 0.0
-    for i, j, _ in SequenceMatcher(None, short, long_, autojunk=False).get_matching_blocks():
-        start = max(j - i, 0)
-        r = SequenceMatcher(None, short, long_[start:start + len(short)], autojunk=False).ratio()
-        if r > 0.995:
-            return 100
-        best = max(best, r)
-    return int(round(100 * best))
+    return int(partial_ratios([a], [b])[0])
 
 
 @pandas_udf(T.IntegerType())
 def partial_ratio_udf(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([partial_ratio(x, y) for x, y in zip(a, b)], dtype="int32")
+    return pd.Series(partial_ratios(a.tolist(), b.tolist()))
+
+
+def common_characters(a, b) -> Column:
+    """Characters that two texts have in common, repeats counted (order ignored)."""
+    pair = F.struct(as_col(a).alias("a"), as_col(b).alias("b"))
+
+    def count(p):
+        def times(t, c):
+            return F.length(t) - F.length(F.replace(t, c, F.lit("")))
+        return F.aggregate(F.array_distinct(F.split(p["a"], "")), F.lit(0),
+                           lambda n, c: n + F.when(c == "", 0).otherwise(F.least(times(p["a"], c), times(p["b"], c))))
+    return F.element_at(F.transform(F.array(pair), count), 1)
+
+
+def ratio_bound(a, b) -> Column:
+    """No partial ratio of the two texts is above this (0..100, a double).  A window of the longer
+    text has at most the c characters that both share, so 2M / T is at most 2c / (n + c), n the
+    shorter text's length."""
+    a, b = as_col(a), as_col(b)
+    c, n = common_characters(a, b), F.least(F.length(a), F.length(b))
+    return F.when(a == b, 100.0).when(n > 0, 200.0 * c / (n + c)).otherwise(0.0)
 
 
 def contains_shortcut(a, b) -> Column:
@@ -157,8 +165,8 @@ def domain_score(df: DataFrame, company: str = "account_name", email: str = "ema
 
 @pandas_udf(T.BooleanType())
 def _bad_email_udf(f: pd.Series, l_: pd.Series, e: pd.Series, cut: pd.Series) -> pd.Series:
-    return pd.Series([not (partial_ratio(a, x) > c or partial_ratio(b, x) > c)
-                      for a, b, x, c in zip(f, l_, e, cut)], dtype=bool)
+    e, cut = e.tolist(), cut.to_numpy()
+    return pd.Series((partial_ratios(f.tolist(), e) <= cut) & (partial_ratios(l_.tolist(), e) <= cut))
 
 
 def bad_email_prepare(df: DataFrame, first: str = "first_name", last: str = "last_name",
@@ -174,13 +182,18 @@ def bad_email_prepare(df: DataFrame, first: str = "first_name", last: str = "las
 
 
 def bad_email_lookup(prepared: DataFrame, cutoff: int = refdata.BAD_EMAIL_CUTOFF) -> DataFrame:
+    """(_f, _l, _e, _bad) of the distinct undecided triples; ``_aligned`` says that the bound did not decide."""
     need = F.col("_need")
     triples = prepared.select(*[F.when(need, F.col(c)).alias(c) for c in ("_f", "_l", "_e")]).distinct()
-    return triples.withColumn("_bad", _bad_email_udf("_f", "_l", "_e", F.lit(cutoff)))
+    # a triple whose names share too few characters with the e-mail is bad without alignment
+    near = F.coalesce((ratio_bound("_f", "_e") > cutoff) | (ratio_bound("_l", "_e") > cutoff), F.lit(False))
+    triples = triples.withColumn("_aligned", near)
+    asked = [F.when(F.col("_aligned"), F.col(c)) for c in ("_f", "_l", "_e")]
+    return triples.withColumn("_bad", ~F.col("_aligned") | _bad_email_udf(*asked, F.lit(cutoff)))
 
 
 def bad_email_attach(prepared: DataFrame, lookup: DataFrame, out: str = "bad_email") -> DataFrame:
-    j = left_lookup(prepared.withColumns({c: F.when(F.col("_need"), F.col(c)) for c in ("_f", "_l", "_e")}), lookup, ["_f", "_l", "_e"])
+    j = left_lookup(prepared.withColumns({c: F.when(F.col("_need"), F.col(c)) for c in ("_f", "_l", "_e")}), lookup.drop("_aligned"), ["_f", "_l", "_e"])
     return j.withColumn(out, F.col("_need") & F.coalesce(F.col("_bad"), F.lit(False))) \
             .drop("_f", "_l", "_e", "_need", "_bad")
 
@@ -191,9 +204,9 @@ def flag_bad_email(df: DataFrame, first: str = "first_name", last: str = "last_n
     """Bad Email: neither partial(first, email) nor partial(last, email) is
     above ``cutoff`` and the initials are not in the e-mail (all lower case).
     Missing e-mail -> not bad; blank first or last name -> not scored (that
-    row is a Bad Name).  Containment and initials are decided natively; only
-    the undecided rows' distinct (first, last, e-mail) triples reach Python,
-    and one join brings the verdict back."""
+    row is a Bad Name).  Containment, initials and too few characters in common are decided
+    natively; only the undecided rows' distinct (first, last, e-mail) triples are aligned in
+    Python, and one join brings the verdict back."""
     p = bad_email_prepare(df, first, last, email, eligible)
     return bad_email_attach(p, bad_email_lookup(p, cutoff), out)
 

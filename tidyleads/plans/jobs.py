@@ -147,7 +147,7 @@ def prepare_source(spec: SourceSpec, main: DataFrame, accounts: DataFrame) -> Da
     df = cols.ensure_columns(df, {"gender": F.lit("").cast("string")})
     df = cols.project(df, [c for c in spec.keep if c in df.columns]) if spec.keep else df
     order = ["account_name", "first_name", "last_name", *[c for c in TIEBREAK if c in df.columns]]
-    return identity.assign_ids(df, spec.prefix, order, tiers=(1, 2))
+    return identity.assign_ids(df, spec.prefix, order)
 
 
 def prospect_issues(spec: SourceSpec, sample: DataFrame, accounts: DataFrame,

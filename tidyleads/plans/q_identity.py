@@ -51,7 +51,7 @@ SELECT row_key, printf('O%04d', row_number() OVER (
 FROM fx_prospects""")
 def q_prospect_ids(spark, sf):
     p = fixture(spark, sf, "fx_prospects").select("row_key", "company", "first_name", "last_name")
-    out = identity.assign_ids(p, "O", ["company", "first_name", "last_name", "row_key"], tiers=(1, 2))
+    out = identity.assign_ids(p, "O", ["company", "first_name", "last_name", "row_key"])
     return out.select("row_key", "prospect_id")
 
 
