@@ -185,21 +185,45 @@ def q_windowed_similarity(spark, sf):
     return similarity.native_pair_scores(fixture(spark, sf, "fx_prospects"))
 
 
-# ---- exact similarity and full validation: rows-only (no SQL form) --------
+# ---- exact similarity and full validation ----------------------------------
+_PEOPLE_SQL = f"""
+, people AS MATERIALIZED (
+  SELECT row_key, company, lower(email) AS e, lower({S.title_case('first_name')}) AS f, lower({S.title_case('last_name')}) AS l,
+         {S.fold_text(S.strip_words('lower(company)'))} AS cc, {S.fold_text(S.domain_core('email'))} AS dc FROM fx_prospects)"""
+_DOMAIN_SQL = f"""
+, dpair AS (SELECT cc AS a, dc AS b FROM people WHERE contains(e, '@') AND cc <> '' AND dc <> '')
+{S.partial_ratios('dpair', 'dsim')}
+, dom AS (SELECT row_key, dsim.score AS domain_score FROM people LEFT JOIN dsim ON contains(e, '@') AND cc <> '' AND dc <> '' AND a = cc AND b = dc)"""
+_BAD_EMAIL_SQL = f"""
+, asked AS (SELECT * FROM people WHERE NOT {S.is_blank('e')} AND NOT {S.is_blank('f')} AND NOT {S.is_blank('l')} AND NOT contains(e, substr(f, 1, 1) || substr(l, 1, 1)))
+, epair AS (SELECT f AS a, e AS b FROM asked UNION SELECT l, e FROM asked)
+{S.partial_ratios('epair', 'esim')}
+, bad AS (
+  SELECT people.row_key, coalesce(x.score <= {refdata.BAD_EMAIL_CUTOFF} AND y.score <= {refdata.BAD_EMAIL_CUTOFF}, false) AS bad_email
+  FROM people LEFT JOIN asked USING (row_key) LEFT JOIN esim x ON x.a = asked.f AND x.b = asked.e LEFT JOIN esim y ON y.a = asked.l AND y.b = asked.e)"""
+
+
+def _recursive(sql: str) -> str:
+    """CTEs that may refer to themselves."""
+    return sql.replace("WITH", "WITH RECURSIVE", 1)
+
+
 def _people(spark, sf):
     p = prospects_typed(spark, sf)
     return p.withColumnRenamed("company", "account_name").withColumns(
         {"first_name": title_case("first_name"), "last_name": title_case("last_name")})
 
 
-@register("domain_score")
+@register("domain_score", _recursive(sql_with("fx_prospects")) + _PEOPLE_SQL + _DOMAIN_SQL + f"""
+SELECT row_key, domain_score, {S.domain_score_label('domain_score')} AS domain_score_label FROM dom""")
 def q_domain_score(spark, sf):
     p = _people(spark, sf).select("row_key", "account_name", F.lower(F.col("email")).alias("email"))
     s = similarity.domain_score(p)
     return s.select("row_key", "domain_score", C.domain_score_label("domain_score").alias("domain_score_label"))
 
 
-@register("bad_email")
+@register("bad_email", _recursive(sql_with("fx_prospects")) + _PEOPLE_SQL + _BAD_EMAIL_SQL + """
+SELECT row_key, bad_email FROM bad""")
 def q_bad_email(spark, sf):
     p = _people(spark, sf).select("row_key", "first_name", "last_name", "email")
     return similarity.flag_bad_email(p).select("row_key", "bad_email")
@@ -216,7 +240,7 @@ def validated(spark, sf):
                     check_country=F.col("vendor") == "L")
 
 
-#: Labels that need the exact similarity score, which SQL cannot state.
+#: Labels that need the exact similarity score.
 SCORED = ("Bad Email", "Bad Domain")
 
 
@@ -258,12 +282,25 @@ def q_issue_summary_rules(spark, sf):
     return report.issue_summary(_without_scores(validated(spark, sf)))
 
 
-@register("all_issues")
+_ALL_SQL = _PEOPLE_SQL + _DOMAIN_SQL + _BAD_EMAIL_SQL + _RULES_SQL + f"""
+, scored AS (
+  SELECT r.row_key, list_concat(list_concat(list_filter(issues, lambda x: x IN ('Bad Email Format', 'Private Email', 'Bad Name')),
+           list_filter([CASE WHEN bad_email THEN 'Bad Email' END, CASE WHEN domain_score < {refdata.BAD_DOMAIN_CUTOFF} THEN 'Bad Domain' END], lambda x: x IS NOT NULL)),
+           list_filter(issues, lambda x: x NOT IN ('Bad Email Format', 'Private Email', 'Bad Name'))) AS issues,
+         plausible_gender, {S.domain_score_label('domain_score')} AS domain_score_label, gender
+  FROM r JOIN dom USING (row_key) JOIN bad USING (row_key))
+"""
+
+
+@register("all_issues", _recursive(sql_with("fx_prospects")) + _ALL_SQL + """
+SELECT row_key, array_to_string(issues, '+') AS issue, plausible_gender, domain_score_label, gender FROM scored""")
 def q_all_issues(spark, sf):
     v = validated(spark, sf)
     return v.select("row_key", "issue", "plausible_gender", "domain_score_label", "gender")
 
 
-@register("issue_summary")
+@register("issue_summary", _recursive(sql_with("fx_prospects")) + _ALL_SQL + """
+SELECT issue, count(*) AS count FROM (
+  SELECT unnest(list_append(issues, 'Rows with issues')) AS issue FROM scored WHERE len(issues) > 0) GROUP BY issue""")
 def q_issue_summary(spark, sf):
     return report.issue_summary(validated(spark, sf))

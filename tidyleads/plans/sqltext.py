@@ -146,3 +146,46 @@ def windowed_similarity(a: str, b: str) -> str:
     return (f"(CASE WHEN {a} IS NULL OR {b} IS NULL THEN NULL WHEN {a} = {b} THEN 100 WHEN {n} = 0 THEN 0 "
             f"ELSE CAST(list_max(list_transform(range(1, length({l_}) - {n} + 2), "
             f"lambda i: round(100.0 * (1.0 - levenshtein({s}, substr({l_}, i, {n})) / {n})))) AS INTEGER) END)")
+
+
+def _blocks(name: str, pairs: str) -> str:
+    """CTEs: ``name`` has the matching blocks (id, i, j, k) of the pairs (id, s, l): the longest common
+    run of a stretch (first by i, then by j), then those left and right of it, by recursion."""
+    return f"""
+, {name}_s AS MATERIALIZED (SELECT id, x, substr(s, CAST(x AS INT) + 1, 1) AS c FROM (SELECT id, s, unnest(range(length(s))) AS x FROM {pairs}))
+, {name}_l AS MATERIALIZED (SELECT id, y, substr(l, CAST(y AS INT) + 1, 1) AS c FROM (SELECT id, l, unnest(range(length(l))) AS y FROM {pairs}))
+, {name} AS (
+  SELECT id, CAST(0 AS BIGINT) AS alo, length(s) AS ahi, CAST(0 AS BIGINT) AS blo, length(l) AS bhi,
+         CAST(0 AS BIGINT) AS i, CAST(0 AS BIGINT) AS j, CAST(0 AS BIGINT) AS k FROM {pairs}
+  UNION ALL
+  SELECT id, alo, ahi, blo, bhi, best.i, best.j, best.k FROM (
+    SELECT id, alo, ahi, blo, bhi, arg_min({{'i': i, 'j': j, 'k': k}}, {{'n': -k, 'i': i, 'j': j}}) AS best FROM (
+      SELECT id, alo, ahi, blo, bhi, min(x) AS i, min(y) AS j, count(*) AS k FROM (
+        SELECT st.*, x, y, x - row_number() OVER (PARTITION BY st.id, alo, blo, y - x ORDER BY x) AS run
+        FROM (SELECT id, o.alo, o.ahi, o.blo, o.bhi FROM (
+                SELECT id, unnest([{{'alo': alo, 'ahi': i, 'blo': blo, 'bhi': j}}, {{'alo': i + k, 'ahi': ahi, 'blo': j + k, 'bhi': bhi}}]) AS o FROM {name})) st
+        JOIN {name}_s a ON a.id = st.id AND a.x >= alo AND a.x < ahi
+        JOIN {name}_l b ON b.id = st.id AND b.c = a.c AND b.y >= blo AND b.y < bhi)
+      GROUP BY id, alo, ahi, blo, bhi, y - x, run)
+    GROUP BY id, alo, ahi, blo, bhi))"""
+
+
+def partial_ratios(pairs: str, out: str) -> str:
+    """CTEs: ``out`` has (a, b, score), the partial ratio of the distinct pairs (a, b) of a CTE."""
+    return f"""
+, {out}_p AS MATERIALIZED (
+  SELECT row_number() OVER () AS id, a, b, CASE WHEN length(a) <= length(b) THEN a ELSE b END AS s,
+         CASE WHEN length(a) <= length(b) THEN b ELSE a END AS l
+  FROM (SELECT DISTINCT a, b FROM {pairs} WHERE a <> b AND a <> '' AND b <> ''))
+{_blocks(out + '_o', out + '_p')}
+, {out}_w AS MATERIALIZED (
+  SELECT row_number() OVER () AS id, pid, s, substr(l, CAST(start AS INT) + 1, length(s)) AS l FROM (
+    SELECT p.id AS pid, s, l, greatest(j - i, 0) AS start FROM {out}_o o JOIN {out}_p p USING (id) WHERE k > 0
+    UNION SELECT id, s, l, greatest(length(l) - length(s), 0) FROM {out}_p))
+{_blocks(out + '_i', out + '_w')}
+, {out}_r AS (
+  SELECT w.pid, max(2.0::DOUBLE * coalesce(m, 0) / (length(s) + length(l))) AS r
+  FROM {out}_w w LEFT JOIN (SELECT id, sum(k) AS m FROM {out}_i GROUP BY id) USING (id) GROUP BY w.pid)
+, {out} AS MATERIALIZED (
+  SELECT a, b, CAST(CASE WHEN r > 0.995 THEN 100 ELSE round_even(100 * r, 0) END AS INT) AS score FROM {out}_p JOIN {out}_r ON id = pid
+  UNION ALL SELECT DISTINCT a, b, CASE WHEN a = b THEN 100 ELSE 0 END FROM {pairs} WHERE a = b OR a = '' OR b = '')"""
