@@ -37,9 +37,63 @@ def test_phones(spark, phone, country, want):
     assert df.select(geo.phone_e164("p", "c").alias("y")).first().y == want
 
 
+@pytest.mark.parametrize("phone, country, want", [
+    ("254712345678", None, "+254712345678"), ("0712 345678", "KE", "+254712345678"), ("0803 123 4567", "NG", "+2348031234567"),
+    ("92 300 1234567", "", "+923001234567"), ("0300-1234567", "PK", "+923001234567"), ("01712345678", "BD", "+8801712345678"),
+    ("8801712345678", None, "+8801712345678"), ("022 123 456", "LB", "+96122123456"), ("233 24 123 4567", None, "+233241234567"),
+    ("37498765432", None, "+37498765432"), ("593991234567", None, "+593991234567"), ("0991234567", "EC", "+593991234567"),
+    ("5215512345678", "MX", "+525215512345678"), ("502 2345 6789", None, "+50223456789"), ("8096001234", "DO", "+18096001234"),
+    ("1 876 555 1234", "JM", "+18765551234"), ("9647901234567", None, "+9647901234567"), ("98 912 345 6789", None, "+989123456789"),
+    ("6795551234", None, "+6795551234"), ("38349123456", None, "+38349123456"), ("97517123456", None, "+97517123456"),
+    ("8562055512345", None, "+8562055512345"), ("25377831001", None, "+25377831001"), ("94712345678", None, "+94712345678"),
+    ("490301234567", None, "+49301234567"), ("12", "DE", "+4912"), ("\t030 1234567\xa0", "DE", "+49301234567"), ("999123", None, "999123")])
+def test_phones_of_all_codes(spark, phone, country, want):
+    df = spark.createDataFrame([(phone, country)], "p string, c string")
+    assert df.select(geo.phone_e164("p", "c").alias("y")).first().y == want
+
+
+def test_calling_codes_are_prefix_free():
+    from tidyleads import refdata
+    codes = sorted(refdata.calling_plan())
+    assert not [(a, b) for a in codes for b in codes if a != b and b.startswith(a)]
+    with_code = {c for c, _, _, _ in refdata.CALLING_CODES}
+    assert {c for c, _ in refdata.COUNTRIES} - with_code == {"BV", "HM", "TF", "UM"}  # nobody lives there
+
+
+def test_every_name_of_a_country_converts(spark):
+    from tidyleads import refdata
+    rows = refdata.country_names()
+    df = spark.createDataFrame([(n, c) for n, c in rows], "n string, c string")
+    out = df.select("n", "c", geo.country_to_code("n").alias("code"), geo.country_key("n").alias("key")).collect()
+    assert [(r.n, r.code) for r in out if r.code != r.c] == []
+    assert all(r.key == refdata.country_key(r.n) for r in out)
+
+
+@pytest.mark.parametrize("name, code", [
+    ("Viet Nam", "VN"), ("vietnam", "VN"), ("Republic of Korea", "KR"), ("Korea, Republic of", "KR"), ("Ivory Coast", "CI"), ("COTE D'IVOIRE", "CI"),
+    ("Côte d’Ivoire", "CI"), ("Federal Republic of Germany", "DE"), ("Kingdom of the Netherlands", "NL"), ("The Gambia", "GM"), ("St. Lucia", "LC"),
+    ("Saint Lucia", "LC"), ("Bosnia and Herzegovina", "BA"), ("Bosnia And Herzegovina", "BA"), ("Bosnia & Herzegovina", "BA"), ("Democratic Republic of the Congo", "CD"),
+    ("Republic of China", "TW"), ("People's Republic of China", "CN"), ("U.S. Virgin Islands", "VI"), ("Lao People's Democratic Republic", "LA"),
+    ("Turkiye", "TR"), ("TURKEY", "TR"), ("Iran, Islamic Republic of", "IR"), ("Korea", "Korea"), (" Narnia ", " Narnia "), ("", ""), ("Republic", "Republic"), ("DE", "DE")])
+def test_country_names(spark, name, code):
+    assert one(spark, name, geo.country_to_code) == code
+
+
+def test_codes_become_short_names(spark):
+    for code, name in (("VN", "Viet Nam"), ("kr", "Korea, Republic of"), ("CI", "Côte d'Ivoire"), ("\tgb ", "United Kingdom"), ("XX", "Xx")):
+        assert one(spark, code, geo.standardise_country) == name
+
+
+def test_template_has_the_reference_options():
+    from tidyleads import refdata
+    options = refdata.country_options()
+    assert len(options) == len(set(options)) == 207
+    assert {"GB - Brit.Ind.Oc.Ter", "TP - Timor-Leste", "KN - St Kitts&Nevis", "VN - Vietnam", "MR - Mauretania", "US - United States"} <= set(options)
+
+
 def test_every_country_has_its_code(spark):
     got = [one(spark, c, geo.country_to_code) for c in ("Thailand", "germany", "Peru", "Viet Nam", "Czech Republic", "Kenya")]
-    assert got[:3] == ["TH", "DE", "PE"] and got[4:] == ["CZ", "KE"]
+    assert got == ["TH", "DE", "PE", "VN", "CZ", "KE"]
     from tidyleads import refdata
     assert len(refdata.COUNTRIES) == 249 and len({c for c, _ in refdata.COUNTRIES}) == 249
 

@@ -169,6 +169,11 @@ def _bad_email_udf(f: pd.Series, l_: pd.Series, e: pd.Series, cut: pd.Series) ->
     return pd.Series((partial_ratios(f.tolist(), e) <= cut) & (partial_ratios(l_.tolist(), e) <= cut))
 
 
+# not marked deterministic, so that a filter on the verdict stays above: pushed below the
+# distinct, it would carry every expression that the names and the e-mail are made of
+_bad_email_udf = _bad_email_udf.asNondeterministic()
+
+
 def bad_email_prepare(df: DataFrame, first: str = "first_name", last: str = "last_name",
                       email: str = "email", eligible: Column | None = None) -> DataFrame:
     eligible = eligible if eligible is not None else F.lit(True)
@@ -189,7 +194,7 @@ def bad_email_lookup(prepared: DataFrame, cutoff: int = refdata.BAD_EMAIL_CUTOFF
     near = F.coalesce((ratio_bound("_f", "_e") > cutoff) | (ratio_bound("_l", "_e") > cutoff), F.lit(False))
     triples = triples.withColumn("_aligned", near)
     asked = [F.when(F.col("_aligned"), F.col(c)) for c in ("_f", "_l", "_e")]
-    return triples.withColumn("_bad", ~F.col("_aligned") | _bad_email_udf(*asked, F.lit(cutoff)))
+    return triples.withColumn("_bad", _bad_email_udf(*asked, F.lit(cutoff)))  # what is not asked has no ratio: bad
 
 
 def bad_email_attach(prepared: DataFrame, lookup: DataFrame, out: str = "bad_email") -> DataFrame:

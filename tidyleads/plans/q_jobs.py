@@ -62,7 +62,7 @@ def _upload(spark, sf):
                     "last_name", "email", "work_phone", "country", "source", "gender", "title")
 
 
-@register("upload_export", sql_with("fx_prospects") + f"""
+@register("upload_export", sql_with("fx_prospects") + S.COUNTRY_CODES + f"""
 SELECT {S.to_long0('custom_id')} AS account_custom_id, first_name, last_name, email,
        {S.phone_plus('work_phone')} AS work_phone,
        {S.option_code(S.country_to_code('country'))} AS country, source, gender, title

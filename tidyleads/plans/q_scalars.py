@@ -122,7 +122,7 @@ def q_country_standardised(spark, sf):
     return a.select("row_key", geo.standardise_country("country").alias("country"))
 
 
-@register("country_codes", sql_with("fx_prospects") + f"""
+@register("country_codes", sql_with("fx_prospects") + S.COUNTRY_CODES + f"""
 SELECT row_key, {S.country_to_code('country')} AS country,
        {S.country_to_code('account_country')} AS account_country
 FROM fx_prospects""")
@@ -132,10 +132,8 @@ def q_country_codes(spark, sf):
                     geo.country_to_code("account_country").alias("account_country"))
 
 
-_OPTION = "concat(coalesce({c}, ''), ' - ', coalesce(country, ''))"
 
-
-@register("country_from_option", sql_with("fx_prospects") + f"""
+@register("country_from_option", sql_with("fx_prospects") + S.COUNTRY_CODES + f"""
 SELECT row_key, option AS option_text, {S.option_code('option')} AS country_code
 FROM (SELECT row_key, CASE WHEN country IS NULL THEN NULL
                            ELSE {S.country_to_code('country')} || ' - ' || country END AS option
@@ -182,32 +180,31 @@ def q_phones_plus(spark, sf):
                     C.phone_plus("mobile_phone").alias("mobile_phone"))
 
 
-def _e164_sql(phone: str, country: str) -> str:
-    cc = refdata.sql_calling_codes()
-    s = f"trim({phone})"
-    d = f"regexp_replace({s}, '[^0-9]', '', 'g')"
-    rng = (f"(SELECT min(lo) AS lo, max(hi) AS hi FROM {cc} WHERE cc = substr({d}, 1, {{k}}))")
-
-    def intl(k):
-        r = rng.format(k=k)
-        return (f"(CASE WHEN length({d}) - {k} >= (SELECT lo FROM {r}) AND length({d}) - {k} <= "
-                f"(SELECT hi FROM {r}) THEN '+' || {d} END)")
-    meta_cc = f"(SELECT cc FROM {cc} WHERE country = upper(trim({country})))"
-    meta_tr = f"(SELECT trunk FROM {cc} WHERE country = upper(trim({country})))"
-    nat = (f"(CASE WHEN {meta_tr} <> '' AND starts_with({d}, {meta_tr}) "
-           f"THEN substr({d}, length({meta_tr}) + 1) ELSE {d} END)")
-    as_nat = (f"(CASE WHEN {meta_cc} IS NOT NULL AND length({nat}) BETWEEN 2 AND 17 "
-              f"THEN '+' || {meta_cc} || {nat} END)")
-    return (f"(CASE WHEN {phone} IS NULL OR {s} = '' THEN {phone} WHEN starts_with({s}, '+') THEN {s} "
-            f"WHEN regexp_matches({s}, '\\p{{L}}') THEN {s} "
-            f"WHEN starts_with({d}, '00') AND length({d}) > 4 THEN '+' || substr({d}, 3) "
-            f"ELSE coalesce({intl(1)}, {intl(2)}, {intl(3)}, {as_nat}, {s}) END)")
-
-
-@register("phones_e164", sql_with("fx_prospects") + f"""
-SELECT row_key, iso AS country, {_e164_sql('work_phone', 'iso')} AS work_phone,
-       {_e164_sql('mobile_phone', 'iso')} AS mobile_phone
-FROM (SELECT row_key, work_phone, mobile_phone, {S.country_to_code('country')} AS iso FROM fx_prospects)""")
+_PHONE_SQL = f""", plan AS MATERIALIZED (SELECT * FROM {refdata.sql_calling_codes()})
+, ph AS (SELECT row_key, {S.country_to_code('country')} AS country, unnest(['work_phone', 'mobile_phone']) AS which, unnest([work_phone, mobile_phone]) AS p FROM fx_prospects)
+, dg AS (SELECT *, {S.trimmed('p')} AS s, regexp_replace({S.trimmed('p')}, '[^0-9]', '', 'g') AS d FROM ph)
+, found AS (
+  SELECT dg.*, n.cc, n.trunk, i.cc AS icc
+  FROM dg LEFT JOIN plan n ON n.country = upper({S.trimmed('dg.country')}) LEFT JOIN (SELECT DISTINCT cc FROM plan) i ON starts_with(d, i.cc))
+, ok AS (
+  SELECT found.*, EXISTS (SELECT 1 FROM plan x WHERE x.cc = icc AND contains(x.lengths, ',' || CAST(length(d) - length(icc) AS VARCHAR) || ',')) AS whole,
+         substr(d, length(icc) + 1, 1) = '0' AND EXISTS (SELECT 1 FROM plan x WHERE x.cc = icc AND x.trunk = '0')
+           AND EXISTS (SELECT 1 FROM plan x WHERE x.cc = icc AND contains(x.lengths, ',' || CAST(length(d) - length(icc) - 1 AS VARCHAR) || ',')) AS after_trunk,
+         CASE WHEN trunk <> '' AND starts_with(d, trunk) THEN substr(d, length(trunk) + 1) ELSE d END AS national
+  FROM found)
+, e164 AS (
+  SELECT row_key, country, which,
+         CASE WHEN p IS NULL OR s = '' THEN p WHEN starts_with(s, '+') OR regexp_matches(s, '\\p{{L}}') THEN s
+              WHEN starts_with(d, '00') AND length(d) > 4 THEN '+' || substr(d, 3)
+              WHEN after_trunk THEN '+' || icc || substr(d, length(icc) + 2) WHEN whole THEN '+' || d
+              WHEN cc IS NOT NULL AND length(national) BETWEEN 2 AND 17 THEN '+' || cc || national ELSE s END AS phone
+  FROM ok)
+"""
+
+
+@register("phones_e164", sql_with("fx_prospects") + S.COUNTRY_CODES + _PHONE_SQL + """
+SELECT row_key, country, max(phone) FILTER (which = 'work_phone') AS work_phone, max(phone) FILTER (which = 'mobile_phone') AS mobile_phone
+FROM e164 GROUP BY row_key, country""")
 def q_phones_e164(spark, sf):
     p = fixture(spark, sf, "fx_prospects").select(
         "row_key", "work_phone", "mobile_phone", geo.country_to_code("country").alias("country"))

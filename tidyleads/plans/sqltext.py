@@ -119,18 +119,33 @@ def phone_plus(x: str) -> str:
 
 
 def standardise_country(x: str) -> str:
-    t = f"trim({x})"
-    return (f"(CASE WHEN length({t}) = 2 AND (SELECT name FROM {refdata.sql_countries()} WHERE code = upper({t})) "
-            f"IS NOT NULL THEN (SELECT name FROM {refdata.sql_countries()} WHERE code = upper({t})) "
-            f"ELSE {title_case(t)} END)")
+    t = trimmed(x)
+    name = f"(SELECT name FROM {refdata.sql_countries()} WHERE code = upper({t}))"
+    return f"coalesce(CASE WHEN length({t}) = 2 THEN {name} END, {title_case(t)})"
+
+
+def country_words(x: str) -> str:
+    text = f"translate(lower({x}), '{refdata.ACCENTS[0]}', '{refdata.ACCENTS[1]}')"
+    words = f"regexp_split_to_array(regexp_replace({text}, '[.''’`]', '', 'g'), '[^\\p{{L}}\\p{{N}}_]+')"
+    return (f"list_sort(list_filter(list_transform({words}, lambda w: CASE WHEN w = 'st' THEN 'saint' ELSE w END), "
+            f"lambda w: w <> '' AND NOT list_contains({lit_list(refdata.COUNTRY_FILLERS)}, w)))")
+
+
+#: CTEs: `codes` (key, code), the first of the names that give a key.
+COUNTRY_CODES = f"""
+, codes AS MATERIALIZED (SELECT array_to_string({country_words('name')}, ' ') AS key, arg_min(code, place) AS code FROM {refdata.sql_country_names()} GROUP BY key)"""
 
 
 def country_to_code(x: str) -> str:
-    return (f"coalesce((SELECT code FROM {refdata.sql_country_lookup()} WHERE key = lower(trim({x}))), {x})")
+    """Needs the CTEs of `COUNTRY_CODES`."""
+    w = country_words(x)
+    short = f"list_filter({w}, lambda v: NOT list_contains({lit_list(refdata.OFFICIAL_WORDS)}, v))"
+    return (f"coalesce((SELECT code FROM codes WHERE key = array_to_string({w}, ' ')), "
+            f"(SELECT code FROM codes WHERE key = array_to_string({short}, ' ')), {x})")
 
 
 def option_code(x: str) -> str:
-    return f"(CASE WHEN {x} IS NULL OR trim({x}) = '' THEN {x} ELSE trim(split_part({x}, '-', 1)) END)"
+    return f"(CASE WHEN {x} IS NULL OR {trimmed(x)} = '' THEN {x} ELSE {trimmed(f'split_part({x}, chr(45), 1)')} END)"
 
 
 def domain_score_label(s: str) -> str:

@@ -11,11 +11,11 @@ Country, calling-code and first-name tables are written from public standards
 
 from __future__ import annotations
 
+import re
 from importlib import resources
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 # ---------------------------------------------------------------------------
@@ -57,73 +57,174 @@ LEGAL_WORDS = [
     "sas", "se", "spa", "sp", "srl", "sro", "the", "ug", "und", "zoo",
 ]
 
-# ISO 3166-1 alpha-2 code and short name, where our spelling is not that of the public
-# country table (see _countries), which gives all others.
-_OWN_COUNTRY_NAMES = [
-    ("AL", "Albania"), ("AM", "Armenia"), ("AR", "Argentina"), ("AT", "Austria"),
-    ("AU", "Australia"), ("AZ", "Azerbaijan"), ("BA", "Bosnia and Herzegovina"),
-    ("BE", "Belgium"), ("BG", "Bulgaria"), ("BR", "Brazil"), ("BY", "Belarus"),
-    ("CA", "Canada"), ("CH", "Switzerland"), ("CL", "Chile"), ("CN", "China"),
-    ("CY", "Cyprus"), ("CZ", "Czechia"), ("DE", "Germany"), ("DK", "Denmark"),
-    ("EE", "Estonia"), ("EG", "Egypt"), ("ES", "Spain"), ("FI", "Finland"),
-    ("FR", "France"), ("GB", "United Kingdom"), ("GE", "Georgia"), ("GR", "Greece"),
-    ("HR", "Croatia"), ("HU", "Hungary"), ("IE", "Ireland"), ("IL", "Israel"),
-    ("IN", "India"), ("IS", "Iceland"), ("IT", "Italy"), ("JP", "Japan"),
-    ("KG", "Kyrgyzstan"), ("KR", "Korea, Republic of"), ("KZ", "Kazakhstan"),
-    ("LI", "Liechtenstein"), ("LT", "Lithuania"), ("LU", "Luxembourg"),
-    ("LV", "Latvia"), ("MA", "Morocco"), ("MD", "Moldova, Republic of"),
-    ("ME", "Montenegro"), ("MK", "North Macedonia"), ("MT", "Malta"),
-    ("MX", "Mexico"), ("NL", "Netherlands"), ("NO", "Norway"),
-    ("NZ", "New Zealand"), ("PL", "Poland"), ("PT", "Portugal"), ("RO", "Romania"),
-    ("RS", "Serbia"), ("RU", "Russian Federation"), ("SA", "Saudi Arabia"),
-    ("SE", "Sweden"), ("SG", "Singapore"), ("SI", "Slovenia"), ("SK", "Slovakia"),
-    ("TJ", "Tajikistan"), ("TM", "Turkmenistan"), ("TR", "Turkey"),
-    ("UA", "Ukraine"), ("AE", "United Arab Emirates"), ("US", "United States"),
-    ("UZ", "Uzbekistan"), ("ZA", "South Africa"),
-]
-
-
-def _countries() -> list[tuple[str, str]]:
-    """All ISO 3166-1 countries: the public-domain table that comes with the time zone
-    database (package tzdata, else the system's), under our spelling where we have one."""
+# ISO 3166-1 short names where the public country table (see _countries) spells another.
+ISO_NAMES = {
+    "AG": "Antigua and Barbuda", "AS": "American Samoa", "BA": "Bosnia and Herzegovina", "BL": "Saint Barthélemy",
+    "BN": "Brunei Darussalam", "BO": "Bolivia, Plurinational State of", "BQ": "Bonaire, Sint Eustatius and Saba",
+    "CD": "Congo, The Democratic Republic of the", "CF": "Central African Republic", "CG": "Congo", "CI": "Côte d'Ivoire",
+    "CV": "Cabo Verde", "CZ": "Czechia", "FK": "Falkland Islands (Malvinas)", "FM": "Micronesia, Federated States of",
+    "GB": "United Kingdom", "GS": "South Georgia and the South Sandwich Islands", "HM": "Heard Island and McDonald Islands",
+    "IR": "Iran, Islamic Republic of", "KN": "Saint Kitts and Nevis", "KP": "Korea, Democratic People's Republic of",
+    "KR": "Korea, Republic of", "LA": "Lao People's Democratic Republic", "LC": "Saint Lucia", "MD": "Moldova, Republic of",
+    "MF": "Saint Martin (French part)", "MM": "Myanmar", "MO": "Macao", "PM": "Saint Pierre and Miquelon",
+    "PS": "Palestine, State of", "RU": "Russian Federation", "SH": "Saint Helena, Ascension and Tristan da Cunha",
+    "SJ": "Svalbard and Jan Mayen", "ST": "Sao Tome and Principe", "SX": "Sint Maarten (Dutch part)",
+    "SY": "Syrian Arab Republic", "SZ": "Eswatini", "TC": "Turks and Caicos Islands", "TF": "French Southern Territories",
+    "TL": "Timor-Leste", "TR": "Türkiye", "TT": "Trinidad and Tobago", "TW": "Taiwan, Province of China",
+    "TZ": "Tanzania, United Republic of", "UM": "United States Minor Outlying Islands", "VA": "Holy See (Vatican City State)",
+    "VC": "Saint Vincent and the Grenadines", "VE": "Venezuela, Bolivarian Republic of", "VG": "Virgin Islands, British",
+    "VI": "Virgin Islands, U.S.", "VN": "Viet Nam", "WF": "Wallis and Futuna", "WS": "Samoa",
+}
+
+
+def _table_names() -> dict[str, str]:
+    """Code and name of every ISO 3166-1 country: the public-domain table that comes with the
+    time zone database (package tzdata, else the system's)."""
     try:
         text = (resources.files("tzdata.zoneinfo") / "iso3166.tab").read_text(encoding="utf-8")
     except (ModuleNotFoundError, FileNotFoundError):
         text = Path("/usr/share/zoneinfo/iso3166.tab").read_text(encoding="utf-8")
-    rows = dict(line.split("\t")[:2] for line in text.splitlines() if line and not line.startswith("#"))
-    return sorted((rows | dict(_OWN_COUNTRY_NAMES)).items())
+    return dict(line.split("\t")[:2] for line in text.splitlines() if line and not line.startswith("#"))
 
 
-COUNTRIES = _countries()
-# Other spellings that mean a country (matched case-insensitively).
+_TABLE_NAMES = _table_names()
+#: (code, ISO short name) of all countries.
+COUNTRIES = sorted((_TABLE_NAMES | ISO_NAMES).items())
+# Other common names; spelling, order of words, accents and official forms ("Republic of ...") need none (see country_key).
 COUNTRY_ALIASES = [
-    ("BA", "Bosnia/Herzeg."), ("CZ", "Czech Republic"), ("GB", "Great Britain"),
-    ("GB", "UK"), ("KR", "South Korea"), ("MD", "Moldavia"), ("MK", "Macedonia"),
-    ("NL", "Holland"), ("RU", "Russia"), ("TR", "Türkiye"), ("US", "USA"),
-    ("US", "United States of America"),
+    ("BO", "Bolivia"), ("BN", "Brunei"), ("CD", "DR Congo"), ("CD", "Congo Kinshasa"), ("CG", "Republic of the Congo"),
+    ("CG", "Congo Brazzaville"), ("CI", "Ivory Coast"), ("CZ", "Czech Republic"), ("FM", "Micronesia"), ("FR", "French Republic"),
+    ("GB", "Great Britain"), ("GB", "UK"), ("GB", "Britain"), ("GB", "England"), ("GB", "Scotland"), ("GB", "Wales"),
+    ("GB", "Northern Ireland"), ("GB", "United Kingdom of Great Britain and Northern Ireland"), ("GR", "Hellenic Republic"),
+    ("HK", "Hong Kong SAR"), ("IR", "Iran"), ("IT", "Italian Republic"), ("KG", "Kyrgyz Republic"), ("KP", "North Korea"),
+    ("KR", "South Korea"), ("LA", "Laos"), ("MD", "Moldova"), ("MD", "Moldavia"), ("MK", "Macedonia"), ("MM", "Burma"), ("MO", "Macau"),
+    ("NL", "Holland"), ("PS", "Palestine"), ("PT", "Portuguese Republic"), ("RU", "Russia"), ("SH", "Saint Helena"), ("SK", "Slovak Republic"),
+    ("CH", "Swiss Confederation"), ("SY", "Syria"), ("SZ", "Swaziland"), ("TL", "East Timor"), ("TR", "Turkey"), ("TW", "Taiwan"),
+    ("TW", "Republic of China"), ("TZ", "Tanzania"), ("US", "USA"), ("US", "US"), ("US", "United States of America"), ("US", "America"), ("UY", "Oriental Republic of Uruguay"),
+    ("VA", "Vatican City"), ("VA", "Vatican"), ("VC", "Saint Vincent"), ("VE", "Venezuela"), ("VI", "US Virgin Islands"), ("CV", "Cape Verde"),
 ]
 
-# (alpha-2, calling code, trunk prefix, min national digits, max national digits)
-CALLING_CODES = [
-    ("AT", "43", "0", 4, 13), ("BE", "32", "0", 8, 9), ("CH", "41", "0", 9, 9),
-    ("CZ", "420", "", 9, 9), ("DE", "49", "0", 6, 13), ("DK", "45", "", 8, 8),
-    ("ES", "34", "", 9, 9), ("FI", "358", "0", 5, 12), ("FR", "33", "0", 9, 9),
-    ("GB", "44", "0", 9, 10), ("IE", "353", "0", 7, 9), ("IT", "39", "", 6, 11),
-    ("LU", "352", "", 4, 11), ("NL", "31", "0", 9, 9), ("NO", "47", "", 8, 8),
-    ("PL", "48", "", 9, 9), ("PT", "351", "", 9, 9), ("SE", "46", "0", 7, 10),
-    ("US", "1", "1", 10, 10), ("CA", "1", "1", 10, 10), ("JP", "81", "0", 9, 10),
-    ("CN", "86", "0", 9, 11), ("BR", "55", "0", 10, 11), ("IN", "91", "0", 10, 10),
-    ("AU", "61", "0", 9, 9), ("AR", "54", "0", 10, 11), ("BG", "359", "0", 7, 9), ("CL", "56", "", 9, 9),
-    ("CY", "357", "", 8, 8), ("EE", "372", "", 7, 8), ("EG", "20", "0", 8, 10), ("GR", "30", "", 10, 10),
-    ("HK", "852", "", 8, 8), ("HR", "385", "0", 8, 9), ("HU", "36", "06", 8, 9), ("ID", "62", "0", 8, 12),
-    ("IL", "972", "0", 8, 9), ("IS", "354", "", 7, 7), ("KR", "82", "0", 8, 10), ("KZ", "7", "8", 10, 10),
-    ("LT", "370", "8", 8, 8), ("LV", "371", "", 8, 8), ("MA", "212", "0", 9, 9), ("MT", "356", "", 8, 8),
-    ("MX", "52", "", 10, 10), ("MY", "60", "0", 8, 10), ("NZ", "64", "0", 8, 10), ("PH", "63", "0", 8, 10),
-    ("RO", "40", "0", 9, 9), ("RS", "381", "0", 8, 9), ("RU", "7", "8", 10, 10), ("SA", "966", "0", 8, 9),
-    ("SG", "65", "", 8, 8), ("SI", "386", "0", 8, 8), ("SK", "421", "0", 9, 9), ("TH", "66", "0", 8, 9),
-    ("TR", "90", "0", 10, 10), ("TW", "886", "0", 8, 9), ("UA", "380", "0", 9, 9), ("AE", "971", "0", 8, 9),
-    ("VN", "84", "0", 9, 10), ("ZA", "27", "0", 9, 9),
-]
+# ---------------------------------------------------------------------------
+# Fixed values that must equal the reference's: the upload template's country list.
+# Built by rule: every country but these codes, under its name of the public table, but for the names below.
+# ---------------------------------------------------------------------------
+_NO_OPTION = (
+    "AQ AS AX BL BV BY CC CF CU CX EH FK GF GS GW HM IO IR KI KM KP MF MH MP MS NA NF NR NU PM PN PW SH SJ SO SY TF TK TL TV UM WF WS"
+).split()
+OPTION_NAMES = {
+    "AE": "Unit.Arab Emir.", "AG": "Antigua/Barbuda", "BA": "Bosnia/Herzeg.", "BN": "Brunei Daruss.", "BQ": "Bonaire, Saba",
+    "CD": "Dem. Rep. Congo", "CG": "Rep. of Congo", "CI": "Ivory coast", "CV": "Cabo Verde", "DO": "Dominican Rep.",
+    "GB": "Brit.Ind.Oc.Ter", "KN": "St Kitts&Nevis", "KR": "South Korea", "LC": "St. Lucia", "MD": "Moldavia", "MK": "Macedonia",
+    "MM": "Myanmar", "MO": "Macao", "MR": "Mauretania", "PF": "Frenc.Polynesia", "PG": "Pap. New Guinea", "PS": "Palestine Reg.",
+    "RE": "Reunion", "ST": "S.Tome,Principe", "SX": "Sint Maarten", "SZ": "Eswatini", "TC": "Turksh Caicosin", "TP": "Timor-Leste",
+    "TT": "Trinidad,Tobago", "VC": "St. Vincent", "VG": "Brit.Virgin Is.", "VI": "Amer.Virgin Is.",
+}
+#: Template codes that ISO gives to another country or to none.
+OPTION_CODES_OF_ISO = {"GB": "IO", "TP": "TL"}
+
+
+def country_options() -> list[str]:
+    """Upload-template country choices as ``XX - Name``."""
+    names = {c: n for c, n in _TABLE_NAMES.items() if c not in _NO_OPTION} | OPTION_NAMES
+    return [f"{code} - {name}" for code, name in sorted(names.items())]
+
+
+def country_names() -> list[tuple[str, str]]:
+    """(name, code) of every spelling that means a country: ISO short names, those of the public
+    table, common names and the template's."""
+    ours = [(n, c) for c, n in COUNTRIES] + [(n, c) for c, n in COUNTRY_ALIASES]
+    template = [(n, OPTION_CODES_OF_ISO.get(c, c)) for c, n in OPTION_NAMES.items()]
+    return ours + [(n, c) for c, n in _TABLE_NAMES.items()] + template
+
+
+# Words that do not tell countries apart, and those of official forms that a short name lacks.
+COUNTRY_FILLERS = ["the", "of", "and", "part"]
+OFFICIAL_WORDS = ["republic", "federal", "kingdom", "state", "states", "democratic", "peoples", "islamic", "plurinational", "bolivarian",
+                  "federative", "federated", "federation", "principality", "grand", "duchy", "sultanate", "commonwealth", "union",
+                  "independent", "socialist", "united", "arab", "cooperative", "co", "operative", "hashemite"]
+ACCENTS = ("áàâäãåāăąçćčďéèêëēėęěíìîïīįłñńňóòôöõøōőřśšşțťúùûüūůűýÿźžż", "aaaaaaaaacccdeeeeeeeeiiiiiilnnnoooooooorssstt" + "uuuuuuuyyzzz")
+
+
+def country_key(name: str) -> str:
+    """Canonical form of a country's name: lower case, without accents, dots and fillers, 'st' as
+    'saint', words in alphabetical order (so "Korea, Republic of" is "Republic of Korea")."""
+    text = name.lower().translate(str.maketrans(*ACCENTS))
+    words = re.split(r"[^\w]+", re.sub(r"[.'’`]", "", text))
+    words = ["saint" if w == "st" else w for w in words if w and w not in COUNTRY_FILLERS]
+    return " ".join(sorted(words))
+
+
+def country_by_key() -> dict[str, str]:
+    """Canonical name -> code; the first name that gives a key has it."""
+    out: dict[str, str] = {}
+    for name, code in country_names():
+        out.setdefault(country_key(name), code)
+    return out
+
+
+# Calling codes of the ITU's numbering plan by world zone: country, code, trunk prefix ('-': none) and the
+# lengths of national numbers.
+_NORTH_AMERICA = "US CA AG AI AS BB BM BS DM DO GD GU JM KN KY LC MP MS PR SX TC TT VC VG VI".split()
+_CALLING = """
+EG 20 0 8-10, SS 211 0 9, MA 212 0 9, EH 212 0 9, DZ 213 0 8-9, TN 216 - 8, LY 218 0 8-9, GM 220 - 7, SN 221 - 9, MR 222 - 8,
+ML 223 - 8, GN 224 - 9, CI 225 - 10, BF 226 - 8, NE 227 - 8, TG 228 - 8, BJ 229 - 8/10, MU 230 - 7-8, LR 231 0 7-9, SL 232 0 8,
+GH 233 0 9, NG 234 0 8/10, TD 235 - 8, CF 236 - 8, CM 237 - 9, CV 238 - 7, ST 239 - 7, GQ 240 - 9, GA 241 - 7-8, CG 242 - 9,
+CD 243 0 7-9, AO 244 - 9, GW 245 - 7/9, IO 246 - 7, SC 248 - 7, SD 249 0 9, RW 250 0 9, ET 251 0 9, SO 252 0 7-9, DJ 253 - 8,
+KE 254 0 7-10, TZ 255 0 9, UG 256 0 9, BI 257 - 8, MZ 258 - 8-9, ZM 260 0 9, MG 261 0 9, RE 262 0 9, YT 262 0 9, ZW 263 0 5-10,
+NA 264 0 8-9, MW 265 0 7-9, LS 266 - 8, BW 267 - 7-8, SZ 268 - 8, KM 269 - 7, ZA 27 0 9, SH 290 - 4-5, ER 291 0 7, AW 297 - 7,
+FO 298 - 6, GL 299 - 6
+
+GR 30 - 10, NL 31 0 9, BE 32 0 8-9, FR 33 0 9, ES 34 - 9, GI 350 - 8, PT 351 - 9, LU 352 - 4-11, IE 353 0 7-9, IS 354 - 7/9,
+AL 355 0 8-9, MT 356 - 8, CY 357 - 8, FI 358 0 5-12, AX 358 0 5-12, BG 359 0 7-9, HU 36 06 8-9, LT 370 8 8, LV 371 - 8,
+EE 372 - 7-8, MD 373 0 8, AM 374 0 8, BY 375 8 9, AD 376 - 6/8-9, MC 377 0 8-9, SM 378 - 6-10, UA 380 0 9, RS 381 0 8-9,
+ME 382 0 8, XK 383 0 8, HR 385 0 8-9, SI 386 0 8, BA 387 0 8-9, MK 389 0 8, IT 39 - 6-11, VA 39 - 6-11
+
+RO 40 0 9, CH 41 0 9, CZ 420 - 9, SK 421 0 9, LI 423 - 7/9, AT 43 0 4-13, GB 44 0 9-10, GG 44 0 10, IM 44 0 10, JE 44 0 10,
+DK 45 - 8, SE 46 0 7-10, NO 47 - 8, SJ 47 - 8, PL 48 - 9, DE 49 0 6-13
+
+FK 500 - 5, GS 500 - 5, BZ 501 - 7, GT 502 - 8, SV 503 - 8, HN 504 - 8, NI 505 - 8, CR 506 - 8, PA 507 - 7-8, PM 508 0 6/9,
+HT 509 - 8, PE 51 0 8-9, MX 52 - 10, CU 53 0 6-8, AR 54 0 10-11, BR 55 0 10-11, CL 56 - 9, CO 57 - 8/10, VE 58 0 10,
+GP 590 0 9, BL 590 0 9, MF 590 0 9, BO 591 0 8, GY 592 - 7, EC 593 0 8-9, GF 594 0 9, PY 595 0 7-9, MQ 596 0 9, SR 597 - 6-7,
+UY 598 0 8, CW 599 - 7-8, BQ 599 - 7
+
+MY 60 0 8-10, AU 61 0 9, CC 61 0 9, CX 61 0 9, ID 62 0 8-12, PH 63 0 8-10, NZ 64 0 8-10, PN 64 0 8-10, SG 65 - 8, TH 66 0 8-9,
+TL 670 - 7-8, AQ 672 - 6, NF 672 - 6, BN 673 - 7, NR 674 - 7, PG 675 - 7-8, TO 676 - 5/7, SB 677 - 5/7, VU 678 - 5/7, FJ 679 - 7,
+PW 680 - 7, WF 681 - 6, CK 682 - 5, NU 683 - 4/7, WS 685 - 5-7, KI 686 - 5/8, NC 687 - 6, TV 688 - 5-7, PF 689 - 6/8, TK 690 - 4-7,
+FM 691 - 7, MH 692 - 7
+
+RU 7 8 10, KZ 7 8 10
+
+JP 81 0 9-10, KR 82 0 8-10, VN 84 0 9-10, KP 850 0 8-10, HK 852 - 8, MO 853 - 8, KH 855 0 8-9, LA 856 0 8-10, CN 86 0 9-11,
+BD 880 0 8-10, TW 886 0 8-9
+
+TR 90 0 10, IN 91 0 10, PK 92 0 9-10, AF 93 0 9, LK 94 0 9, MM 95 0 7-10, MV 960 - 7, LB 961 0 7-8, JO 962 0 8-9, SY 963 0 8-9,
+IQ 964 0 8-10, KW 965 - 8, SA 966 0 8-9, YE 967 0 7-9, OM 968 - 8, PS 970 0 8-9, AE 971 0 8-9, IL 972 0 8-9, BH 973 - 8, QA 974 - 8,
+BT 975 - 7-8, MN 976 0 8/10, NP 977 0 8/10, IR 98 0 10, TJ 992 - 9, TM 993 8 8, AZ 994 0 9, GE 995 0 9, KG 996 0 9, UZ 998 - 9
+"""
+
+
+def _calling_codes() -> list[tuple[str, str, str, list[int]]]:
+    rows = [(c, "1", "1", [10]) for c in _NORTH_AMERICA]
+    for entry in re.split(r",\s*|\n+", _CALLING.strip()):
+        country, code, trunk, lengths = entry.split()
+        spans = [[int(x) for x in part.split("-")] for part in lengths.split("/")]
+        rows.append((country, code, trunk.strip("-"), [n for s in spans for n in range(s[0], s[-1] + 1)]))
+    return rows
+
+
+#: (country, calling code, trunk prefix, lengths of national numbers).
+CALLING_CODES = _calling_codes()
+
+
+def calling_plan() -> dict[str, dict]:
+    """Calling code -> trunk prefix and, as bits, the valid national lengths of all its countries."""
+    plan: dict[str, dict] = {}
+    for _, code, trunk, lengths in CALLING_CODES:
+        at = plan.setdefault(code, {"trunk": trunk, "lengths": 0})
+        for n in lengths:
+            at["lengths"] |= 1 << n
+    return plan
+
 
 # First name -> gender class (male, female, mostly_male, mostly_female, andy).
 FIRST_NAMES = [
@@ -147,49 +248,9 @@ FIRST_NAMES = [
 ]
 
 
-def country_options() -> list[str]:
-    """Upload-template country choices, built by rule as ``XX - Name``."""
-    return [f"{code} - {name}" for code, name in COUNTRIES]
-
-
 # ---------------------------------------------------------------------------
-# Spark side: literal maps (codegen'd lookups, no join) and small DataFrames.
+# Spark side: small DataFrames (functions.lookup makes hashed literals).
 # ---------------------------------------------------------------------------
-def _lit_map(pairs) -> Column:
-    args = []
-    for k, v in pairs:
-        args += [F.lit(k), v if isinstance(v, Column) else F.lit(v)]
-    return F.create_map(*args)
-
-
-def code_to_name_map() -> Column:
-    return _lit_map(COUNTRIES)
-
-
-def name_to_code_map() -> Column:
-    """lower(name or alias) -> alpha-2."""
-    pairs = {name.lower(): code for code, name in COUNTRIES}
-    for code, alias in COUNTRY_ALIASES:
-        pairs.setdefault(alias.lower(), code)
-    return _lit_map(sorted(pairs.items()))
-
-
-def calling_code_by_country_map() -> Column:
-    return _lit_map([(c, F.struct(F.lit(cc).alias("cc"), F.lit(tr).alias("trunk")))
-                     for c, cc, tr, _, _ in CALLING_CODES])
-
-
-def length_range_by_calling_code_map() -> Column:
-    """calling code -> (min, max) national digits; codes shared by several
-    countries (NANP) take the union of their ranges."""
-    ranges: dict[str, tuple[int, int]] = {}
-    for _, cc, _, lo, hi in CALLING_CODES:
-        a, b = ranges.get(cc, (lo, hi))
-        ranges[cc] = (min(a, lo), max(b, hi))
-    return _lit_map([(cc, F.struct(F.lit(lo).alias("lo"), F.lit(hi).alias("hi")))
-                     for cc, (lo, hi) in sorted(ranges.items())])
-
-
 def first_names_df(spark: SparkSession) -> DataFrame:
     schema = T.StructType([T.StructField("name", T.StringType(), False),
                            T.StructField("gender_class", T.StringType(), False)])
@@ -224,15 +285,13 @@ def sql_countries() -> str:
     return values_sql(COUNTRIES, ["code", "name"])
 
 
-def sql_country_lookup() -> str:
-    pairs = {name.lower(): code for code, name in COUNTRIES}
-    for code, alias in COUNTRY_ALIASES:
-        pairs.setdefault(alias.lower(), code)
-    return values_sql(sorted(pairs.items()), ["key", "code"])
+def sql_country_names() -> str:
+    return values_sql([(i, n, c) for i, (n, c) in enumerate(country_names())], ["place", "name", "code"])
 
 
 def sql_calling_codes() -> str:
-    return values_sql(CALLING_CODES, ["country", "cc", "trunk", "lo", "hi"])
+    return values_sql([(c, cc, trunk, "," + ",".join(map(str, lengths)) + ",") for c, cc, trunk, lengths in CALLING_CODES],
+                      ["country", "cc", "trunk", "lengths"])
 
 
 def sql_first_names() -> str:
