@@ -1,6 +1,7 @@
 """File sources and sinks on temporary files."""
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidyleads.sources import files
@@ -42,6 +43,66 @@ def test_fixed_preamble(spark, tmp_path):
     assert sorted(r["First Name"] for r in df.collect()) == ["Ann", "Bob"]
 
 
+def test_files_with_other_preambles_and_columns(spark, tmp_path):
+    """Three files: other preambles, delimiters, orders and sets of columns."""
+    d = tmp_path / "accounts"
+    d.mkdir()
+    (d / "a.csv").write_text("Account ID,Account Name,Country\n1,A,DE\n")
+    (d / "b.csv").write_bytes("\ufeffnotes; please read\n;;\nfill in below;;\nCountry; Account  Name ;Account ID;Tags\nAT;\"B; Inc\";2;t\nnote;x;none;\n".encode())
+    (d / "c.csv").write_text("\n".join([f"line {i}" for i in range(9)]) + "\nAccount Name,Website,Account ID\n" + "".join(f"N{i},w{i},{i}\n" for i in range(100, 3000)))
+    df = files.read_with_preamble(spark, str(d), ["Account ID", "Account Name"], "Account ID")
+    got = {r["Account ID"]: r for r in df.collect()}
+    assert set(got) == {"1", "2", *map(str, range(100, 3000))}
+    assert (got["2"]["Account Name"], got["2"]["Country"], got["2"]["Tags"], got["2"]["Website"]) == ("B; Inc", "AT", "t", None)
+    assert (got["1"]["Country"], got["150"]["Website"], got["150"]["Country"]) == ("DE", "w150", None)
+    (d / "d.csv").write_text("x,y\n1,2\n")
+    with pytest.raises(ValueError, match="d.csv"):
+        files.read_with_preamble(spark, str(d), ["Account ID", "Account Name"], "Account ID")
+
+
+def test_fixed_preambles_of_several_files(spark, tmp_path):
+    d = tmp_path / "uploads"
+    d.mkdir()
+    (d / "a.csv").write_text("t1\nt2,\"x\"\n\n,\nt5\nt6\nFirst  Name,Email\nAnn,a@x.de\nBob,\nt9,zz\n")
+    (d / "b.csv").write_text("t9,zz\n2\n3\n4\n5\n6\nEmail,First Name\nc@x.de,Cy\n\"t2\",x\n")
+    df = files.read_fixed_preamble(spark, str(d), skip=6)
+    got = sorted((r["First Name"], r["Email"]) for r in df.collect())
+    # a line of the other file's preamble is a row here
+    assert got == sorted([("Ann", "a@x.de"), ("Bob", None), ("t9", "zz"), ("Cy", "c@x.de"), ("x", "t2")])
+
+
+def test_publish_is_all_or_nothing(spark, tmp_path):
+    base = str(tmp_path / "book")
+    old = spark.createDataFrame([(1, "old")], "id long, v string")
+    assert files.published(spark, base) is None
+    with pytest.raises(ValueError):
+        files.read_published(spark, base, "One")
+    files.publish({"One": old, "Two": old}, base)
+    new = spark.createDataFrame([(2, "new")], "id long, v string")
+    broken = new.select("id", F.raise_error(F.lit("lost")).cast("string").alias("v"))
+    with pytest.raises(Exception):
+        files.publish({"One": new, "Two": broken}, base)
+    assert [files.read_published(spark, base, n).first().v for n in ("One", "Two")] == ["old", "old"]
+    first = files.published(spark, base)
+    files.publish({"One": new, "Two": new}, base)
+    assert [files.read_published(spark, base, n).first().v for n in ("One", "Two")] == ["new", "new"]
+    assert files.published(spark, base)["version"] == first["version"] + 1
+    assert spark.read.parquet(first["tables"]["One"]).first().v == "old"  # earlier versions stay
+
+
+def test_sorted_outputs_read_back_in_order(spark, tmp_path):
+    import glob
+    import pyarrow.parquet as pq
+    df = spark.range(5000).select(F.when(F.col("id") % 7 > 0, F.concat(F.lit("t"), (F.col("id") * 37 % 101).cast("string"))).alias("tags"),
+                                  (F.col("id") * 7919 % 5000).alias("n")).repartition(6)
+    files.publish({"All": df}, str(tmp_path / "s"), sort_by={"All": ["tags", "no such column", "n"]})
+    path = files.published(spark, str(tmp_path / "s"))["tables"]["All"].removeprefix("file:")
+    rows = [tuple(r.values()) for f in sorted(glob.glob(path + "/part-*")) for r in pq.read_table(f).to_pylist()]
+    assert len(rows) == 5000 and rows == sorted(rows, key=lambda r: (r[0] is None, r[0] or "", r[1]))
+    plan = df.orderBy(F.col("tags").asc_nulls_last())._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" in plan
+
+
 def test_optional_source_missing_and_present(spark, tmp_path):
     schema = T.StructType([T.StructField("prospect_id", T.StringType()), T.StructField("email", T.StringType())])
     assert files.read_optional(spark, str(tmp_path / "nope"), schema).count() == 0

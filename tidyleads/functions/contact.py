@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from .. import refdata
 from ._util import as_col
-from .values import is_blank
+from .values import is_blank, trimmed
 
 
 # ---- URLs -----------------------------------------------------------------
 def valid_url(c) -> Column:
-    """Not NULL, not blank, not '#', 'None' or any-case 'nan' (trimmed)."""
-    t = F.trim(as_col(c))
+    """Not NULL, not blank, not '#', 'None' or any-case 'nan' (without white space of any kind around)."""
+    t = trimmed(c)
     return (t.isNotNull() & (t != "") & (t != "#") & (t != "None")
             & (F.lower(t) != "nan"))
 
@@ -21,7 +21,7 @@ def valid_url(c) -> Column:
 def url_host(c) -> Column:
     """Website URL -> host: lower, drop scheme, cut at the first '/', drop a
     leading ``www``/``www2.``; port, query and other subdomains stay."""
-    x = F.lower(F.trim(as_col(c)))
+    x = F.lower(trimmed(c))
     x = F.regexp_replace(x, r"^https?://", "")
     x = F.substring_index(x, "/", 1)
     return F.regexp_replace(x, r"^www[0-9]*\.", "")
@@ -71,7 +71,7 @@ def bad_name(first, last) -> Column:
 
 
 def normalise_gender(c) -> Column:
-    g = F.lower(F.trim(as_col(c)))
+    g = F.lower(trimmed(c))
     return (F.when(g == "male", F.lit("Male")).when(g == "female", F.lit("Female"))
             .otherwise(F.lit("Unknown")))
 
@@ -99,5 +99,5 @@ def bad_country(country, account_country) -> Column:
 def phone_plus(c) -> Column:
     """Remove spaces; digits only -> prefix '+'; anything else unchanged."""
     c = as_col(c)
-    s = F.replace(F.trim(c), F.lit(" "), F.lit(""))
+    s = F.replace(trimmed(c), F.lit(" "), F.lit(""))
     return F.when(s.rlike("^[0-9]+$"), F.concat(F.lit("+"), s)).otherwise(c)

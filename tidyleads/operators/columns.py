@@ -11,8 +11,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions._util import as_col
-from ..functions.values import is_blank, is_numeric, null_if_missing, positive_id, to_long0
+from ..functions.values import is_blank, is_numeric, null_if_missing, positive_id, to_long0, trimmed
 
 
 def rename(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
@@ -88,7 +87,7 @@ def clean_id_and_name(df: DataFrame, id_col: str = "custom_id", name_col: str =
     if id_col in df.columns:
         out[id_col] = positive_id(id_col)
     if name_col in df.columns:
-        out[name_col] = F.trim(F.col(name_col))
+        out[name_col] = trimmed(name_col)
     return df.withColumns(out)
 
 
@@ -122,7 +121,7 @@ def upload_names(df: DataFrame, id_col: str = "custom_id", name_col: str = "acco
 
 
 def deliverable_columns(hide_email: bool, extra: list[str] = ()) -> list[str]:
-    """Output column order of the deliverable."""
+    """Output column order of the deliverable (fixed values)."""
     keep = ["custom_id", "account_name", "tags", "first_name", "last_name", "title", "gender"]
     if not hide_email:
         keep.append("email")
@@ -137,12 +136,3 @@ def account_flags(df: DataFrame, name_col: str = "account_name") -> DataFrame:
     from ..functions.values import is_dummy
     return df.withColumns({"blank_name": is_blank(name_col), "dummy_name": is_dummy(name_col)})
 
-
-def sorted_for_output(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Ascending, nulls last, on the subset of present keys (only at write)."""
-    present = [F.col(k).asc_nulls_last() for k in keys if k in df.columns]
-    return df.orderBy(*present) if present else df
-
-
-def as_long(c) -> Column:
-    return to_long0(as_col(c))

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions._util import as_col
-from ..functions.values import is_blank
+from ..functions.values import is_blank, trimmed
 from ..session import written
 from .joins import left_lookup
 
@@ -159,14 +159,14 @@ def person_key(first, last) -> Column:
     names reports it), though others may share the name that it has."""
     f, l = as_col(first), as_col(last)
     return F.when(~is_blank(f) & ~is_blank(l),
-                  F.concat(F.lower(F.trim(f)), F.lit("_"), F.lower(F.trim(l))))
+                  F.concat(F.lower(trimmed(f)), F.lit("_"), F.lower(trimmed(l))))
 
 
 def swapped_key(first, last) -> Column:
     """Order-free person key: the sorted pair of lower/trimmed names."""
     f, l = as_col(first), as_col(last)
     return F.when(~is_blank(f) & ~is_blank(l),
-                  F.array_join(F.array_sort(F.array(F.lower(F.trim(f)), F.lower(F.trim(l)))), "_"))
+                  F.array_join(F.sort_array(F.array(F.lower(trimmed(f)), F.lower(trimmed(l)))), "_"))
 
 
 def flag_person_duplicates(df: DataFrame, swapped: bool = False, first="first_name", last="last_name",

@@ -12,9 +12,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions._util import as_col
-from ..functions.values import null_if_missing, positive_id
+from ..functions.values import null_if_missing, positive_id, trimmed
 from .joins import left_lookup
 
 
@@ -72,8 +73,8 @@ def link_accounts(df: DataFrame, accounts: DataFrame, on: str, dedupe: bool = Tr
     wanted = ([] if on == "custom_id" else ["custom_id"]) + list(take)
     bring = [c for c in wanted if c in accounts.columns and c != on]
     if on == "custom_id":
-        key_r = F.when(positive_id(acc_key) > 0, positive_id(acc_key))
-        key_l = F.when(positive_id(on) > 0, positive_id(on))
+        key_r, key_l = positive_id_of(accounts, acc_key), positive_id_of(df, on)
+        key_r, key_l = F.nullif(key_r, F.lit(0)), F.nullif(key_l, F.lit(0))
     else:
         tokens = ("#",) if on == "website_url" else ()
         key_r, key_l = null_if_missing(acc_key, tokens), null_if_missing(on, tokens)
@@ -95,27 +96,26 @@ def enrich_from(accounts: DataFrame, master: DataFrame, key: str = "custom_id",
     m = m.select(F.col(key).alias("_mk"), *[F.col(c).alias(f"_m_{c}") for c in fill])
     j = accounts.join(m, accounts[key] == m["_mk"], "left")
     eligible = (F.col(key) >= min_id) & F.col("_mk").isNotNull()
-    missing = {c: F.col(c).isNull() | F.trim(F.col(c)).isin("", "nan") for c in fill}
+    missing = {c: null_if_missing(c).isNull() for c in fill}
     out = {c: F.when(eligible & missing[c], F.col(f"_m_{c}")).otherwise(F.col(c)) for c in fill}
     return j.withColumns(out).select(*accounts.columns)
 
 
 def repair_ids(df: DataFrame, accounts: DataFrame, order_by=("account_name", "custom_id")) -> DataFrame:
     """Missing account ID -> ID of the first account with the same name; no
-    match -> 0.  Decision: a row without an ID is repaired whether or not other rows
+    match -> 0.  A blank name (or 'nan') is no name and takes no ID.  Decision: a row without an ID is repaired whether or not other rows
     have one, so a row's result does not depend on the rest of its file."""
-    m = first_per_key(accounts.where(F.col("account_name").isNotNull()), ["account_name"], list(order_by))
-    m = m.select(F.col("account_name").alias("_an"), F.col("custom_id").alias("_cid"))
-    j = left_lookup(df.withColumn("_an", F.col("account_name")), m, ["_an"])
+    named = accounts.withColumn("_an", null_if_missing("account_name")).where(F.col("_an").isNotNull())
+    m = first_per_key(named, ["_an"], list(order_by)).select("_an", F.col("custom_id").alias("_cid"))
+    j = left_lookup(df.withColumn("_an", null_if_missing("account_name")), m, ["_an"])
     return j.withColumn("custom_id", F.coalesce(F.col("custom_id"), F.col("_cid"), F.lit(0).cast("bigint"))) \
             .select(*df.columns)
 
 
-def _positive_id_of(df: DataFrame, col: str) -> Column:
+def positive_id_of(df: DataFrame, col: str) -> Column:
     """Positive-ID expression that skips the text round trip for integral
     columns."""
-    from pyspark.sql.types import IntegralType
-    if isinstance(df.schema[col].dataType, IntegralType):
+    if isinstance(df.schema[col].dataType, T.IntegralType):
         return F.greatest(F.coalesce(F.col(col).cast("bigint"), F.lit(0).cast("bigint")), F.lit(0).cast("bigint"))
     return positive_id(col)
 
@@ -129,17 +129,17 @@ def with_prospect_counts(accounts: DataFrame, prospects: DataFrame) -> DataFrame
     typed columns (ID, name) of which the unused one is NULL, matched
     null-safely, so a numeric ID is never turned into text.
     """
-    p_id = _positive_id_of(prospects, "custom_id")
-    a_id = _positive_id_of(accounts, "custom_id")
+    p_id = positive_id_of(prospects, "custom_id")
+    a_id = positive_id_of(accounts, "custom_id")
     has_ids = prospects.select(F.max(p_id) > 0).scalar()
     null_id, null_name = F.lit(None).cast("bigint"), F.lit(None).cast("string")
     counts = (prospects.select(F.when(has_ids, F.when(p_id > 0, p_id)).otherwise(null_id).alias("_ck_id"),
-                               F.when(has_ids, null_name).otherwise(F.trim(F.col("account_name"))).alias("_ck_nm"))
+                               F.when(has_ids, null_name).otherwise(trimmed("account_name")).alias("_ck_nm"))
               .where(F.col("_ck_id").isNotNull() | F.col("_ck_nm").isNotNull())
               .groupBy("_ck_id", "_ck_nm").agg(F.count(F.lit(1)).alias("_cnt")))
     keyed = accounts.withColumns({
         "_ck_id": F.when(has_ids, a_id).otherwise(null_id),
-        "_ck_nm": F.when(has_ids, null_name).otherwise(F.trim(F.col("account_name")))})
+        "_ck_nm": F.when(has_ids, null_name).otherwise(trimmed("account_name"))})
     a, c = keyed.alias("a"), counts.alias("c")
     j = a.join(c, F.col("a._ck_id").eqNullSafe(F.col("c._ck_id")) & F.col("a._ck_nm").eqNullSafe(F.col("c._ck_nm")),
                "left")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .columns import drop_existing, upload_names
 from .link import first_per_key
 
-# Columns whose edited value always wins (the human-owned part of the sheet).
+# Columns whose edited value always wins (the human-owned part of the sheet).
 PROTECTED = {
     "issue", "account_range", "custom_id", "account_name", "first_name", "last_name", "title",
     "gender", "email", "domain_score_label", "linkedin_url", "company_linkedin", "work_phone",
@@ -27,14 +27,18 @@ def union_sources(sources: list[tuple[DataFrame, int]], rank_col: str = "source_
 
 
 def reconcile(edited: DataFrame, original: DataFrame, key: str = "prospect_id",
-              protected: set[str] = frozenset(PROTECTED), order_by=None) -> DataFrame:
+              protected: set[str] = frozenset(PROTECTED), order_by=None, unique: bool = False) -> DataFrame:
     """Edited rows enriched from the original sample on ``key``.
 
     Protected columns keep the edited value; other shared columns are
     ``coalesce(edited, original)``; columns only in the original are added;
-    rows missing from the edit stay gone.  The original is reduced to one row
-    per key (keep-first) so the join never fans out."""
-    orig = first_per_key(original.where(F.col(key).isNotNull()), [key], order_by or [key])
+    rows missing from the edit stay gone.  The original is reduced to one row per key so the
+    join never fans out: the first by ``order_by``, else by a hash of the whole row (the same
+    row every time, whatever the partitions).  ``unique`` says that the key is unique in the
+    original (IDs that `identity.assign_ids` gave), which saves that step."""
+    orig = original.where(F.col(key).isNotNull())
+    if not unique:
+        orig = first_per_key(orig, [key], order_by or [F.xxhash64(*[F.col(f"`{c}`") for c in sorted(orig.columns)])])
     e, o = edited.alias("e"), orig.alias("o")
     j = e.join(o, F.col(f"e.{key}") == F.col(f"o.{key}"), "left")
     cols = []

@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.contact import valid_url
-from ..functions.values import is_blank, positive_id
-from .link import with_prospect_counts
+from ..functions.values import trimmed
+from .link import positive_id_of, with_prospect_counts
 
 
 def value_counts(df: DataFrame, col: str, keep_null: bool = False) -> DataFrame:
@@ -23,30 +23,46 @@ def value_counts(df: DataFrame, col: str, keep_null: bool = False) -> DataFrame:
 
 def distinct_count(df: DataFrame, *cols: str) -> DataFrame:
     """One row: distinct non-NULL count per column (``n_<col>``)."""
-    return df.agg(*[F.count_distinct(F.col(c)).alias(f"n_{c}") for c in cols])
+    return distinct_values(df, {f"n_{c}": F.col(c) for c in cols})
 
 
 def nonblank(c) -> Column:
-    c = F.col(c) if isinstance(c, str) else c
-    t = F.trim(c)
+    t = trimmed(c)
     return F.when(t != "", t)
 
 
 def distinct_nonblank(df: DataFrame, *cols: str) -> DataFrame:
     """One row: distinct non-blank trimmed values per column."""
-    return df.agg(*[F.count_distinct(nonblank(c)).alias(f"n_{c}") for c in cols])
+    return distinct_values(df, {f"n_{c}": nonblank(c) for c in cols})
 
 
-def distinct_accounts_expr(id_col: str = "custom_id", name_col: str = "account_name") -> Column:
-    """Aggregate: distinct positive IDs if any exists, else distinct trimmed
-    names."""
-    pid = positive_id(id_col)
-    return F.when(F.max(pid) > 0, F.count_distinct(F.when(pid > 0, pid))) \
-            .otherwise(F.count_distinct(F.trim(F.col(name_col))))
+def distinct_values(df: DataFrame, figures: dict[str, Column]) -> DataFrame:
+    """One row: the number of distinct non-NULL values of each figure.  All figures are stacked as
+    (figure, value) in one read, made distinct map-side and then per pair, and counted per figure,
+    so a hot value is one row per task and no figure needs an exchange of its own."""
+    names = list(figures)
+    pairs = F.array(*[F.struct(F.lit(i).alias("f"), figures[n].cast("string").alias("v")) for i, n in enumerate(names)])
+    # the outer form and the filter on the pair's place keep the value's expression out of the scan's filters
+    stacked = df.select(F.explode_outer(pairs).alias("p")).select(F.col("p.f").alias("f"), F.col("p.v").alias("v"))
+    counts = stacked.groupBy("f", "v").agg(F.lit(1).alias("one")).groupBy("f").agg(F.count("v").alias("n"))
+    return counts.agg(*[F.coalesce(F.max(F.when(F.col("f") == i, F.col("n"))), F.lit(0)).alias(n) for i, n in enumerate(names)])
+
+
+def _account_figures(df: DataFrame, when: Column | None = None, id_col: str = "custom_id", name_col: str = "account_name") -> dict[str, Column]:
+    """Figures whose counts `_accounts` puts together: distinct positive IDs and trimmed names."""
+    pid = F.nullif(positive_id_of(df, id_col), F.lit(0))
+    keep = (lambda c: c) if when is None else (lambda c: F.when(when, c))
+    return {"ids": keep(pid), "names": keep(trimmed(name_col))}
+
+
+def _accounts(ids, names) -> Column:
+    """Distinct positive IDs if any exists, else distinct names."""
+    return F.when(F.col(ids) > 0, F.col(ids)).otherwise(F.col(names))
 
 
 def distinct_accounts(df: DataFrame) -> DataFrame:
-    return df.agg(distinct_accounts_expr().alias("distinct_accounts"))
+    """One row: distinct positive IDs if any exists, else distinct trimmed names."""
+    return distinct_values(df, _account_figures(df)).select(_accounts("ids", "names").alias("distinct_accounts"))
 
 
 def row_audit(df: DataFrame, stages: dict[str, Column]) -> DataFrame:
@@ -69,44 +85,35 @@ def insufficient_accounts(accounts: DataFrame, prospects: DataFrame, threshold:
     return sufficiency(accounts, prospects, threshold).where(F.col("segment") != "sufficient")
 
 
-def coverage_report(accounts: DataFrame, prospects: DataFrame, threshold: int) -> DataFrame:
+def coverage_report(accounts: DataFrame, prospects: DataFrame, threshold: int, population: DataFrame | None = None) -> DataFrame:
     """One-row coverage report with the nine figures of the reference.
 
-    The prospect-side figures are one aggregation, the account-side figures
-    another; the former enters the latter as a scalar subquery (no join)."""
-    pstats = prospects.agg(F.struct(
-        F.count(F.lit(1)).alias("prospects_found"),
-        F.count_distinct(nonblank("email")).alias("prospects_with_emails"),
-        F.count_distinct(nonblank("linkedin_url")).alias("prospects_with_linkedin"),
-        distinct_accounts_expr().alias("accounts_with_prospects"),
-    ).alias("s")).scalar()
-    seg = sufficiency(accounts, prospects, threshold)
+    ``population`` are the accounts to report on; prospects are counted against it (default: ``accounts``).
+    Prospects are read once for all distinct figures and the total, accounts once for theirs
+    (`distinct_values`); the two rows meet as scalar subqueries."""
+    seg = sufficiency(population if population is not None else accounts, prospects, threshold)
+    p = _account_figures(prospects)
+    found = distinct_values(prospects, {"emails": nonblank("email"), "linkedins": nonblank("linkedin_url"), "ids": p["ids"], "names": p["names"]})
+    found = found.select(F.struct("emails", "linkedins", _accounts("ids", "names").alias("accounts")).alias("s")).scalar()
     n = F.col("prospect_count")
-    few = (n > 0) & (n < threshold)
-    insufficient = n < threshold
-    pid = positive_id("custom_id")
-    ins_pid = F.when(insufficient, pid)
-    acc = seg.agg(
-        F.count(F.lit(1)).alias("accounts_submitted"),
-        distinct_accounts_expr().alias("_distinct_submitted"),
-        F.count_if(n == 0).alias("accounts_without_prospects"),
-        F.count_if(few).alias("accounts_with_few_prospects"),
-        F.when(F.max(ins_pid) > 0, F.count_distinct(F.when(ins_pid > 0, ins_pid)))
-         .otherwise(F.count_distinct(F.when(insufficient, F.trim(F.col("account_name")))))
-         .alias("accounts_needing_more"),
-    )
-    with_rate = acc.select(
+    all_, few = _account_figures(seg), _account_figures(seg, n < threshold)
+    known = distinct_values(seg, {"ids": all_["ids"], "names": all_["names"], "few_ids": few["ids"], "few_names": few["names"]})
+    known = known.select(F.struct(_accounts("ids", "names").alias("submitted"), _accounts("few_ids", "few_names").alias("needing")).alias("s")).scalar()
+    total = prospects.agg(F.count(F.lit(1))).scalar()
+    acc = seg.agg(F.count(F.lit(1)).alias("accounts_submitted"), F.count_if(n == 0).alias("accounts_without_prospects"),
+                  F.count_if((n > 0) & (n < threshold)).alias("accounts_with_few_prospects"))
+    with_figures = acc.withColumns({"_found": found, "_known": known})
+    return with_figures.select(
         "accounts_submitted",
-        pstats["prospects_found"].alias("prospects_found"),
-        pstats["prospects_with_emails"].alias("prospects_with_emails"),
-        pstats["prospects_with_linkedin"].alias("prospects_with_linkedin"),
-        pstats["accounts_with_prospects"].alias("accounts_with_prospects"),
-        F.when(F.col("_distinct_submitted") > 0,
-               F.ceil(F.lit(100.0) * pstats["accounts_with_prospects"] / F.col("_distinct_submitted")))
+        total.alias("prospects_found"),
+        F.col("_found.emails").alias("prospects_with_emails"),
+        F.col("_found.linkedins").alias("prospects_with_linkedin"),
+        F.col("_found.accounts").alias("accounts_with_prospects"),
+        F.when(F.col("_known.submitted") > 0, F.ceil(F.lit(100.0) * F.col("_found.accounts") / F.col("_known.submitted")))
          .otherwise(F.lit(0)).cast("bigint").alias("enrichment_rate"),
-        "accounts_without_prospects", "accounts_with_few_prospects", "accounts_needing_more",
+        "accounts_without_prospects", "accounts_with_few_prospects",
+        F.col("_known.needing").alias("accounts_needing_more"),
     )
-    return with_rate
 
 
 def issue_summary(df: DataFrame, col: str = "issues") -> DataFrame:
@@ -147,6 +154,27 @@ def completeness(df: DataFrame, cols: list[str]) -> DataFrame:
     return row.select(F.explode(F.array(*parts)).alias("r")).select("r.*")
 
 
+def pair_checks(df: DataFrame, pairs: dict[str, tuple[str, str, str]]) -> DataFrame:
+    """(check, first, second, proceed) per pair (kind, column, column): kind ``present`` asks for the
+    column, ``any_value`` for a non-NULL value in it.  One aggregation over all columns asked for."""
+    named = sorted({c for _, a, b in pairs.values() for c in (a, b)})
+    have = {c: F.count_if(F.col(f"`{c}`").isNotNull()) > 0 for c in named if c in df.columns}
+    row = df.agg(F.count(F.lit(1)).alias("_rows"), *[e.alias(c) for c, e in have.items()])
+
+    def has(kind, c):
+        return F.col(f"`{c}`") if kind == "any_value" and c in have else F.lit(c in have and kind == "present")
+    checks = [F.struct(F.lit(n).alias("check"), has(k, a).alias("first"), has(k, b).alias("second"), (has(k, a) | has(k, b)).alias("proceed"))
+              for n, (k, a, b) in pairs.items()]
+    return row.select(F.explode(F.array(*checks)).alias("r")).select("r.*")
+
+
+def repeated_keys(df: DataFrame, key: str, value: str) -> DataFrame:
+    """Keys on several rows, with the number of rows and of different values (such as prospects
+    that a deliverable tags twice): what a keep-first join passes over."""
+    return (df.where(F.col(key).isNotNull()).groupBy(key)
+            .agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(value).alias("values")).where(F.col("rows") > 1))
+
+
 def invalid_url_count(df: DataFrame, col: str = "website_url") -> DataFrame:
     return df.agg(F.count_if(~valid_url(col)).alias("invalid_urls"))
 

@@ -222,9 +222,10 @@ def native_pair_scores(df: DataFrame, company: str = "company", email: str = "em
     combined), then cleaned, de-duplicated again and scored once per pair."""
     from ..functions.contact import bad_domain, domain_score_label
     raw = df.where(F.col(email).contains("@")).select(F.lower(F.col(company)).alias("c"), domain_core(email).alias("d")).distinct()
-    pairs = with_company_clean(raw, "c", "company_clean", words).select("company_clean", fold_text("d").alias("domain_clean")).distinct()
-    pairs = pairs.where((F.col("company_clean") != "") & (F.col("domain_clean") != ""))
+    pairs = with_company_clean(raw, "c", "company_clean", words).select("company_clean", fold_text("d").alias("domain_clean"))
+    # an aggregate decides what is scored: a filter would be pushed below and clean every text once more
+    scored = F.max((F.col("company_clean") != "") & (F.col("domain_clean") != ""))
+    pairs = pairs.groupBy("company_clean", "domain_clean").agg(scored.alias("_scored")).where("_scored").drop("_scored")
     scored = pairs.withColumn("similarity", windowed_similarity("company_clean", "domain_clean"))
     return scored.withColumns({"label": domain_score_label("similarity"),
-                               "bad_domain": bad_domain("similarity")}) \
-                 .where(F.col("company_clean").isNotNull())
+                               "bad_domain": bad_domain("similarity")})

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .. import refdata
 from ..functions import contact as C
 from ..functions.text import title_case
-from ..functions.values import is_blank
+from ..functions.values import is_blank, trimmed
 from . import similarity
 from .joins import left_lookup
 from .identity import duplicates_attach, duplicates_lookup, duplicates_prepare, person_key
@@ -29,14 +29,15 @@ def _names_dim(spark, names: DataFrame | None) -> DataFrame:
 
 def gender_prepare(df: DataFrame, first: str = "first_name", eligible: Column | None = None) -> DataFrame:
     eligible = eligible if eligible is not None else F.lit(True)
-    return df.withColumns({"_gn": F.when(eligible & ~is_blank(first), F.trim(F.col(first))),
+    return df.withColumns({"_gn": F.when(eligible & ~is_blank(first), trimmed(first)),
                            "_g_in": eligible})
 
 
 def gender_lookup(prepared: DataFrame, names: DataFrame | None = None) -> DataFrame:
     dim = _names_dim(prepared.sparkSession, names)
     distinct = prepared.select("_gn").distinct()
-    parts = distinct.select("_gn", F.posexplode(F.split(F.col("_gn"), "-")).alias("_pos", "_p")) \
+    # outer: for an inner one Spark asks the scan for names that split into something, spelled out in full
+    parts = distinct.select("_gn", F.posexplode_outer(F.split(F.col("_gn"), "-")).alias("_pos", "_p")) \
                     .withColumn("_part", F.lower(F.col("_p")))
     return (parts.join(dim, "_part", "inner").groupBy("_gn")
             .agg(F.min_by(F.col("_g"), F.col("_pos")).alias("_pg")))

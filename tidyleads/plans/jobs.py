@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo
-from ..functions.values import null_if_missing, to_long0
+from ..functions.values import to_long0
 from ..operators import columns as cols
 from ..operators import identity, link, reconcile, report
 from ..operators.validate import validate
@@ -83,6 +83,19 @@ LEADGENIUS_KEPT = (
     "company_linkedin", "persona_name", "stage", "wbs_code", "lg_outcome_status", "source",
 )
 
+# Columns of each source's issues table, in order, and columns that its prospects export leaves out.
+ISSUE_COLUMNS = (
+    "issue", "account_range", "custom_id", "account_name", "first_name", "last_name", "title", "gender", "plausible_gender", "email",
+    "domain_score_label", "linkedin_url", "work_phone", "mobile_phone", "city", "state", "zip", "country", "tags", "prospect_id",
+)
+ZOOMINFO_ISSUE_COLUMNS = tuple(c for c in ISSUE_COLUMNS if c != "plausible_gender") + ("source",)
+LEADGENIUS_ISSUE_COLUMNS = ISSUE_COLUMNS[:12] + ("company_linkedin",) + ISSUE_COLUMNS[12:] + ("source",)
+NOT_EXPORTED = ("issue", "account_range", "plausible_gender", "domain_score_label")
+# Sort columns of the outputs.
+ISSUES_ORDER = ("tags", "account_name", "first_name", "last_name", "issue")
+EXPORT_ORDER = ("tags", "account_name", "first_name", "last_name", "source")
+INSUFFICIENT_ORDER = ("tags", "account_name")
+
 
 @dataclass(frozen=True)
 class SourceSpec:
@@ -102,17 +115,22 @@ class SourceSpec:
     gender_mode: str = "A"
     check_country: bool = False
     deliverable_extra: tuple = ()
+    issue_columns: tuple = ()
+    not_exported: tuple = ()
+    earlier: tuple = ()
     rank: int = 0
 
 
 OUTREACH = SourceSpec(label="Outreach", prefix="O", link_strategy="custom_id", headers=COMMON_HEADERS | OUTREACH_HEADERS,
-                      keep=OUTREACH_KEPT, require=("email", "custom_id"), rank=0)
+                      keep=OUTREACH_KEPT, require=("email", "custom_id"), issue_columns=ISSUE_COLUMNS, not_exported=NOT_EXPORTED, rank=0)
 ZOOMINFO = SourceSpec(label="ZoomInfo", prefix="Z", link_strategy="zi_fallback", headers=COMMON_HEADERS | ZOOMINFO_HEADERS,
-                      keep=ZOOMINFO_KEPT, same_country=True, convert_country=True, gender_mode="B", rank=1)
+                      keep=ZOOMINFO_KEPT, same_country=True, convert_country=True, gender_mode="B", issue_columns=ZOOMINFO_ISSUE_COLUMNS,
+                      not_exported=("company_status", "contact_status", *NOT_EXPORTED), earlier=("O",), rank=1)
 LEADGENIUS = SourceSpec(label="LeadGenius", prefix="L", link_strategy="company_name", headers=COMMON_HEADERS | LEADGENIUS_HEADERS,
                         drop_before_rename=LEADGENIUS_DROPPED, keep=LEADGENIUS_KEPT, verified_only=True,
                         convert_country=True, convert_account_country=True, format_phones=True,
-                        check_country=True, deliverable_extra=("company_linkedin",), rank=2)
+                        check_country=True, deliverable_extra=("company_linkedin",), issue_columns=LEADGENIUS_ISSUE_COLUMNS,
+                        not_exported=("company_status", "contact_status", *NOT_EXPORTED), earlier=("O", "Z"), rank=2)
 SPECS = {s.prefix: s for s in (OUTREACH, ZOOMINFO, LEADGENIUS)}
 #: Columns of a vendor's row by which equal names are ordered: the rest of what a person's row may hold.
 TIEBREAK = ("email", "title", "linkedin_url", "work_phone", "mobile_phone", "city", "state", "zip", "country", "custom_id")
@@ -187,26 +205,33 @@ def prospect_issues(spec: SourceSpec, sample: DataFrame, accounts: DataFrame,
     return identity.quota_label(v, threshold, order_by=order, group="account_name", tiers=[2])
 
 
+def issues_table(spec: SourceSpec, issues: DataFrame) -> DataFrame:
+    """What people edit: the source's own issue columns, in its order."""
+    return cols.project(issues, list(spec.issue_columns))
+
+
 def deliverable(edited: DataFrame, sample: DataFrame, hide_email: bool = False,
-                extra: tuple = ()) -> DataFrame:
+                extra: tuple = (), label: str | None = None, unique: bool = False) -> DataFrame:
     """Job B core: edits reconciled with the sample, tagged rows only, IDs
-    and names cleaned, deliverable columns in order."""
-    rec = reconcile.reconcile(edited, sample)
+    and names cleaned, a missing source set to the ``label``, deliverable columns in order."""
+    rec = reconcile.reconcile(edited, sample, unique=unique)
     tagged = cols.tagged_only(rec)
+    if label is not None:
+        tagged = cols.default_source(tagged, label)
     clean = cols.clean_id_and_name(tagged)
     return cols.project(clean, cols.deliverable_columns(hide_email, list(extra)))
 
 
 def publish_prospects(spec: SourceSpec, edited: DataFrame, sample: DataFrame, accounts: DataFrame,
                       threshold: int, hide_email: bool = False) -> dict[str, DataFrame]:
-    """All job-B outputs as named tables (one directory each when written)."""
+    """All job-B outputs as named tables (one directory each when written; `OUTPUT_ORDER` sorts them)."""
     sample = cut_lineage(sample)
-    deliv = deliverable(edited, sample, hide_email, spec.deliverable_extra)
+    deliv = deliverable(edited, sample, hide_email, spec.deliverable_extra, spec.label)
     prospects = cols.clean_id_and_name(edited)
     counted = report.sufficiency(accounts, prospects, threshold)
     return {
         "Deliverable": deliv,
-        "Prospects": reconcile.reconcile(edited, sample),
+        "Prospects": cols.drop_existing(reconcile.reconcile(edited, sample), list(spec.not_exported)),
         "Emails": cols.project(edited, ["email"]),
         "Accounts with Insufficient Prospects": counted.where(F.col("segment") != "sufficient"),
         "Accounts without Prospects": counted.where(F.col("segment") == "none"),
@@ -214,6 +239,10 @@ def publish_prospects(spec: SourceSpec, edited: DataFrame, sample: DataFrame, ac
     }
 
 
+#: Sort columns of the published tables.
+OUTPUT_ORDER = {"Deliverable": EXPORT_ORDER, "Prospects": EXPORT_ORDER, "Issues": ISSUES_ORDER, "Accounts": ("account_name",),
+                "Accounts with Insufficient Prospects": INSUFFICIENT_ORDER, "Accounts without Prospects": INSUFFICIENT_ORDER}
+
 UPLOAD_CHECK_COLS = ["email", "title", "first_name", "last_name", "gender", "source", "country"]
 
 
@@ -238,5 +267,10 @@ def upload_checks(upload: DataFrame) -> DataFrame:
     return report.completeness(cols.normalise_headers(upload), UPLOAD_CHECK_COLS + ["custom_id", "account_name"])
 
 
-def blank_to_null(df: DataFrame, columns: list[str]) -> DataFrame:
-    return df.withColumns({c: null_if_missing(c) for c in columns if c in df.columns})
+#: Pairs of which an upload needs one: an account's ID or name (as a column), an e-mail or a phone (as any value).
+UPLOAD_PAIRS = {"ID or name": ("present", "custom_id", "account_name"), "email or phone": ("any_value", "email", "work_phone")}
+
+
+def upload_pairs(upload: DataFrame) -> DataFrame:
+    """(check, first, second, proceed): which of a pair the upload has, and whether that is enough."""
+    return report.pair_checks(cols.normalise_headers(upload), UPLOAD_PAIRS)

@@ -22,9 +22,9 @@ def _srank():
 
 
 _PK = f"""CASE WHEN NOT {S.is_blank('first_name')} AND NOT {S.is_blank('last_name')}
-  THEN lower(trim(first_name)) || '_' || lower(trim(last_name)) END"""
+  THEN lower({S.trimmed('first_name')}) || '_' || lower({S.trimmed('last_name')}) END"""
 _SK = f"""CASE WHEN NOT {S.is_blank('first_name')} AND NOT {S.is_blank('last_name')}
-  THEN array_to_string(list_sort([lower(trim(first_name)), lower(trim(last_name))]), '_') END"""
+  THEN array_to_string(list_sort([lower({S.trimmed('first_name')}), lower({S.trimmed('last_name')})]), '_') END"""
 
 
 @register("person_duplicates", sql_with("fx_prospects") + f"""

@@ -47,7 +47,7 @@ def _sample(spark, sf):
 @register("deliverable", sql_with("fx_accounts", "fx_prospects", "fx_edits") + ACC_SQL + PRO_SQL + _ACC_FIRST_BY_ID + f"""
 , s AS (SELECT 'P' || CAST(p.row_key AS VARCHAR) AS prospect_id, p.source, a1.tags
         FROM pro p LEFT JOIN a1 ON a1.custom_id = (CASE WHEN p.custom_id > 0 THEN p.custom_id END))
-SELECT {S.positive_id('e.custom_id')} AS custom_id, trim(e.account_name) AS account_name, s.tags,
+SELECT {S.positive_id('e.custom_id')} AS custom_id, {S.trimmed('e.account_name')} AS account_name, s.tags,
        e.first_name, e.last_name, e.title, e.gender, e.email, e.linkedin_url, e.work_phone, e.mobile_phone,
        coalesce(e.source, s.source) AS source, e.city, e.state, e.zip, e.country, e.prospect_id
 FROM fx_edits e LEFT JOIN s ON s.prospect_id = e.prospect_id

@@ -79,10 +79,10 @@ m AS (SELECT * FROM m0 WHERE rn = 1),
 e AS (
   SELECT a.* REPLACE (
     CASE WHEN a.custom_id >= 10000 AND m.k IS NOT NULL
-              AND (a.website_url IS NULL OR trim(a.website_url) IN ('', 'nan')) THEN m.url
+              AND ({S.null_if_missing('a.website_url')} IS NULL) THEN m.url
          ELSE a.website_url END AS website_url,
     CASE WHEN a.custom_id >= 10000 AND m.k IS NOT NULL
-              AND (a.country IS NULL OR trim(a.country) IN ('', 'nan')) THEN m.ctry
+              AND ({S.null_if_missing('a.country')} IS NULL) THEN m.ctry
          ELSE a.country END AS country)
   FROM a LEFT JOIN m ON m.k = a.custom_id)
 """
@@ -184,7 +184,7 @@ def q_link_by_company(spark, sf):
 
 @register("repair_ids", sql_with("fx_accounts", "fx_prospects") + ACC_SQL + f"""
 , a1 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY account_name ORDER BY row_key) rn
-                        FROM acc WHERE account_name IS NOT NULL) WHERE rn = 1)
+                        FROM acc WHERE {S.null_if_missing('account_name')} IS NOT NULL) WHERE rn = 1)
 SELECT p.row_key, coalesce(CASE WHEN {S.positive_id('p.custom_id')} > 0 THEN {S.positive_id('p.custom_id')} END,
                            a1.custom_id, 0) AS custom_id
 FROM fx_prospects p LEFT JOIN a1 ON a1.account_name = p.company""")

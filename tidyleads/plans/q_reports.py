@@ -21,14 +21,14 @@ THRESHOLD = 3
 def _dist_acc(id_expr: str, name_expr: str, cond: str = "true") -> str:
     return (f"CASE WHEN max(CASE WHEN {cond} THEN greatest({id_expr}, 0) END) > 0 "
             f"THEN count(DISTINCT CASE WHEN {cond} AND {id_expr} > 0 THEN {id_expr} END) "
-            f"ELSE count(DISTINCT CASE WHEN {cond} THEN trim({name_expr}) END) END")
+            f"ELSE count(DISTINCT CASE WHEN {cond} THEN {S.trimmed(name_expr)} END) END")
 
 
 @register("coverage_report", sql_with("fx_accounts", "fx_prospects") + ACC_SQL + PRO_SQL + f"""
 , pstats AS (
   SELECT count(*) AS prospects_found,
-         count(DISTINCT nullif(trim(email), '')) AS prospects_with_emails,
-         count(DISTINCT nullif(trim(linkedin_url), '')) AS prospects_with_linkedin,
+         count(DISTINCT nullif({S.trimmed('email')}, '')) AS prospects_with_emails,
+         count(DISTINCT nullif({S.trimmed('linkedin_url')}, '')) AS prospects_with_linkedin,
          {_dist_acc('custom_id', 'company')} AS accounts_with_prospects
   FROM pro),
 c AS (SELECT custom_id, count(*) AS n FROM pro WHERE custom_id > 0 GROUP BY custom_id),
@@ -96,16 +96,26 @@ def q_tag_value_counts(spark, sf):
     return report.value_counts(fixture(spark, sf, "fx_accounts"), "tags")
 
 
-@register("distinct_contacts", sql_with("fx_prospects") + """
-SELECT count(DISTINCT nullif(trim(email), '')) AS n_email,
-       count(DISTINCT nullif(trim(linkedin_url), '')) AS n_linkedin_url,
+@register("distinct_contacts", sql_with("fx_prospects") + f"""
+SELECT count(DISTINCT nullif({S.trimmed('email')}, '')) AS n_email,
+       count(DISTINCT nullif({S.trimmed('linkedin_url')}, '')) AS n_linkedin_url,
        count(DISTINCT custom_id) AS n_custom_id
 FROM fx_prospects""")
 def q_distinct_contacts(spark, sf):
     p = fixture(spark, sf, "fx_prospects")
-    return p.agg(F.count_distinct(report.nonblank("email")).alias("n_email"),
-                 F.count_distinct(report.nonblank("linkedin_url")).alias("n_linkedin_url"),
-                 F.count_distinct("custom_id").alias("n_custom_id"))
+    return report.distinct_values(p, {"n_email": report.nonblank("email"), "n_linkedin_url": report.nonblank("linkedin_url"), "n_custom_id": F.col("custom_id")})
+
+
+@register("distinct_nonblank", sql_with("fx_prospects") + f"""
+SELECT count(DISTINCT nullif({S.trimmed('city')}, '')) AS n_city, count(DISTINCT nullif({S.trimmed('country')}, '')) AS n_country FROM fx_prospects""")
+def q_distinct_nonblank(spark, sf):
+    return report.distinct_nonblank(fixture(spark, sf, "fx_prospects"), "city", "country")
+
+
+@register("distinct_count", sql_with("fx_prospects") + """
+SELECT count(DISTINCT email) AS n_email, count(DISTINCT company) AS n_company, count(DISTINCT zip) AS n_zip FROM fx_prospects""")
+def q_distinct_count(spark, sf):
+    return report.distinct_count(fixture(spark, sf, "fx_prospects"), "email", "company", "zip")
 
 
 @register("distinct_accounts", sql_with("fx_prospects") + PRO_SQL + f"""
@@ -133,7 +143,7 @@ def q_row_audit(spark, sf):
 _DECISIVE_SQL = ("CASE f.gender_class WHEN 'male' THEN 'Male' WHEN 'mostly_male' THEN 'Male' "
                  "WHEN 'female' THEN 'Female' WHEN 'mostly_female' THEN 'Female' END")
 _GENDER_SQL = f"""
-, nm AS (SELECT row_key, gender, trim({S.title_case('first_name')}) AS n FROM fx_prospects),
+, nm AS (SELECT row_key, gender, {S.trimmed(S.title_case('first_name'))} AS n FROM fx_prospects),
 parts AS (SELECT row_key, unnest(string_split(n, '-')) AS part,
                  unnest(range(1, len(string_split(n, '-')) + 1)) AS pos
           FROM nm WHERE NOT {S.is_blank('n')}),
@@ -251,7 +261,7 @@ def _without_scores(v):
 _RULES_SQL = _GENDER_SQL + f"""
 , t AS (SELECT *, {S.title_case('first_name')} AS fn1, {S.title_case('last_name')} AS ln1 FROM fx_prospects)
 , k AS (SELECT row_key, CASE WHEN NOT {S.is_blank('fn1')} AND NOT {S.is_blank('ln1')}
-               THEN lower(trim(fn1)) || '_' || lower(trim(ln1)) END AS key FROM t)
+               THEN lower({S.trimmed('fn1')}) || '_' || lower({S.trimmed('ln1')}) END AS key FROM t)
 , twice AS (SELECT key FROM k WHERE key IS NOT NULL GROUP BY key HAVING count(*) > 1)
 , r AS (SELECT t.row_key, t.vendor, pg.plausible_gender,
         CASE WHEN t.vendor = 'Z' THEN pg.plausible_gender ELSE {S.normalise_gender('t.gender')} END AS gender,

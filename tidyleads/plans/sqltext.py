@@ -68,13 +68,13 @@ def strip_words(x: str, words=None) -> str:
 
 
 def valid_url(x: str) -> str:
-    t = f"trim({x})"
+    t = trimmed(x)
     return (f"({t} IS NOT NULL AND {t} <> '' AND {t} <> '#' AND {t} <> 'None' "
             f"AND lower({t}) <> 'nan')")
 
 
 def url_host(x: str) -> str:
-    return (f"regexp_replace(split_part(regexp_replace(lower(trim({x})), '^https?://', ''), '/', 1), "
+    return (f"regexp_replace(split_part(regexp_replace(lower({trimmed(x)}), '^https?://', ''), '/', 1), "
             f"'^www[0-9]*\\.', '')")
 
 
@@ -104,7 +104,7 @@ def bad_country(a: str, b: str) -> str:
 
 
 def normalise_gender(x: str) -> str:
-    g = f"lower(trim({x}))"
+    g = f"lower({trimmed(x)})"
     return f"(CASE WHEN {g} = 'male' THEN 'Male' WHEN {g} = 'female' THEN 'Female' ELSE 'Unknown' END)"
 
 
@@ -114,7 +114,7 @@ def gender_issue(g: str, p: str) -> str:
 
 
 def phone_plus(x: str) -> str:
-    s = f"replace(trim({x}), ' ', '')"
+    s = f"replace({trimmed(x)}, ' ', '')"
     return f"(CASE WHEN regexp_full_match({s}, '[0-9]+') THEN '+' || {s} ELSE {x} END)"
 
 

@@ -1,13 +1,16 @@
 """Sources and sinks: delimited / parquet tables under explicit schemas.
 
-Header discovery and delimiter sniffing read at most a few lines of the first
-file on the driver (plan-time metadata, like a schema); the scan itself is a
-normal parallel ``spark.read`` over all files.
+Header discovery reads at most a few lines of each file on the driver (plan-time
+metadata, like a schema); the scan itself is a normal parallel ``spark.read`` over all files.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import csv
+import json
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,17 +19,10 @@ def string_schema(names: list[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
 
 
-def _head_lines(spark: SparkSession, path: str, n: int) -> list[str]:
-    """First ``n`` lines of the first file (a bounded driver read)."""
-    rows = spark.read.option("lineSep", "\n").text(path).limit(n).collect()
-    return [r.value.lstrip("﻿").rstrip("\r") for r in rows]
-
-
 def sniff_delimiter(spark: SparkSession, path: str) -> str:
     """';' when it outnumbers ',' in the first line, else ','."""
-    head = _head_lines(spark, path, 1)
-    line = head[0] if head else ""
-    return ";" if line.count(";") > line.count(",") else ","
+    rows = spark.read.option("lineSep", "\n").text(path).limit(1).collect()
+    return _delimiter(rows[0].value) if rows else ","
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "csv", columns: list[str] | None = None,
@@ -54,58 +50,99 @@ def read_table(spark: SparkSession, path: str, fmt: str = "csv", columns: list[s
     return df.select(*[F.col(f"`{c}`") for c in columns])
 
 
-def find_header(lines: list[str], required: list[str], sep: str) -> int:
-    """Index of the first line whose cells (trimmed) contain every required
-    name; raises when none of the scanned lines does."""
-    import csv
-    for i, row in enumerate(csv.reader(lines, delimiter=sep)):
-        cells = {c.strip() for c in row}
-        if all(r in cells for r in required):
-            return i
-    raise ValueError(f"could not find a header row with {required} in the first {len(lines)} lines")
+def head_lines(spark: SparkSession, path: str, n: int) -> dict[str, list[str]]:
+    """The first ``n`` lines of every file under a path.  Only the blocks that begin a file are
+    looked at, and only n lines a file come to the driver (as the listing of the files does)."""
+    lines = (spark.read.option("lineSep", "\n").text(path)
+             .select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+             .where(F.col("block") == 0).select("file", "value", F.monotonically_increasing_id().alias("line")))
+    first = lines.withColumn("n", F.row_number().over(Window.partitionBy("file").orderBy("line"))).where(F.col("n") <= n)
+    out: dict[str, list[str]] = {}
+    for r in first.orderBy("file", "n").collect():
+        out.setdefault(r["file"], []).append(r["value"].lstrip("\ufeff").rstrip("\r"))
+    return out
+
+
+def _cells(line: str, sep: str) -> list[str]:
+    return [" ".join(c.split()) for c in next(csv.reader([line], delimiter=sep), [])]
+
+
+def _delimiter(line: str) -> str:
+    return ";" if line.count(";") > line.count(",") else ","
+
+
+def _by_header(heads: dict[str, list[str]], header_at, sep: str | None) -> dict[tuple, list[str]]:
+    """(delimiter, column names) -> files."""
+    groups: dict[tuple, list[str]] = {}
+    for file, lines in heads.items():
+        at, used = header_at(file, lines)
+        names = _cells(lines[at], used)
+        # a cell without a name, or whose name was there, cannot be asked for
+        names = [c if c and c not in names[:i] else f"_c{i}" for i, c in enumerate(names)]
+        groups.setdefault((used, tuple(names)), []).append(file)
+    return groups
+
+
+def _scan(spark: SparkSession, files: list[str], names: tuple, sep: str) -> DataFrame:
+    return (spark.read.option("header", False).option("sep", sep).option("quote", '"').option("escape", '"')
+            .option("ignoreLeadingWhiteSpace", False).schema(string_schema(list(names))).csv(files)
+            .withColumn("_file", F.col("_metadata.file_path")))
 
 
 def read_with_preamble(spark: SparkSession, path: str, required: list[str], id_col: str,
                        max_scan: int = 10, sep: str | None = None) -> DataFrame:
-    """Delimited table whose header sits below a preamble.
+    """Delimited files, each with a preamble and a header of its own.
 
-    The driver scans at most ``max_scan`` lines to find the header and build
-    an explicit all-string schema; the full scan runs without header in
-    parallel, and rows whose ``id_col`` is not numeric (preamble, header,
-    notes, blanks) are dropped."""
-    import csv
-    sep = sep or sniff_delimiter(spark, path)
-    lines = _head_lines(spark, path, max_scan)
-    idx = find_header(lines, required, sep)
-    names = [c.strip() for c in next(csv.reader([lines[idx]], delimiter=sep))]
-    df = (spark.read.option("header", False).option("sep", sep).option("quote", '"').option("escape", '"')
-          .schema(string_schema(names)).csv(path))
+    The header of every file is found in its first ``max_scan`` lines (the first line whose cells,
+    trimmed, hold every required name; a file without one raises).  Files are then read by
+    header, in parallel and without header, and united by column name, so neither the length
+    of a preamble nor the order of columns need agree.  Rows whose ``id_col`` is not numeric
+    (preamble, header, notes, blanks) are dropped."""
     from ..functions.values import is_numeric
-    return df.where(is_numeric(F.col(f"`{id_col}`")))
+
+    def header_at(file, lines):
+        tried = [sep] if sep else [",", ";", "\t"]
+        for i, line in enumerate(lines):
+            for used in tried:
+                if set(required) <= set(_cells(line, used)):
+                    return i, used
+        raise ValueError(f"could not find a header row with {required} in the first {len(lines)} lines of {file}")
+    out = None
+    for (used, names), files in sorted(_by_header(head_lines(spark, path, max_scan), header_at, sep).items()):
+        part = _scan(spark, files, names, used).where(is_numeric(F.col(f"`{id_col}`"))).drop("_file")
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    if out is None:
+        raise ValueError(f"{path} has no lines")
+    return out
 
 
 def read_fixed_preamble(spark: SparkSession, path: str, skip: int = 6, sep: str | None = None) -> DataFrame:
-    """Delimited table with ``skip`` preamble lines, then the header.  No
-    numeric ID is guaranteed here, so rows equal to one of the first
-    ``skip + 1`` lines are dropped after the parallel scan."""
-    import csv
-    sep = sep or sniff_delimiter(spark, path)
-    lines = _head_lines(spark, path, skip + 1)
-    if len(lines) <= skip:
+    """Delimited files with ``skip`` preamble lines, then the header, united by column name.  No
+    numeric ID is guaranteed here, so the rows of a file that equal one of its own first ``skip + 1``
+    lines, cell by cell, are dropped after the parallel scan (by one join on file and cells)."""
+    heads = head_lines(spark, path, skip + 1)
+
+    def header_at(file, lines):
+        if len(lines) <= skip:
+            raise ValueError(f"no header row after the preamble of {file}")
+        return skip, sep or _delimiter(lines[skip])
+    out = None
+    for (used, names), files in sorted(_by_header(heads, header_at, sep).items()):
+        cells = F.xxhash64(*[F.coalesce(F.col(f"`{n}`"), F.lit("")) for n in names])
+        lines = spark.createDataFrame([(f, x) for f in files for x in heads[f]], "_file string, line string")
+        # the preamble's lines are parsed as the scan parses them
+        parsed = lines.select("_file", F.from_csv("line", _ddl(names), {"sep": used, "quote": '"', "escape": '"'}).alias("r"))
+        drop = parsed.select("_file", "r.*").select("_file", cells.alias("_cells")).distinct()
+        part = _scan(spark, files, names, used).withColumn("_cells", cells)
+        part = part.join(drop, ["_file", "_cells"], "left_anti").drop("_file", "_cells")
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    if out is None:
         raise ValueError("no header row after the preamble")
-    names = [c.strip() for c in next(csv.reader([lines[skip]], delimiter=sep))]
-    df = (spark.read.option("header", False).option("sep", sep).option("quote", '"').option("escape", '"')
-          .schema(string_schema(names)).csv(path))
-    head_rows = [next(csv.reader([ln], delimiter=sep), []) for ln in lines]
-    cond = F.lit(False)
-    for row in head_rows:
-        cells = (row + [None] * len(names))[:len(names)]
-        match = F.lit(True)
-        for n, v in zip(names, cells):
-            c = F.col(f"`{n}`")
-            match = match & (c.isNull() if v in (None, "") else (c == v))
-        cond = cond | match
-    return df.where(~cond)
+    return out
+
+
+def _ddl(names) -> str:
+    return ", ".join("`" + n.replace("`", "``") + "` string" for n in names)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -129,8 +166,13 @@ def read_optional(spark: SparkSession, path: str, schema: T.StructType, fmt: str
                       else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
-    """Table sink (a directory of part files; CSV with header, no index)."""
+def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite", sort_by: list[str] = ()) -> None:
+    """Table sink (a directory of part files; CSV with header, no index).  With ``sort_by`` (those
+    columns that the table has) rows are dealt by sampled ranges and sorted inside each, ascending and
+    nulls last, so the part files in the order of their names hold the rows in order."""
+    keys = [F.col(f"`{c}`").asc_nulls_last() for c in sort_by if c in df.columns]
+    if keys:
+        df = df.orderBy(*keys)
     w = df.write.mode(mode)
     if fmt == "csv":
         w.option("header", True).csv(path)
@@ -145,16 +187,69 @@ def stage(df: DataFrame, staging_path: str) -> DataFrame:
     return df.sparkSession.read.parquet(staging_path)
 
 
-def publish(tables: dict[str, DataFrame], base: str, fmt: str = "parquet") -> dict[str, str]:
-    """A workbook of named sheets becomes one table directory per sheet."""
+MANIFEST = "MANIFEST.json"
+
+
+def _file_context(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def published(spark: SparkSession, base: str) -> dict | None:
+    """The manifest of the current version under ``base``: {"version", "format", "tables": {name: path}}."""
+    path = f"{base}/{MANIFEST}"
+    if not path_exists(spark, path):
+        return None
+    text = "\n".join(r.value for r in spark.read.text(path).collect())  # one small file
+    return json.loads(text)
+
+
+def publish(tables: dict[str, DataFrame], base: str, fmt: str = "parquet",
+            sort_by: dict[str, list[str]] | None = None) -> dict[str, str]:
+    """A workbook of named sheets becomes one table directory per sheet, all of them or none.
+
+    Every call writes a new version folder; readers go by the manifest, which is switched to
+    the new version last, by one atomic rename.  A job that is lost half-way leaves the old
+    manifest and the old tables as they are; earlier versions are kept.  ``sort_by`` gives
+    the sort columns of a table."""
+    spark = next(iter(tables.values())).sparkSession
+    now = published(spark, base)
+    version = (now["version"] if now else 0) + 1
+    folder = f"{base}/v{version:06d}-{uuid.uuid4().hex[:8]}"  # two writers never share a folder
     out = {}
     for name, df in tables.items():
-        path = f"{base}/{name.replace(' ', '_').lower()}"
-        write_table(df, path, fmt)
+        path = f"{folder}/{name.replace(' ', '_').lower()}"
+        write_table(df, path, fmt, mode="errorifexists", sort_by=(sort_by or {}).get(name, ()))
         out[name] = path
+    _switch(spark, base, json.dumps({"version": version, "format": fmt, "tables": out}))
     return out
 
 
+def _switch(spark: SparkSession, base: str, text: str) -> None:
+    jvm = spark.sparkContext._jvm
+    fresh, context = _file_context(spark, f"{base}/.{MANIFEST}.{uuid.uuid4().hex}")
+    fs = fresh.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    stream = fs.create(fresh)
+    try:
+        stream.write(bytearray(text.encode("utf-8")))
+    finally:
+        stream.close()
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    overwrite = spark.sparkContext._gateway.new_array(rename, 1)
+    overwrite[0] = rename.OVERWRITE
+    context.rename(fresh, jvm.org.apache.hadoop.fs.Path(f"{base}/{MANIFEST}"), overwrite)
+
+
+def read_published(spark: SparkSession, base: str, name: str) -> DataFrame:
+    """A table of the current version."""
+    now = published(spark, base)
+    if now is None or name not in now["tables"]:
+        raise ValueError(f"no table {name!r} is published under {base}")
+    path = now["tables"][name]
+    return read_table(spark, path, sep=",") if now["format"] == "csv" else spark.read.parquet(path)
+
+
 def emails(df: DataFrame, col: str = "email") -> DataFrame:
     """E-mail export: the e-mail column of every row (no dedup)."""
     return df.select(F.col(col).alias("email"))
