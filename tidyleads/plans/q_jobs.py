@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import link
+from ..operators import link, report
 from ..session import cut_lineage
 from . import jobs
 from . import sqltext as S
@@ -87,3 +87,32 @@ def _upload_checks_sql():
 @register("upload_checks", sql_with("fx_prospects") + _upload_checks_sql())
 def q_upload_checks(spark, sf):
     return jobs.upload_checks(_upload(spark, sf))
+
+
+@register("upload_pairs", sql_with("fx_prospects") + """
+SELECT 'ID or name' AS "check", true AS first, false AS second, true AS proceed
+UNION ALL SELECT 'email or phone', count(email) > 0, count(work_phone) > 0, count(email) > 0 OR count(work_phone) > 0 FROM fx_prospects""")
+def q_upload_pairs(spark, sf):
+    return jobs.upload_pairs(_upload(spark, sf))
+
+
+@register("deliverable_labelled", sql_with("fx_accounts", "fx_prospects", "fx_edits") + ACC_SQL + PRO_SQL + _ACC_FIRST_BY_ID + f"""
+, s AS (SELECT 'P' || CAST(p.row_key AS VARCHAR) AS prospect_id, p.source, a1.tags
+        FROM pro p LEFT JOIN a1 ON a1.custom_id = (CASE WHEN p.custom_id > 0 THEN p.custom_id END))
+SELECT e.prospect_id, CASE WHEN {S.is_blank('coalesce(e.source, s.source)')} THEN 'ZoomInfo' ELSE coalesce(e.source, s.source) END AS source
+FROM fx_edits e LEFT JOIN s ON s.prospect_id = e.prospect_id
+WHERE {S.null_if_missing('s.tags')} IS NOT NULL""")
+def q_deliverable_labelled(spark, sf):
+    """J-9: rows without a source take the vendor's label."""
+    found = jobs.deliverable(fixture(spark, sf, "fx_edits"), _sample(spark, sf), label=jobs.ZOOMINFO.label, unique=True)
+    return found.select("prospect_id", "source")
+
+
+@register("repeated_tags", sql_with("fx_accounts", "fx_prospects") + ACC_SQL + PRO_SQL + f"""
+, linked AS (SELECT p.row_key, a.tags FROM pro p JOIN acc a ON a.account_name = p.company AND {S.null_if_missing('p.company')} IS NOT NULL)
+SELECT row_key, count(*) AS rows, count(DISTINCT tags) AS values FROM linked GROUP BY row_key HAVING count(*) > 1""")
+def q_repeated_tags(spark, sf):
+    """J-10: prospects that several accounts of their name tag."""
+    p = prospects_typed(spark, sf).select("row_key", "company")
+    linked = link.link_accounts(p, accounts_typed(spark, sf), on="company", dedupe=False)
+    return report.repeated_keys(linked, "row_key", "tags")

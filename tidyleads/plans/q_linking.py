@@ -9,7 +9,7 @@ from ..functions import geo
 from ..functions.values import is_blank, to_long0
 from ..operators import columns as cols
 from ..operators import link, report
-from ..operators.identity import flag_duplicates
+from ..operators.identity import flag_duplicates, range_index
 from . import sqltext as S
 from .catalogue import register
 from .fixtures import fixture, sql_with
@@ -221,3 +221,37 @@ def q_insufficient_accounts(spark, sf):
     a = accounts_typed(spark, sf).select("row_key", "custom_id", "account_name", "tags")
     p = prospects_typed(spark, sf).select("custom_id", F.col("company").alias("account_name"))
     return report.insufficient_accounts(a, p, ENOUGH)
+
+
+@register("accounts_in_order", sql_with("fx_accounts") + """
+SELECT row_key, row_number() OVER (ORDER BY tags NULLS LAST, account_name NULLS LAST, row_key) AS position FROM fx_accounts""")
+def q_accounts_in_order(spark, sf):
+    """O-1: each account's place in the sorted output, by sampled ranges."""
+    a = fixture(spark, sf, "fx_accounts").select("row_key", "tags", "account_name")
+    order = [F.col(c).asc_nulls_last() for c in ("tags", "account_name", "row_key")]
+    return range_index(a, order, name="position").select("row_key", "position")
+
+
+@register("required_contacts", sql_with("fx_prospects") + """
+SELECT row_key, email, contact_status FROM fx_prospects
+WHERE contact_status = 'Verified' AND email IS NOT NULL AND custom_id IS NOT NULL""")
+def q_required_contacts(spark, sf):
+    """P-8, P-9: verified rows with an e-mail and an ID."""
+    p = cols.where_equals(fixture(spark, sf, "fx_prospects"), "contact_status", "Verified")
+    return cols.require(p, ["email", "custom_id"]).select("row_key", "email", "contact_status")
+
+
+@register("prefixed", sql_with("fx_prospects") + """
+SELECT row_key, linkedin_url FROM fx_prospects WHERE starts_with(linkedin_url, 'https://')""")
+def q_prefixed(spark, sf):
+    """P-11."""
+    return cols.with_prefix(fixture(spark, sf, "fx_prospects"), "linkedin_url", "https://").select("row_key", "linkedin_url")
+
+
+@register("defaulted_source", sql_with("fx_prospects") + f"""
+SELECT row_key, CASE WHEN {S.is_blank('source')} THEN 'Outreach' ELSE source END AS source, CAST(NULL AS VARCHAR) AS fax, 'n/a' AS segment
+FROM fx_prospects""")
+def q_defaulted_source(spark, sf):
+    """P-4, P-14: missing columns with a constant, blank sources with a label."""
+    p = cols.ensure_columns(fixture(spark, sf, "fx_prospects"), {"fax": None, "segment": "n/a", "email": "never used"})
+    return cols.default_source(p, "Outreach").select("row_key", "source", "fax", "segment")
