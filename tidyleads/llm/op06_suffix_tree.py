@@ -254,7 +254,7 @@ def probabilities(levels: list[DataFrame], min_kl: float, least: int) -> list[Da
 
 def looked_up(asked: DataFrame, tables: list[DataFrame]) -> DataFrame:
     """(block, g, p) of asked grams (block, g): those of the training texts by one join, others through the shorter states."""
-    found = materialize(asked.join(tables[-1].select("g", "p"), "g", "left").select("block", "g", "p"))
+    found = materialize(asked.join(tables[-1].select("g", "p"), "g", "left").select("block", "g", F.col("p").cast("float").alias("p")))
     new = materialize(found.where("p is null").select("g").distinct())
     root = [r.p for r in sorted(tables[0].collect(), key=lambda r: r.g)]
     p = new.select("g", F.element_at(F.array(*map(F.lit, root)), (F.col("g").bitwiseAND(F.lit(SIZE - 1)) + 1).cast("int")).alias("p"))
@@ -263,32 +263,32 @@ def looked_up(asked: DataFrame, tables: list[DataFrame]) -> DataFrame:
         left = level.where("back < 1").select(F.shiftright("g", BITS).alias("ctx"), "back").distinct()
         p = p.join(level.select(F.col("g").alias("s"), F.col("p").alias("seen")), "s", "left").join(left, "ctx", "left")
         p = p.select("g", F.coalesce("seen", F.col("p") * F.coalesce("back", F.lit(1.0))).alias("p"))
-    return found.where("p is not null").unionByName(found.where("p is null").drop("p").join(p, "g"))
+    return found.where("p is not null").unionByName(found.where("p is null").drop("p").join(p.select("g", F.col("p").cast("float").alias("p")), "g"))
 
 
 def blocked(docs: DataFrame) -> DataFrame:
-    """Blocks of documents: block, rids, ids (int64 arrays), nulls (a byte for each id), sizes, z."""
+    """Blocks of documents: block, ids (int64 array), nulls (a byte for each id), sizes, z."""
     def run(batches):
         zip_ = zstandard.ZstdCompressor(level=3)
 
         def row(parts):
-            rids, ids, texts = ([x for p in parts for x in p[i]] for i in range(3))
-            return pd.DataFrame({"rids": [np.array(rids, np.int64).tobytes()], "ids": [np.array([0 if i is None else i for i in ids], np.int64).tobytes()],
+            ids, texts = ([x for p in parts for x in p[i]] for i in range(2))
+            return pd.DataFrame({"ids": [np.array([0 if i is None else i for i in ids], np.int64).tobytes()],
                                  "nulls": [np.array([i is None for i in ids], np.uint8).tobytes()],
                                  "sizes": [np.array([len(t) for t in texts], np.int64).tobytes()], "z": [zip_.compress(b"".join(texts))]})
         parts, size, n = [], 0, 0
         for pdf in split(batches, 500):
             texts, ids = encoded(pdf["text"]), [None if i is None else int(i) for i in pdf["id"]]
             for a, b in byte_chunks(texts, CHUNK):
-                parts.append((pdf["rid"].to_numpy()[a:b], ids[a:b], texts[a:b]))
+                parts.append((ids[a:b], texts[a:b]))
                 size, n = size + sum(map(len, texts[a:b])), n + b - a
                 if size >= BLOCK or n >= BLOCK_DOCS:
                     yield row(parts)
                     parts, size, n = [], 0, 0
         if parts:
             yield row(parts)
-    rows = docs.select(F.col("doc_id").cast("string").alias("id"), "text", F.monotonically_increasing_id().alias("rid")).mapInPandas(
-        run, "rids binary, ids binary, nulls binary, sizes binary, z binary")
+    rows = docs.select(F.col("doc_id").cast("string").alias("id"), "text").mapInPandas(
+        run, "ids binary, nulls binary, sizes binary, z binary")
     return materialize(rows.select(F.monotonically_increasing_id().alias("block"), "*"))
 
 
@@ -299,6 +299,16 @@ def _texts(row) -> list[bytes]:
     return [data[a:b] for a, b in zip(ends[:-1], ends[1:])]
 
 
+def _found(keys, counts, h: np.ndarray) -> np.ndarray:
+    """Counts of hashes among packed sorted keys (0 where they are not)."""
+    out = np.zeros(len(h), dtype=np.int64)
+    if keys is not None and len(h):
+        keys, counts = np.frombuffer(keys, dtype=np.int64), np.frombuffer(counts, dtype=np.int64)
+        at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
+        out[:] = np.where(keys[at] == h, counts[at], 0)
+    return out
+
+
 def score_documents(docs: DataFrame, held: int = 2, folds: int = 7, depth: int = DEPTH, p_min: float = P_MIN,
                     min_kl: float = MIN_KL, heavy: float = HEAVY, share: float = MIX, least: int = LEAST) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
@@ -342,10 +352,28 @@ def score_documents(docs: DataFrame, held: int = 2, folds: int = 7, depth: int =
     asked = blocks.select("block", "sizes", "z").mapInPandas(ask, "block long, g long")
     rare = looked_up(asked, probabilities(levels, min_kl, least)).groupBy("block").applyInPandas(packed, "block long, g binary, lp binary")
 
+    def ask_words(batches):
+        often = sent.value[2]
+        for pdf in batches:
+            for r in pdf.itertuples():
+                texts = _texts(r)
+                h = [np.unique(word_hashes(texts[a:b])[0]) for a, b in byte_chunks(texts, CHUNK)]
+                h = np.unique(np.concatenate(h)).view(np.int64) if h else np.empty(0, np.int64)
+                h = h[~np.isin(h, often)]
+                yield pd.DataFrame({"block": np.full(len(h), r.block, dtype=np.int64), "h": h})
+
+    def packed_words(pdf):
+        pdf = pdf.sort_values("h")
+        return pd.DataFrame({"block": pdf["block"].iloc[:1], "h": [pdf["h"].to_numpy(np.int64).tobytes()], "c": [pdf["c"].to_numpy(np.int64).tobytes()]})
+    # each block asks once for each of its words; what the training texts lack stays away, as count 0
+    seldom = words.where(F.col("c") < max(1.0, heavy * n))
+    counts = (blocks.select("block", "sizes", "z").mapInPandas(ask_words, "block long, h long").join(seldom, "h")
+              .select("block", "h", "c").groupBy("block").applyInPandas(packed_words, "block long, h binary, c binary"))
+
     def run(batches):
         tree, code, often, often_p = sent.value
         for r in (r for pdf in batches for r in pdf.itertuples()):
-            texts, rids = _texts(r), np.frombuffer(r.rids, dtype=np.int64)
+            texts = _texts(r)
             doc_ids = pd.arrays.IntegerArray(np.frombuffer(r.ids, dtype=np.int64), np.frombuffer(r.nulls, dtype=bool))
             for a, b in byte_chunks(texts, CHUNK):
                 x, begin = _symbols(texts[a:b], code, depth)
@@ -366,31 +394,18 @@ def score_documents(docs: DataFrame, held: int = 2, folds: int = 7, depth: int =
                 empty[size == 0] = np.log10(share * end_p + (1 - share) * 10 ** word[~full])
                 doc, last = np.repeat(np.arange(b - a), size), np.ones(len(h))
                 last[first[1:][size > 0] - 1] = end_p
+                c = _found(r.h, r.c, h)
+                p = (c + 1) / norm
                 i = np.minimum(np.searchsorted(often, h), max(len(often) - 1, 0))
-                known = often[i] == h if len(often) else np.zeros(len(h), dtype=bool)
-                p = often_p[i[known]] if len(often) else np.empty(0)
-                score = empty + np.bincount(doc[known], np.log10(share * p * last[known] + (1 - share) * tree_p[known]), minlength=b - a)
-                rid, ids = rids[a:b], doc_ids[a:b]
-                yield pd.DataFrame({"rid": rid, "doc_id": ids, "h": rid * np.int64(0x5851F42D4C957F2D), "tree_p": np.float32(0), "last": False, "tf": 0,
-                                    "n_tokens": size + 1, "known": np.bincount(doc[known], minlength=b - a),
-                                    "base": np.bincount(doc[known], np.log10(p), minlength=b - a), "score": score})
-                far = ~known
-                if far.any():
-                    yield pd.DataFrame({"rid": rid[doc[far]], "doc_id": pd.array([None] * int(far.sum()), dtype="Int64"), "h": h[far],
-                                        "tree_p": np.log10(tree_p[far]).astype(np.float32), "last": last[far] < 1, "tf": 1,
-                                        "n_tokens": 0, "known": 0, "base": 0.0, "score": 0.0})
-
-    rows = blocks.select("block", "rids", "ids", "nulls", "sizes", "z").join(rare, "block", "left").mapInPandas(
-        run, "rid long, doc_id long, h long, tree_p float, last boolean, tf int, n_tokens int, known int, base double, score double")
-    seldom = words.where(F.col("c") < max(1.0, heavy * n))
-    part = rows.join(seldom, "h", "left")
-    p = (F.coalesce("c", F.lit(0)) + 1) / F.lit(float(norm))
-    word = share * p * F.when(F.col("last"), end_p).otherwise(1.0) + (1 - share) * F.pow(F.lit(10.0), F.col("tree_p").cast("double"))
-    out = part.groupBy("rid").agg(
-        F.max("doc_id").alias("doc_id"), F.sum("n_tokens").alias("n_tokens"),
-        F.sum(F.col("known") + F.when(F.col("c").isNotNull(), F.col("tf")).otherwise(0)).alias("n_known"),
-        F.sum(F.when(F.col("tf") > 0, F.log10(p)).otherwise(F.col("base"))).alias("base"),
-        F.sum(F.when(F.col("tf") > 0, F.log10(word)).otherwise(F.col("score"))).alias("score"))
+                frequent = often[i] == h if len(often) else np.zeros(len(h), dtype=bool)
+                if frequent.any():
+                    p[frequent] = often_p[i[frequent]]
+                score = empty + np.bincount(doc, np.log10(share * p * last + (1 - share) * tree_p), minlength=b - a)
+                yield pd.DataFrame({"doc_id": doc_ids[a:b], "n_tokens": size + 1, "n_known": np.bincount(doc[frequent | (c > 0)], minlength=b - a),
+                                    "base": np.bincount(doc, np.log10(p), minlength=b - a), "score": score})
+
+    out = blocks.select("block", "ids", "nulls", "sizes", "z").join(rare, "block", "left").join(counts, "block", "left").mapInPandas(
+        run, "doc_id long, n_tokens long, n_known long, base double, score double")
     end = float(np.log10(end_p))
     return out.select("doc_id", (id_bucket("doc_id", folds) == held).alias("held_out"), "n_tokens",
                       (F.col("n_known") + int(ends > 0)).cast("long").alias("n_known"), F.lit(int(n)).cast("long").alias("train_tokens"),
