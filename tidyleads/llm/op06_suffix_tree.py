@@ -17,7 +17,7 @@ length), are an automaton in the tasks, which gives the same probabilities as th
 positions whose whole context is frequent.  Of all others, each block's distinct grams are joined
 with the tables (`looked_up`).  The base score's word
 counts: words above `HEAVY` of all tokens (at most 1 / HEAVY of them) are looked
-up in tasks, all others by a join on the word.
+up in tasks; of all others, each block's distinct words are joined with the counts.
 
 Null text is empty (one end token); a null doc_id hashes as 'null'; repeated
 rows count as often as they occur; with no training rows all scores come from uniform
@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import _SPACE, Counts, byte_chunks, encoded, id_bucket, materialize, spans, split, word_hashes
+from .common import _SPACE, Counts, byte_chunks, encoded, id_bucket, materialize as _materialize, spans, split, word_hashes
 
 DEPTH, P_MIN, MIN_KL, HEAVY, MIX = 5, 1e-5, 0.02, 1e-5, 0.4
 BITS = 6
@@ -252,6 +252,14 @@ def probabilities(levels: list[DataFrame], min_kl: float, least: int) -> list[Da
     return out
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """A written table; the shuffle files of the job that made it, which nothing reads any more, are
+    given back (Spark's cleaner removes them once the driver's heap has been collected)."""
+    out = _materialize(df)
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return out
+
+
 def looked_up(asked: DataFrame, tables: list[DataFrame]) -> DataFrame:
     """(block, g, p) of asked grams (block, g): those of the training texts by one join, others through the shorter states."""
     found = materialize(asked.join(tables[-1].select("g", "p"), "g", "left").select("block", "g", F.col("p").cast("float").alias("p")))
