@@ -7,6 +7,7 @@ from collections import Counter
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from tidyleads.llm import op01_quality, op04_toxicity, op06_suffix_tree
 
@@ -134,7 +135,7 @@ def test_base_scores_and_gain(spark, mid):
 
 
 def test_longest_suffix_and_smoothing(spark):
-    """The automaton against suffixes looked up one by one; rows are distributions."""
+    """The tables against suffixes looked up one by one, also of grams never seen; distributions sum to 1."""
     rng = random.Random(6)
     texts = [" ".join(rng.choice(["aba", "ab", "cab", "x", "Yé"]) for _ in range(rng.randrange(30))) for _ in range(80)] + ["", None]
     code = np.full(256, op06_suffix_tree.OTHER, dtype=np.uint8)
@@ -143,8 +144,7 @@ def test_longest_suffix_and_smoothing(spark):
     depth, encoded = 3, [(t or "").encode() for t in texts]
     grams = op06_suffix_tree.gram_table(spark.createDataFrame([(t,) for t in texts], "text string"), code, depth)
     total = sum(r.c for r in grams.collect())
-    tree = op06_suffix_tree.learn(grams, total, depth, 0.002, 0.01)
-    assert np.allclose((10 ** tree.logp.astype(float)).reshape(-1, op06_suffix_tree.SIZE).sum(1), 1, atol=1e-4) and tree.kept > 5
+    tables = op06_suffix_tree.probabilities(op06_suffix_tree.shorter(grams, depth), 0.01, 2)
     stream, begin = op06_suffix_tree._symbols(encoded, code, depth)
     seqs = []
     for t in encoded:
@@ -168,16 +168,76 @@ def test_longest_suffix_and_smoothing(spark):
     for d in range(1, depth + 1):
         for ctx, c in counts[d].items():
             n = sum(c.values())
-            if n >= 0.002 * total:
+            if n >= 2:
                 up = prob[state(ctx[1:])]
                 if sum(k / n * math.log(k / n / up[x]) for x, k in c.items()) >= 0.01:
                     prob[ctx] = {x: (c[x] + len(c) * up[x]) / (n + len(c)) for x in range(64)}
-    assert len(prob) == tree.kept
-    logs, at = tree.logs(stream), 0
-    for s in seqs:
-        for i in range(depth, len(s)):
-            assert logs[at + i] == pytest.approx(math.log10(prob[state(tuple(s[i - depth:i]))][s[i]]), abs=1e-4)
-        at += len(s)
+    kept = sum(t.where("back < 1").select(F.shiftright("g", op06_suffix_tree.BITS).alias("ctx")).distinct().count() for t in tables[1:])
+    assert len(prob) == kept + 1 > 6
+    contexts = sorted({tuple(s[i - depth:i]) for s in seqs for i in range(depth, len(s))}) + [(5, 5, 5), (0, 6, 2), (2, 3, 6)]
+    want = {}
+    for ctx in contexts:
+        p = prob[state(ctx)]
+        assert sum(p.values()) == pytest.approx(1)
+        for x in range(64):
+            want[sum(k << 6 * i for i, k in enumerate(reversed(ctx + (x,))))] = p[x]
+    asked = spark.createDataFrame([(7, g) for g in want], "block long, g long")
+    got = {r.g: r.p for r in op06_suffix_tree.looked_up(asked, tables).collect()}
+    assert got == pytest.approx(want, rel=1e-5)
+
+
+def test_mixed_score_against_plain_counting(spark):
+    """Whole scores, tree and base mixed, from Python counters alone."""
+    rng, depth, share = random.Random(8), 5, 0.4
+    words = ["lorem", "Ipsum", "dolor", "sit", "amet", "consectetur", "a", "Ωmega"]
+    texts = {i: " ".join(rng.choice(words) for _ in range(rng.randrange(25))) for i in range(60)} | {60: None, 61: "unseen words: zyx", 62: ""}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    split = {i: [w.encode() for w in "".join(c.lower() if c.isascii() else c for c in t or "").split()] for i, t in texts.items()}
+    train = [i for i in texts if _fold(i, 7) != 2]
+    bytes_ = Counter(b for i in train for w in split[i] for b in w)
+    code = op06_suffix_tree.byte_code(np.array([bytes_[b] for b in range(256)]))
+    symbols = lambda w: [s for b in w for s in ([int(code[b])] if code[b] < 64 else [int(code[b]) >> 6, int(code[b]) & 63])]
+
+    def stream(i):
+        """Context ends, then each word's symbols with what follows it."""
+        parts = [symbols(w) + [1] for w in split[i]]
+        if not parts:
+            return [0] * depth, [[0]]
+        parts[-1][-1] = 0
+        return [0] * depth, parts
+    counts = [{} for _ in range(depth + 1)]
+    for i in train:
+        s, parts = stream(i)
+        s = s + [x for p in parts for x in p]
+        for j in range(depth, len(s)):
+            for d in range(depth + 1):
+                counts[d].setdefault(tuple(s[j - d:j]), Counter())[s[j]] += 1
+    total = sum(counts[0][()].values())
+    prob = {(): {x: (counts[0][()][x] + 0.5) / (total + 32) for x in range(64)}}
+
+    def state(ctx):
+        while ctx not in prob:
+            ctx = ctx[1:]
+        return ctx
+    for d in range(1, depth + 1):
+        for ctx, c in counts[d].items():
+            n, up = sum(c.values()), prob[state(ctx[1:])]
+            if n >= 2 and sum(k / n * math.log(k / n / up[x]) for x, k in c.items()) >= op06_suffix_tree.MIN_KL:
+                prob[ctx] = {x: (c[x] + len(c) * up[x]) / (n + len(c)) for x in range(64)}
+    base = Counter(w for i in train for w in split[i] + [None])
+    norm = sum(base.values()) + len(base) + 1
+    for r in op06_suffix_tree.score_documents(docs, p_min=0.01, heavy=0.05).collect():
+        s, parts = stream(r.doc_id)
+        want = 0.0
+        for j, part in enumerate(parts):
+            tree = 1.0
+            for x in part:
+                tree *= prob[state(tuple(s[-depth:]))][x]
+                s.append(x)
+            end = (base[None] + 1) / norm if j == len(parts) - 1 else 1.0
+            word = (base[split[r.doc_id][j]] + 1) / norm if split[r.doc_id] else 1.0
+            want += math.log10(share * word * end + (1 - share) * tree)
+        assert r.score == pytest.approx(want, abs=1e-4), r
 
 
 def test_rare_contexts_and_bytes_are_learned(spark):

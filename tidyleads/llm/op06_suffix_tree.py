@@ -12,12 +12,12 @@ The score is the sum of their log10.
 
 Counting: map tasks combine the (DEPTH + 1)-grams of all training texts, Spark
 sums them; each level's states and probabilities are Spark tables (`probabilities`) that grow with the
-corpus.  Scoring: the frequent contexts, above `P_MIN` of all positions (at most 1 / P_MIN of each
-length), are an automaton in the tasks, which gives the same probabilities as the tables and settles
-positions whose whole context is frequent.  Of all others, each block's distinct grams are joined
-with the tables (`looked_up`).  The base score's word
-counts: words above `HEAVY` of all tokens (at most 1 / HEAVY of them) are looked
-up in tasks; of all others, each block's distinct words are joined with the counts.
+corpus.  Scoring: texts lie in blocks, and a block needs the probability of each of its distinct grams once.
+Grams above `P_MIN` of all positions (at most 1 / P_MIN of them) are sent to the tasks; of all
+others, each block's distinct ones are joined with the tables (`looked_up`).  The base score's word
+counts likewise: words above `HEAVY` of all tokens (at most 1 / HEAVY of them) are sent to the tasks;
+of all others, each block's distinct words are joined with the counts.  What a block asked for meets its
+texts by one cogroup.
 
 Null text is empty (one end token); a null doc_id hashes as 'null'; repeated
 rows count as often as they occur; with no training rows all scores come from uniform
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from .common import _SPACE, Counts, byte_chunks, encoded, id_bucket, materialize as _materialize, spans, split, word_hashes
 
-DEPTH, P_MIN, MIN_KL, HEAVY, MIX = 5, 1e-5, 0.02, 1e-5, 0.4
+DEPTH, P_MIN, MIN_KL, HEAVY, MIX = 5, 1e-6, 0.02, 1e-5, 0.4
 BITS = 6
 SIZE = 1 << BITS
 END, SEP, OTHER = 0, 1, SIZE - 1
@@ -46,9 +46,7 @@ LEAST = 2
 #: Symbols of frequent bytes begin at 2; the last four begin the pairs of the other bytes.
 PLAIN = SIZE - 6
 #: Bytes of text in a block, and documents at most.
-BLOCK, BLOCK_DOCS = 1 << 23, 60_000
-#: Positions that one row of the automaton's matrix reads.
-STRIDE = 1024
+BLOCK, BLOCK_DOCS = 1 << 25, 60_000
 
 
 def _symbols(texts: list[bytes], code: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -142,77 +140,6 @@ def gram_table(train: DataFrame, code: np.ndarray, depth: int) -> DataFrame:
     return train.mapInPandas(run, "g long, c long").groupBy("g").agg(F.sum("c").alias("c"))
 
 
-class Tree:
-    """States, transitions and smoothed log10 distributions."""
-
-    def __init__(self, levels: list[pd.DataFrame], min_kl: float):
-        """levels[d]: (g, c) of the grams whose context of d symbols takes part."""
-        contexts, rows, prob, self.kept = [], [], [], 0
-        for d, level in enumerate(levels):
-            g = level["g"].to_numpy(np.int64)
-            order = np.argsort(g)
-            g, c = g[order], level["c"].to_numpy(np.float64)[order]
-            ctx = g >> BITS
-            own, inv = np.unique(ctx, return_inverse=True) if d else (np.zeros(1, np.int64), np.zeros(len(g), np.int64))
-            table = np.zeros((len(own), SIZE))
-            table[inv, g & (SIZE - 1)] = c
-            n = table.sum(1, keepdims=True)
-            if d == 0:
-                prob.append((table + 0.5) / (n + 0.5 * SIZE))
-                rows.append(np.zeros(1, np.int64))
-                self.kept = 1
-            else:
-                up = rows[d - 1][np.searchsorted(contexts[d - 1], own & ((1 << BITS * (d - 1)) - 1))]
-                parent = np.concatenate(prob)[up]
-                types = (table > 0).sum(1, keepdims=True)
-                seen = table / n
-                kl = np.where(table > 0, seen * np.log(np.maximum(seen, 1e-300) / parent), 0.0).sum(1)
-                keep = kl >= min_kl
-                prob.append(((table + types * parent) / (n + types))[keep])
-                rows.append(np.where(keep, self.kept + np.cumsum(keep) - 1, up))
-                self.kept += int(keep.sum())
-            contexts.append(own)
-        self.logp = np.log10(np.concatenate(prob)).astype(np.float32).ravel()
-        self.row = (np.concatenate(rows) * SIZE).astype(np.int32)
-        first = np.concatenate(([0], np.cumsum([len(c) for c in contexts])))
-        nexts, top = [], len(contexts) - 1
-        for d, own in enumerate(contexts):
-            to = np.zeros((len(own), SIZE), dtype=np.int64)
-            history = (own[:, None] << BITS) | np.arange(SIZE)
-            open_ = np.ones(to.shape, dtype=bool)
-            for e in range(min(d + 1, top), 0, -1):
-                if len(contexts[e]):
-                    key = history & ((1 << BITS * e) - 1)
-                    i = np.minimum(np.searchsorted(contexts[e], key), len(contexts[e]) - 1)
-                    hit = open_ & (contexts[e][i] == key)
-                    to[hit] = first[e] + i[hit]
-                    open_ &= ~hit
-            nexts.append(to)
-        self.next = (np.concatenate(nexts).ravel() * SIZE).astype(np.int32)
-        self.depth, self.whole = top, int(first[top] * SIZE)
-
-    def logs(self, x: np.ndarray) -> np.ndarray:
-        return self.known(x)[0]
-
-    def known(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """log10 probability of every symbol after those before it: the stream is cut into rows
-        that overlap by ``depth`` symbols, after which a state is exact, and all rows step together.  And whether
-        the last ``depth`` symbols are a context of the tree: no longer state can be elsewhere."""
-        rows = -(-len(x) // STRIDE)
-        pad = np.zeros(self.depth + rows * STRIDE, dtype=np.uint8)
-        pad[self.depth:self.depth + len(x)] = x
-        at = np.arange(rows) * STRIDE
-        state, out = np.zeros(rows, dtype=np.int32), np.empty((STRIDE, rows), dtype=np.float32)
-        whole = np.empty((STRIDE, rows), dtype=bool)
-        for t in range(self.depth + STRIDE):
-            s = pad[at + t]
-            if t >= self.depth:
-                out[t - self.depth] = self.logp[self.row[state // SIZE] + s]
-                whole[t - self.depth] = state >= self.whole
-            state = self.next[state + s]
-        return out.T.ravel()[:len(x)], whole.T.ravel()[:len(x)]
-
-
 def shorter(grams: DataFrame, depth: int) -> list[DataFrame]:
     """Counts (g, c) of the grams whose contexts have 0 .. depth symbols."""
     out = [grams]
@@ -222,24 +149,15 @@ def shorter(grams: DataFrame, depth: int) -> list[DataFrame]:
     return out[::-1]
 
 
-def learn(grams: DataFrame, total: int, depth: int, p_min: float, min_kl: float, least: int = 1, levels: list[DataFrame] | None = None) -> Tree:
-    """The tree of the contexts that make up p_min of all positions."""
-    rows: list[pd.DataFrame] = []
-    for level in levels or shorter(grams, depth):
-        n = level.groupBy(F.shiftright("g", BITS).alias("ctx")).agg(F.sum("c").alias("n")).where(F.col("n") >= max(p_min * total, least))
-        rows.append(level.join(n.select("ctx"), F.shiftright("g", BITS) == F.col("ctx")).select("g", "c").toPandas())
-    return Tree(rows, min_kl)
-
-
 def probabilities(levels: list[DataFrame], min_kl: float, least: int) -> list[DataFrame]:
-    """(g, p, back) of each level: the probability of every seen gram's last symbol after its context, and the
+    """(g, c, p, back) of each level: count and probability of every seen gram's last symbol after its context, and the
     share that the context's state, if it is one, leaves to the shorter one (else 1)."""
     counts = np.zeros(SIZE)
     for g, c in levels[0].collect():
         counts[g] = c
     root = (counts + 0.5) / (counts.sum() + 0.5 * SIZE)
     spark = levels[0].sparkSession
-    out = [spark.createDataFrame([(i, float(p), 1.0) for i, p in enumerate(root)], "g long, p double, back double")]
+    out = [spark.createDataFrame([(i, int(counts[i]), float(p), 1.0) for i, p in enumerate(root)], "g long, c long, p double, back double")]
     own = W.partitionBy(F.shiftright("g", BITS))  # at most SIZE rows
     for d in range(1, len(levels)):
         up = out[-1].select(F.col("g").alias("s"), F.col("p").alias("up"))
@@ -247,7 +165,7 @@ def probabilities(levels: list[DataFrame], min_kl: float, least: int) -> list[Da
         t = t.select("g", "c", "up", F.sum("c").over(own).alias("n"), F.count("*").over(own).alias("types"),
                      F.sum(F.col("c") * F.log(F.col("c") / F.col("up"))).over(own).alias("s"))
         keep = (F.col("n") >= least) & (F.col("s") / F.col("n") - F.log("n") >= min_kl)
-        out.append(materialize(t.select("g", F.when(keep, (F.col("c") + F.col("types") * F.col("up")) / (F.col("n") + F.col("types"))).otherwise(F.col("up")).alias("p"),
+        out.append(materialize(t.select("g", "c", F.when(keep, (F.col("c") + F.col("types") * F.col("up")) / (F.col("n") + F.col("types"))).otherwise(F.col("up")).alias("p"),
                                         F.when(keep, F.col("types") / (F.col("n") + F.col("types"))).otherwise(1.0).alias("back"))))
     return out
 
@@ -307,14 +225,30 @@ def _texts(row) -> list[bytes]:
     return [data[a:b] for a, b in zip(ends[:-1], ends[1:])]
 
 
-def _found(keys, counts, h: np.ndarray) -> np.ndarray:
-    """Counts of hashes among packed sorted keys (0 where they are not)."""
-    out = np.zeros(len(h), dtype=np.int64)
-    if keys is not None and len(h):
-        keys, counts = np.frombuffer(keys, dtype=np.int64), np.frombuffer(counts, dtype=np.int64)
-        at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
-        out[:] = np.where(keys[at] == h, counts[at], 0)
-    return out
+def _values(keys: np.ndarray, values: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Values of x by sorted keys (0 where there is none)."""
+    if not len(keys):
+        return np.zeros(len(x))
+    at = np.minimum(np.searchsorted(keys, x), len(keys) - 1)
+    return np.where(keys[at] == x, values[at], 0.0)
+
+
+class Known:
+    """Values of sorted keys that every task has, and of those that a block asked for."""
+
+    def __init__(self, sent: tuple[np.ndarray, np.ndarray], keys: np.ndarray, values: np.ndarray):
+        keys, values = np.concatenate((sent[0], keys)), np.concatenate((sent[1], values))
+        order = np.argsort(keys)
+        self.keys, self.values = keys[order], values[order]
+
+    def of(self, x: np.ndarray) -> np.ndarray:
+        own, at = np.unique(x, return_inverse=True)
+        return _values(self.keys, self.values, own)[at]
+
+
+def _sorted(rows: pd.DataFrame, key: str, value: str) -> tuple[np.ndarray, np.ndarray]:
+    rows = rows.sort_values(key)
+    return rows[key].to_numpy(np.int64), rows[value].to_numpy(np.float64)
 
 
 def score_documents(docs: DataFrame, held: int = 2, folds: int = 7, depth: int = DEPTH, p_min: float = P_MIN,
@@ -324,7 +258,7 @@ def score_documents(docs: DataFrame, held: int = 2, folds: int = 7, depth: int =
     docs = docs.select(F.col("doc_id").cast("long"), "text", (id_bucket("doc_id", folds) == held).alias("held_out"))
     train = docs.where("not held_out").select("text")
     counted = materialize(word_table(train))
-    words = counted.where("kind = 0").select(F.col("key").alias("h"), "c")
+    words = counted.where("kind = 0").select(F.col("key").alias("k"), "c")
     ends = counted.where("kind = 2").agg(F.sum("c")).first()[0] or 0
     n, v = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     n, v = n + ends, v + (ends > 0)
@@ -334,65 +268,51 @@ def score_documents(docs: DataFrame, held: int = 2, folds: int = 7, depth: int =
     code = byte_code(seen)
     grams = materialize(gram_table(train, code, depth))
     total = grams.agg(F.sum("c")).first()[0] or 0
-    often = words.where(F.col("c") >= max(1.0, heavy * n)).toPandas().sort_values("h")
-    levels = shorter(grams, depth)
-    sent = spark.sparkContext.broadcast((learn(grams, total, depth, p_min, min_kl, least, levels), code, often["h"].to_numpy(np.int64),
-                                         (often["c"].to_numpy(np.float64) + 1) / norm))
+    tables = probabilities(shorter(grams, depth), min_kl, least)
+    often_g = tables[-1].where(F.col("c") >= max(1.0, p_min * total)).select("g", F.log10("p").alias("lp")).toPandas()
+    often_w = words.where(F.col("c") >= max(1.0, heavy * n)).toPandas()
+    sent = spark.sparkContext.broadcast((code, _sorted(often_g, "g", "lp"), _sorted(often_w, "k", "c")))
     end_p = float((ends + 1) / norm)
     blocks = blocked(docs)
 
-    def ask(batches):
-        tree, code, *_ = sent.value
-        for pdf in batches:
-            for r in pdf.itertuples():
-                texts, grams = _texts(r), [np.empty(0, np.uint64)]
-                for a, b in byte_chunks(texts, CHUNK):
-                    x, begin = _symbols(texts[a:b], code, depth)
-                    far = _predicted(len(x), begin, depth) & ~tree.known(x)[1]
-                    grams.append(np.unique(_grams(x, depth)[far[depth:]]))
-                g = np.unique(np.concatenate(grams)).view(np.int64)
-                yield pd.DataFrame({"block": np.full(len(g), r.block, dtype=np.int64), "g": g})
-
-    def packed(pdf):
-        pdf = pdf.sort_values("g")
-        return pd.DataFrame({"block": pdf["block"].iloc[:1], "g": [pdf["g"].to_numpy(np.int64).tobytes()],
-                             "lp": [np.log10(pdf["p"].to_numpy()).astype(np.float32).tobytes()]})
-    asked = blocks.select("block", "sizes", "z").mapInPandas(ask, "block long, g long")
-    rare = looked_up(asked, probabilities(levels, min_kl, least)).groupBy("block").applyInPandas(packed, "block long, g binary, lp binary")
-
-    def ask_words(batches):
-        often = sent.value[2]
-        for pdf in batches:
-            for r in pdf.itertuples():
+    def asking(key, often, distinct):
+        """Rows (block, key) of what each block needs beyond the keys that all tasks have."""
+        def run(batches):
+            for r in (r for pdf in batches for r in pdf.itertuples()):
                 texts = _texts(r)
-                h = [np.unique(word_hashes(texts[a:b])[0]) for a, b in byte_chunks(texts, CHUNK)]
-                h = np.unique(np.concatenate(h)).view(np.int64) if h else np.empty(0, np.int64)
-                h = h[~np.isin(h, often)]
-                yield pd.DataFrame({"block": np.full(len(h), r.block, dtype=np.int64), "h": h})
-
-    def packed_words(pdf):
-        pdf = pdf.sort_values("h")
-        return pd.DataFrame({"block": pdf["block"].iloc[:1], "h": [pdf["h"].to_numpy(np.int64).tobytes()], "c": [pdf["c"].to_numpy(np.int64).tobytes()]})
-    # each block asks once for each of its words; what the training texts lack stays away, as count 0
+                k = [np.empty(0, np.int64)] + [np.unique(distinct(texts[a:b])).view(np.int64) for a, b in byte_chunks(texts, CHUNK)]
+                k = np.unique(np.concatenate(k))
+                k = k[~np.isin(k, often(), assume_unique=True)]
+                yield pd.DataFrame({"block": np.full(len(k), r.block, dtype=np.int64), key: k})
+        return packed.mapInPandas(run, f"block long, {key} long")
+
+    def own_grams(texts):
+        x, begin = _symbols(texts, sent.value[0], depth)
+        return _grams(x, depth)[_predicted(len(x), begin, depth)[depth:]]
+
+    packed = blocks.select("block", "sizes", "z")
+    rare = looked_up(asking("g", lambda: sent.value[1][0], own_grams), tables)
+    # words that the training texts lack stay away, as count 0
     seldom = words.where(F.col("c") < max(1.0, heavy * n))
-    counts = (blocks.select("block", "sizes", "z").mapInPandas(ask_words, "block long, h long").join(seldom, "h")
-              .select("block", "h", "c").groupBy("block").applyInPandas(packed_words, "block long, h binary, c binary"))
-
-    def run(batches):
-        tree, code, often, often_p = sent.value
-        for r in (r for pdf in batches for r in pdf.itertuples()):
+    counts = asking("k", lambda: sent.value[2][0], lambda texts: word_hashes(texts)[0]).join(seldom, "k")
+    # one shuffle of what was asked: a log10 probability (0 at most) is a gram's, a count (1 at least) a word's
+    asked = rare.select("block", F.col("g").alias("k"), F.log10(F.col("p").cast("double")).alias("v")).unionByName(
+        counts.select("block", "k", F.col("c").cast("double").alias("v")))
+
+    def run(block, asked):
+        code, often_g, often_w = sent.value
+        k, v = asked["k"].to_numpy(np.int64), asked["v"].to_numpy(np.float64)
+        gram_p, word_c = (Known(often, k[own], v[own]) for often, own in ((often_g, v <= 0), (often_w, v > 0)))
+        out = []
+        for r in block.itertuples():
             texts = _texts(r)
             doc_ids = pd.arrays.IntegerArray(np.frombuffer(r.ids, dtype=np.int64), np.frombuffer(r.nulls, dtype=bool))
             for a, b in byte_chunks(texts, CHUNK):
                 x, begin = _symbols(texts[a:b], code, depth)
-                lp, whole = tree.known(x)
-                lp, own = lp.astype(np.float64), _predicted(len(x), begin, depth)
-                far = np.flatnonzero(own & ~whole)
-                if len(far):
-                    lp[far] = np.frombuffer(r.lp, dtype=np.float32)[np.searchsorted(np.frombuffer(r.g, dtype=np.int64), _grams(x, depth)[far - depth].view(np.int64))]
-                lp[~own] = 0.0
+                own, lp = _predicted(len(x), begin, depth), np.zeros(len(x))
+                lp[own] = gram_p.of(_grams(x, depth)[own[depth:]].view(np.int64))
                 h, first = word_hashes(texts[a:b])
-                h, size = h.view(np.int64), np.diff(first)
+                c, size = word_c.of(h.view(np.int64)), np.diff(first)
                 # the tree's probability of each word and what follows it; of an empty text, of its end
                 total = np.concatenate(([0.0], np.cumsum(lp)))
                 stops = np.flatnonzero((x == SEP) | ((x == END) & own)) + 1
@@ -402,18 +322,13 @@ def score_documents(docs: DataFrame, held: int = 2, folds: int = 7, depth: int =
                 empty[size == 0] = np.log10(share * end_p + (1 - share) * 10 ** word[~full])
                 doc, last = np.repeat(np.arange(b - a), size), np.ones(len(h))
                 last[first[1:][size > 0] - 1] = end_p
-                c = _found(r.h, r.c, h)
                 p = (c + 1) / norm
-                i = np.minimum(np.searchsorted(often, h), max(len(often) - 1, 0))
-                frequent = often[i] == h if len(often) else np.zeros(len(h), dtype=bool)
-                if frequent.any():
-                    p[frequent] = often_p[i[frequent]]
                 score = empty + np.bincount(doc, np.log10(share * p * last + (1 - share) * tree_p), minlength=b - a)
-                yield pd.DataFrame({"doc_id": doc_ids[a:b], "n_tokens": size + 1, "n_known": np.bincount(doc[frequent | (c > 0)], minlength=b - a),
-                                    "base": np.bincount(doc, np.log10(p), minlength=b - a), "score": score})
+                out.append(pd.DataFrame({"doc_id": doc_ids[a:b], "n_tokens": size + 1, "n_known": np.bincount(doc[c > 0], minlength=b - a),
+                                         "base": np.bincount(doc, np.log10(p), minlength=b - a), "score": score}))
+        return pd.concat(out) if out else pd.DataFrame({"doc_id": [], "n_tokens": [], "n_known": [], "base": [], "score": []})
 
-    out = blocks.select("block", "ids", "nulls", "sizes", "z").join(rare, "block", "left").join(counts, "block", "left").mapInPandas(
-        run, "doc_id long, n_tokens long, n_known long, base double, score double")
+    out = blocks.groupBy("block").cogroup(asked.groupBy("block")).applyInPandas(run, "doc_id long, n_tokens long, n_known long, base double, score double")
     end = float(np.log10(end_p))
     return out.select("doc_id", (id_bucket("doc_id", folds) == held).alias("held_out"), "n_tokens",
                       (F.col("n_known") + int(ends > 0)).cast("long").alias("n_known"), F.lit(int(n)).cast("long").alias("train_tokens"),
