@@ -50,6 +50,28 @@ def test_ordinal_fit_finds_ordered_grades():
     assert model.tails(eta).sum(1) == pytest.approx([0, 1, 2, 3], abs=0.25)
 
 
+def test_sample_is_bounded_when_a_rated_id_has_many_rows(spark):
+    rows = [(1, "copied text")] * 3000 + [(2, f"text number {i}") for i in range(500)] + [(3, None), (3, ""), (4, "once")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    ratings = spark.createDataFrame([(1, 2), (1, 2), (2, 0), (3, 1), (4, 2)], "doc_id long, grade int")
+    whole = op01_quality.rated_sample(docs, ratings, 6000)
+    assert len(whole) == 1 + 500 + 1 + 1 and whole.set_index("doc_id")["times"][[1, 3, 4]].tolist() == [2, 1, 1]
+    few = op01_quality.rated_sample(docs, ratings, 40)
+    again = op01_quality.rated_sample(docs.repartition(7), ratings, 40)
+    assert len(few) == 40 and set(zip(few["doc_id"], few["digest"])) == set(zip(again["doc_id"], again["digest"]))
+
+
+def test_grades_against_the_formula(spark, mid):
+    """Tails and expected grade of every document from the fitted weights, one feature at a time."""
+    docs, labels = mid
+    ratings = op01_quality.graded(labels)
+    model, texts = op01_quality.fit(docs, ratings, 3), {r.doc_id: r.text for r in docs.collect()}
+    for r in op01_quality.grade_documents(docs, ratings).collect():
+        eta = sum(model.weights[s] * v for s, v in zip(*op01_quality.features((texts[r.doc_id] or "").encode())))
+        want = [1 / (1 + math.exp(t - eta)) for t in model.thresholds()]
+        assert list(r.tails) == pytest.approx(want, abs=1e-6) and r.expected_grade == pytest.approx(sum(want), abs=1e-6) and r.kept == (want[0] >= 0.5)
+
+
 def test_quality_of_edge_rows(spark, clashing, empty):
     ratings = spark.createDataFrame([(1, 2), (2, 0), (2, 2), (None, 1), (99, 1), (6, None), (7, 1)], "doc_id long, grade int")
     assert op01_quality.grade_documents(clashing, ratings).count() == clashing.count()

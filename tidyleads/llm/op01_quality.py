@@ -8,10 +8,11 @@ sum of these tails; selection uses the tail of a chosen grade.
 Features are distinct words, and word patterns (letters, digits and other bytes by kind,
 runs shortened) with how much of the text they make up, and how often the text repeats itself;
 all hashed into `DIM` weights.  The model is fitted on at most `SAMPLE` rated
-documents (those of least hashed doc_id); every document is scored in full.
+texts (of least hashed doc_id and text); every document is scored in full.
 
 Null or empty text has no feature but the bias; documents without a rating, or with a null
-one, are not learned from; a doc_id rated twice counts twice; without any rating all
+one, are not learned from; a doc_id rated twice counts twice, rows that repeat its text count
+once, and each other text under that doc_id counts, within the bound; without any rating all
 documents get tails of 1 and stay; empty tables give empty results; extra columns are not read.
 """
 
@@ -66,16 +67,21 @@ def features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def rated_sample(docs: DataFrame, ratings: DataFrame, bound: int) -> pd.DataFrame:
-    """Features and grades of at most ``bound`` rated documents."""
+    """Features, grades and number of ratings of at most ``bound`` different rated texts, however many rows a rated doc_id has."""
     few = ratings.where("grade is not null and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("grade").cast("int"))
-    few = few.orderBy(F.md5(F.col("doc_id").cast("string").cast("binary")), "doc_id", "grade").limit(bound)
+    few = few.orderBy(F.md5(F.col("doc_id").cast("string").cast("binary")), "doc_id", "grade").limit(bound).groupBy("doc_id", "grade").agg(F.count("*").alias("times"))
+    digest = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
+    rated = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(few), "doc_id").withColumn("digest", digest)
+    chosen = rated.select("doc_id", "grade", "digest").distinct().orderBy(F.md5(F.concat_ws("|", "doc_id", "digest").cast("binary")), "doc_id", "grade").limit(bound)
 
     def run(batches):
         for pdf in batches:
             f = [features(t) for t in encoded(pdf["text"])]
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "grade": pdf["grade"], "slots": [x[0].astype(np.int32) for x in f], "values": [x[1].astype(np.float32) for x in f]})
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(few), "doc_id")
-    return rows.mapInPandas(run, "doc_id long, grade int, slots array<int>, values array<float>").toPandas()
+            yield pd.DataFrame({**{c: pdf[c] for c in ("doc_id", "grade", "digest", "times")},
+                                "slots": [x[0].astype(np.int32) for x in f], "values": [x[1].astype(np.float32) for x in f]})
+    rows = rated.join(F.broadcast(chosen), ["doc_id", "grade", "digest"]).mapInPandas(
+        run, "doc_id long, grade int, digest string, times long, slots array<int>, values array<float>")
+    return rows.groupBy("doc_id", "grade", "digest", "times").agg(F.first("slots").alias("slots"), F.first("values").alias("values")).toPandas()
 
 
 class Ordinal:
@@ -92,11 +98,11 @@ class Ordinal:
         return 1 / (1 + np.exp(-np.clip(eta[:, None] - self.thresholds(), -50, 50)))
 
     def fit(self, sample: pd.DataFrame, rounds: int = ROUNDS, l2: float = L2) -> Ordinal:
-        """Full-batch maximum likelihood (Adam)."""
-        sample = sample.sort_values(["doc_id", "grade"], kind="stable")
+        """Full-batch maximum likelihood (Adam).  ``sample``: doc_id, grade, slots, values; times (else 1 each), digest for the order."""
+        sample = sample.sort_values([c for c in ("doc_id", "grade", "digest") if c in sample], kind="stable")
         doc = np.repeat(np.arange(len(sample)), [len(s) for s in sample["slots"]])
         slot, value = np.concatenate([np.asarray(s) for s in sample["slots"]]), np.concatenate([np.asarray(v) for v in sample["values"]])
-        grade = sample["grade"].to_numpy()
+        grade, times = sample["grade"].to_numpy(), sample["times"].to_numpy(np.float64) if "times" in sample else np.ones(len(sample))
         x = np.concatenate((self.weights, self.cut))
         m, v = np.zeros_like(x), np.zeros_like(x)
         for t in range(1, rounds + 1):
@@ -106,7 +112,7 @@ class Ordinal:
             slope = edge * (1 - edge)
             rows = np.arange(len(sample))
             p = np.maximum(edge[rows, grade] - edge[rows, grade + 1], 1e-12)
-            low, high = slope[rows, grade] / p, slope[rows, grade + 1] / p
+            low, high = times * slope[rows, grade] / p, times * slope[rows, grade + 1] / p
             d_eta = -(low - high)
             d_cut = np.zeros(tail.shape[1] + 2)
             np.add.at(d_cut, grade, low)
@@ -114,7 +120,7 @@ class Ordinal:
             d_theta = d_cut[1:-1]
             later = np.cumsum(d_theta[::-1])[::-1]
             g = np.concatenate((np.bincount(slot, d_eta[doc] * value, minlength=DIM), later[:1], later[1:] * np.exp(self.cut[1:])))
-            g = g / len(sample)
+            g = g / times.sum()
             g[1:DIM] += l2 * x[1:DIM]
             m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
             x = x - 0.1 * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.99 ** t)) + 1e-8)
