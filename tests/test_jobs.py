@@ -81,3 +81,14 @@ def test_vendor_files_to_issue_tables(spark, tmp_path):
                                 "acme.de,Max,Muster,CTO,max@acme.de,123,DE,5,1999\n#,Ann,Other,CTO,ann@x.de,1,DE,6,\n")
     z = jobs.prepare_source(jobs.ZOOMINFO, jobs.read_source(spark, str(zoom), jobs.ZOOMINFO), accounts).collect()
     assert sorted([(r.first_name, r.account_name, r.company_founded_date) for r in z], reverse=True) == [("Max", "Acme GmbH", 1999), ("Ann", None, 0)]
+
+
+def test_rules_run_once_before_the_quota_labels(spark, sf_small):
+    """Counting, numbering and passing rows on read the validated rows; none of them runs the rules again."""
+    acc = accounts_typed(spark, sf_small)
+    o = jobs.prepare_source(jobs.OUTREACH, vendor_rows(spark, sf_small, jobs.OUTREACH), acc)
+    out = jobs.prospect_issues(jobs.OUTREACH, o, acc, threshold=3)
+    lazy = jobs.prospect_issues(jobs.OUTREACH, o, acc, threshold=3, materialize=False)
+    plans = [d._jdf.queryExecution().optimizedPlan().toString() for d in (out, lazy)]
+    assert plans[1].count("ArrowEvalPython") > 1 and "ArrowEvalPython" not in plans[0]
+    assert out.columns == lazy.columns and out.exceptAll(lazy).isEmpty() and lazy.exceptAll(out).isEmpty()

@@ -25,7 +25,7 @@ from ..functions.values import to_long0
 from ..operators import columns as cols
 from ..operators import identity, link, reconcile, report
 from ..operators.validate import validate
-from ..session import cut_lineage
+from ..session import cut_lineage, written
 from ..sources import files
 
 CANONICAL = ["custom_id", "account_name", "tags", "first_name", "last_name", "title", "gender", "email",
@@ -174,9 +174,11 @@ def prospect_issues(spec: SourceSpec, sample: DataFrame, accounts: DataFrame,
     """Job A for one source: country/phone normalisation, ID repair, source
     label, union with earlier sources' outputs, validation and quota labels.
 
-    With ``materialize`` the unioned prospects are checkpointed before
-    validation: its four lookups and the main branch then read that table
-    instead of re-running the linking joins and ID numbering five times.
+    With ``materialize`` the unioned prospects are written before
+    validation: its four lookups and the main branch then read that table, each its
+    own columns, instead of re-running the linking joins and ID numbering five times.
+    The validated rows are written likewise: counting, numbering and passing
+    the rows on for the quota labels would else run all rules and lookups each.
     ``names`` (name, gender_class) and ``legal_words`` (word) replace the built-in tables."""
     df = sample
     if spec.same_country:
@@ -197,10 +199,12 @@ def prospect_issues(spec: SourceSpec, sample: DataFrame, accounts: DataFrame,
              for i, e in enumerate(earlier)] + [(main, len(earlier))]
     prospects = reconcile.union_sources(parts)
     if materialize:
-        prospects = cut_lineage(prospects)
+        prospects = written(prospects)
     v = validate(prospects, in_scope=F.col("prospect_id").startswith(spec.prefix),
                  gender_mode=spec.gender_mode, check_country=spec.check_country,
                  names=names, legal_words=legal_words)
+    if materialize:
+        v = written(v)
     order = [F.col("source_rank"), F.floor(_order_key() / 1024), _order_key()]
     return identity.quota_label(v, threshold, order_by=order, group="account_name", tiers=[2])
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import link, report
-from ..session import cut_lineage
+from ..session import written
 from . import jobs
 from . import sqltext as S
 from .catalogue import register
@@ -26,7 +26,7 @@ def _issues(spec):
     def run(spark, sf):
         main = vendor_rows(spark, sf, spec)
         acc = accounts_typed(spark, sf)
-        sample = cut_lineage(jobs.prepare_source(spec, main, acc))
+        sample = written(jobs.prepare_source(spec, main, acc))
         out = jobs.prospect_issues(spec, sample, acc, threshold=THRESHOLD)
         return out.select("prospect_id", "account_name", "first_name", "last_name", "gender",
                           "email", "country", "work_phone", "source", "issue", "account_range",
