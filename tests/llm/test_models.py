@@ -3,10 +3,12 @@ import math
 import random
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pandas as pd
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from tidyleads.llm import op01_quality, op04_toxicity, op06_suffix_tree
@@ -283,3 +285,24 @@ def test_scores_of_edge_rows(clashing, empty):
     rows = op06_suffix_tree.score_documents(clashing).collect()
     assert len(rows) == clashing.count() and all(math.isfinite(r.score) and r.score < 0 for r in rows)
     assert op06_suffix_tree.score_documents(empty).count() == 0
+
+
+def test_few_texts_and_keys_are_held_at_once():
+    texts = [b"ab", b"", b"c" * 50, b"", b"defg", b"h"]
+    row = SimpleNamespace(sizes=np.array([len(t) for t in texts], np.int64).tobytes(), z=zstandard.ZstdCompressor().compress(b"".join(texts)))
+    parts = list(op06_suffix_tree._texts(row, 5))
+    assert [t for *_, part in parts for t in part] == texts and [a for a, *_ in parts] == [0, *[b for _, b, _ in parts][:-1]]
+    assert all(len(part) == 1 or sum(map(len, part)) <= 5 for *_, part in parts) and len(parts) > 2
+    none = SimpleNamespace(sizes=b"", z=zstandard.ZstdCompressor().compress(b""))
+    assert list(op06_suffix_tree._texts(none, 5)) == []
+
+    rng = np.random.default_rng(5)
+    keys = [rng.integers(-1 << 40, 1 << 40, 400_000) for _ in range(6)] + [np.array([7, 7, 3])]
+    often = np.unique(keys[0][:1000])
+    want = np.setdiff1d(np.concatenate(keys), often)
+    assert np.array_equal(op06_suffix_tree._asked(iter(keys), often), want)
+    assert not len(op06_suffix_tree._asked(iter([]), often))
+    known = op06_suffix_tree.Known((often, np.full(len(often), 2.0)), want[::-1], np.full(len(want), 3.0))
+    x = np.concatenate((keys[0][:3000], [1 << 41]))
+    assert np.array_equal(known.of(x), np.where(x == 1 << 41, 0.0, np.where(np.isin(x, often), 2.0, 3.0)))
+    assert np.array_equal(known.of(abs(x[:0])), np.zeros(0))

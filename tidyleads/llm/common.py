@@ -48,6 +48,15 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """A written table; what the job that made it leaves, which nothing reads any more, is given back:
+    Spark's cleaner removes its shuffle files once the driver's heap has been collected, and that heap,
+    of a driver that plans many jobs, shrinks again."""
+    out = materialize(df)
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return out
+
+
 # ---------------------------------------------------------------------------
 # Word hashing on byte buffers
 # ---------------------------------------------------------------------------

@@ -33,20 +33,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import _SPACE, Counts, byte_chunks, encoded, id_bucket, materialize as _materialize, spans, split, word_hashes
+from .common import _SPACE, Counts, byte_chunks, encoded, id_bucket, settled as materialize, spans, split, word_hashes
 
 DEPTH, P_MIN, MIN_KL, HEAVY, MIX = 5, 1e-6, 0.02, 1e-5, 0.4
 BITS = 6
 SIZE = 1 << BITS
 END, SEP, OTHER = 0, 1, SIZE - 1
-#: Bytes of text that a task scores or counts at once.
+#: Bytes of text that a task counts at once.
 CHUNK = 1 << 20
+#: Bytes of a block's texts that a task scores at once: several arrays of eight bytes a symbol each.
+SCORED = 1 << 18
 #: Times that a state's context was seen at least.
 LEAST = 2
 #: Symbols of frequent bytes begin at 2; the last four begin the pairs of the other bytes.
 PLAIN = SIZE - 6
 #: Bytes of text in a block, and documents at most.
-BLOCK, BLOCK_DOCS = 1 << 25, 60_000
+BLOCK, BLOCK_DOCS = 1 << 24, 30_000
 
 
 def _symbols(texts: list[bytes], code: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -170,14 +172,6 @@ def probabilities(levels: list[DataFrame], min_kl: float, least: int) -> list[Da
     return out
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """A written table; the shuffle files of the job that made it, which nothing reads any more, are
-    given back (Spark's cleaner removes them once the driver's heap has been collected)."""
-    out = _materialize(df)
-    df.sparkSession.sparkContext._jvm.System.gc()
-    return out
-
-
 def looked_up(asked: DataFrame, tables: list[DataFrame]) -> DataFrame:
     """(block, g, p) of asked grams (block, g): those of the training texts by one join, others through the shorter states."""
     found = materialize(asked.join(tables[-1].select("g", "p"), "g", "left").select("block", "g", F.col("p").cast("float").alias("p")))
@@ -218,11 +212,16 @@ def blocked(docs: DataFrame) -> DataFrame:
     return materialize(rows.select(F.monotonically_increasing_id().alias("block"), "*"))
 
 
-def _texts(row) -> list[bytes]:
+def _texts(row, limit: int):
+    """(start, end, texts) of a block, about ``limit`` bytes of text at a time, one text at least."""
     sizes = np.frombuffer(row.sizes, dtype=np.int64)
     data = zstandard.ZstdDecompressor().decompress(row.z, max_output_size=int(sizes.sum()) + 1)
-    ends = np.concatenate(([0], np.cumsum(sizes))).tolist()
-    return [data[a:b] for a, b in zip(ends[:-1], ends[1:])]
+    at = np.concatenate(([0], np.cumsum(sizes)))
+    a = 0
+    while a < len(sizes):
+        b = max(a + 1, int(np.searchsorted(at, at[a] + limit, "right")) - 1)
+        yield a, b, [data[x:y] for x, y in zip(at[a:b].tolist(), at[a + 1:b + 1].tolist())]
+        a = b
 
 
 def _values(keys: np.ndarray, values: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -234,23 +233,25 @@ def _values(keys: np.ndarray, values: np.ndarray, x: np.ndarray) -> np.ndarray:
 
 
 class Known:
-    """Values of sorted keys that every task has, and of those that a block asked for."""
+    """Values of sorted keys that every task has, and of the others that a block asked for."""
 
     def __init__(self, sent: tuple[np.ndarray, np.ndarray], keys: np.ndarray, values: np.ndarray):
-        keys, values = np.concatenate((sent[0], keys)), np.concatenate((sent[1], values))
         order = np.argsort(keys)
-        self.keys, self.values = keys[order], values[order]
+        self.sent, self.own = sent, (keys[order], values[order])
+
+    def _of(self, x: np.ndarray) -> np.ndarray:
+        return _values(*self.sent, x) + _values(*self.own, x)  # no key is in both
 
     def of(self, x: np.ndarray) -> np.ndarray:
         """Each distinct key is looked up once.  Keys that leave room for their place are sorted as one number with it."""
         bits = len(x).bit_length()
         if not len(x) or x.min() < 0 or int(x.max()).bit_length() + bits > 63:
             own, at = np.unique(x, return_inverse=True)
-            return _values(self.keys, self.values, own)[at]
+            return self._of(own)[at]
         packed = np.sort((x << bits) | np.arange(len(x)))
         own, out = packed >> bits, np.empty(len(x))
         cut = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1], [True])))
-        out[packed & ((1 << bits) - 1)] = np.repeat(_values(self.keys, self.values, own[cut[:-1]]), np.diff(cut))
+        out[packed & ((1 << bits) - 1)] = np.repeat(self._of(own[cut[:-1]]), np.diff(cut))
         return out
 
 
@@ -260,6 +261,20 @@ def _distinct(x: np.ndarray) -> np.ndarray:
     return x[np.concatenate((np.ones(min(len(x), 1), dtype=bool), x[1:] != x[:-1]))]
 
 
+def _asked(parts, often: np.ndarray) -> np.ndarray:
+    """Sorted distinct keys of all parts but those of ``often``; merged again and again, so that few repeats are held."""
+    held, size, least = [], 0, 1 << 20
+    for x in parts:
+        held.append(_distinct(x))
+        size += len(held[-1])
+        if size > least:
+            held = [_distinct(np.concatenate(held))]
+            size = len(held[0])
+            least = 2 * max(size, 1 << 19)
+    k = _distinct(np.concatenate([np.empty(0, np.int64), *held]))
+    return k if not len(often) else k[often[np.minimum(np.searchsorted(often, k), len(often) - 1)] != k]
+
+
 def _sorted(rows: pd.DataFrame, key: str, value: str) -> tuple[np.ndarray, np.ndarray]:
     rows = rows.sort_values(key)
     return rows[key].to_numpy(np.int64), rows[value].to_numpy(np.float64)
@@ -293,10 +308,7 @@ def score_documents(docs: DataFrame, held: int = 2, folds: int = 7, depth: int =
         """Rows (block, key) of what each block needs beyond the keys that all tasks have."""
         def run(batches):
             for r in (r for pdf in batches for r in pdf.itertuples()):
-                texts = _texts(r)
-                k = [np.empty(0, np.int64)] + [_distinct(distinct(texts[a:b]).view(np.int64)) for a, b in byte_chunks(texts, CHUNK)]
-                k = _distinct(np.concatenate(k))
-                k = k[~np.isin(k, often(), assume_unique=True)]
+                k = _asked((distinct(texts).view(np.int64) for _, _, texts in _texts(r, SCORED)), often())
                 yield pd.DataFrame({"block": np.full(len(k), r.block, dtype=np.int64), key: k})
         return packed.mapInPandas(run, f"block long, {key} long")
 
@@ -319,13 +331,12 @@ def score_documents(docs: DataFrame, held: int = 2, folds: int = 7, depth: int =
         gram_p, word_c = (Known(often, k[own], v[own]) for often, own in ((often_g, v <= 0), (often_w, v > 0)))
         out = []
         for r in block.itertuples():
-            texts = _texts(r)
             doc_ids = pd.arrays.IntegerArray(np.frombuffer(r.ids, dtype=np.int64), np.frombuffer(r.nulls, dtype=bool))
-            for a, b in byte_chunks(texts, CHUNK):
-                x, begin = _symbols(texts[a:b], code, depth)
+            for a, b, texts in _texts(r, SCORED):
+                x, begin = _symbols(texts, code, depth)
                 own, lp = _predicted(len(x), begin, depth), np.zeros(len(x))
                 lp[own] = gram_p.of(_grams(x, depth)[own[depth:]].view(np.int64))
-                h, first = word_hashes(texts[a:b])
+                h, first = word_hashes(texts)
                 c, size = word_c.of(h.view(np.int64)), np.diff(first)
                 # the tree's probability of each word and what follows it; of an empty text, of its end
                 total = np.concatenate(([0.0], np.cumsum(lp)))
