@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidyleads.llm import op01_quality, op03_mixing, op08_decontaminate, op09_sharding, op10_near_dedup
-from tidyleads.llm.common import materialize, table
+from tidyleads.llm.common import settled as materialize, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,5 +1,6 @@
 import corpus_pipeline
-from tidyleads.llm import op01_quality, op03_mixing, op08_decontaminate, op09_sharding
+from tidyleads.llm import common, op01_quality, op03_mixing, op08_decontaminate, op09_sharding
+from tidyleads.llm.components import components
 from test_near_dedup import _sets, brute
 
 
@@ -45,3 +46,14 @@ def test_stages_of_edge_rows(spark, clashing, empty, sf_small):
         assert out.columns == clashing.columns
         out.count()
         assert stage(spark, empty, sf_small).count() == 0
+
+
+def test_jobs_of_the_stages_give_the_drivers_heap_back(spark):
+    """Rounds of components plan many jobs: the heap is collected after each, not when it is full."""
+    beans = spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+    collected = lambda: sum(b.getCollectionCount() for b in beans if "Old" in b.getName() or "MarkSweep" in b.getName())
+    before = collected()
+    edges = spark.createDataFrame([(i + 1, i) for i in range(20)], "u long, v long")
+    assert {r.root for r in components(edges).collect()} == {0}
+    assert collected() - before >= 2
+    assert corpus_pipeline.materialize is common.settled

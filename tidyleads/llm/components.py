@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import settled as materialize
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import byte_chunks, encoded, materialize, mix, shingle_hashes, word_hashes
+from .common import byte_chunks, encoded, mix, settled as materialize, shingle_hashes, word_hashes
 from .components import components
 
 K = 64
